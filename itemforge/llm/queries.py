@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from itemforge.llm import decontaminate, htmltext, interpolation, licenses, packing, quality, secrets, simhash, warc
+from itemforge.llm import decontaminate, htmltext, interpolation, licenses, packing, quality, secrets, simhash, suffixes, warc
 
 QUERIES = {
     "op1_warc_index": warc.op1_warc_index,
+    "op2_suffix_dedup": suffixes.op2_suffix_dedup,
     "op3_simhash_near_dedup": simhash.op3_simhash_near_dedup,
     "op4_secret_scan": secrets.op4_secret_scan,
     "op5_benchmark_decontamination": decontaminate.op5_benchmark_decontamination,

@@ -31,10 +31,9 @@ LENGTH = 100
 GRAM = 32
 SHARD_BYTES = 8_000_000
 #: Windows that are hashed at once.
-CHUNK = 1 << 20
-RANGE_RUNS = 500_000
-#: Runs that one merge holds, about.
-MERGE_RUNS = 4_000
+CHUNK = 1 << 17
+#: Runs that meet in one range, about; those that a merge compares are fewer.
+RANGE_RUNS = 100_000
 
 _R = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xD1342543DE82EF95)
@@ -232,27 +231,39 @@ def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         depth += 7
 
 
-def merge(transforms: list[tuple[np.ndarray, np.ndarray]], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Merge transforms, each given as symbols and number of strings' symbols: the merged rows, and the blocks of rows whose first `depth` symbols agree.
+def merge(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Merge transforms, each given by its symbols: the merged rows, and the blocks of rows whose first `depth` symbols agree.
 
     The rows start in the order of the transforms. An iteration deals them out by the symbol before them, in order, which takes every
     row to the one that stands a symbol earlier: rows sorted by k symbols become rows sorted by k + 1. A boundary
     between blocks is where symbols or former blocks differ, which is where the common prefix ends at that iteration.
+    Rows that go past their string's end are ordered by what happens to follow; no window does.
     """
-    symbols = np.concatenate([t[0] for t in transforms])
-    edge = starts_of(np.array([len(t[0]) for t in transforms], np.int64))
+    symbols = np.concatenate(transforms)
+    edge = starts_of(np.array([len(t) for t in transforms], np.int64))
     earlier = np.empty(len(symbols), np.int32)
-    for i, (part, _) in enumerate(transforms):
+    for i, part in enumerate(transforms):
         earlier[edge[i] + np.argsort(part, kind="stable")] = np.arange(edge[i], edge[i + 1], dtype=np.int32)
+    # Few byte values occur, so two symbols fit into one number of 16 bits and an iteration refines by both.
+    used = np.unique(symbols)
+    code = np.searchsorted(used, symbols).astype(np.uint16)
     rows = np.arange(len(symbols), dtype=np.int32)
     block = np.zeros(len(symbols), np.int32)
-    for _ in range(depth):
-        now = symbols[rows]
+    done = 0
+    while done < depth:
+        step = 2 if depth - done > 1 and len(used) < 256 else 1
+        if step == 2:
+            now = code[earlier[rows]] * np.uint16(len(used)) + code[rows]
+        else:
+            now = code[rows]
         dealt = np.argsort(now, kind="stable")
         now, rows, block = now[dealt], earlier[rows[dealt]], block[dealt]
+        if step == 2:
+            rows = earlier[rows]
         parted = np.ones(len(rows), bool)
-        parted[1:] = (now[1:] != now[:-1]) | ((block[1:] != block[:-1]) & (now[1:] != 0))
+        parted[1:] = (now[1:] != now[:-1]) | (block[1:] != block[:-1])
         block = np.cumsum(parted, dtype=np.int32)
+        done += step
     return rows, block
 
 
@@ -312,7 +323,7 @@ def repeated_windows(sent: DataFrame, length: int = LENGTH) -> DataFrame:
             first = starts_of(windows)
             # The window's place among all windows here, or -1 for rows that begin none.
             where.append(np.where(offset < windows[string], base + first[string] + offset, -1))
-            held.append((symbols, lengths))
+            held.append(symbols)
             base += int(first[-1])
             totals.append(int(first[-1]))
         merged, block = merge(held, length)
@@ -339,9 +350,7 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", lengt
     total = sharded.agg(F.sum("n_bytes")).first()[0] or 0
     parts = log_parts(2 * total // (length - GRAM + 1), RANGE_RUNS)
     told = materialise(classes(requests(sharded, parts, length)), "classes")
-    # Of all runs some share anchors; their number sets the ranges of the merge.
-    mixed_parts = parts + 4
-    windows = materialise(repeated_windows(transforms(sharded, told, mixed_parts, length), length), "windows")
+    windows = materialise(repeated_windows(transforms(sharded, told, parts, length), length), "windows")
     both = told.withColumn("kind", F.lit(0)).unionByName(windows.withColumn("kind", F.lit(1)))
 
     def run(row: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
@@ -354,7 +363,7 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", lengt
             np.add.at(marks, s.last[gone] + length, -1)
             if (rows := answers[answers["kind"] == 1]).shape[0]:
                 again = _told(rows, np.uint8)
-                order = np.concatenate([r for _, r in _mixed_runs(s, runs, mixed_parts)])
+                order = np.concatenate([r for _, r in _mixed_runs(s, runs, parts)])
                 many = s.last[order] - s.first[order] + 1
                 at = np.repeat(s.first[order] - starts_of(many)[:-1], many) + np.arange(many.sum())
                 at = at[again.astype(bool)]

@@ -166,7 +166,7 @@ def requests(sharded: DataFrame, parts: int, length: int = LENGTH) -> DataFrame:
     return sharded.mapInArrow(run, "part int, shard long, n long, hashes binary, prints binary")
 
 
-def classes(asked: DataFrame) -> DataFrame:
+def classes(asked: DataFrame, parts: int) -> DataFrame:
     """(part, shard, n, told): for each run whether it is new, stands in an earlier shard, or shares its anchor with other runs."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -185,7 +185,7 @@ def classes(asked: DataFrame) -> DataFrame:
         edge = starts_of(np.array(sizes, np.int64))
         return pd.DataFrame({"part": rows["part"], "shard": rows["shard"], "n": rows["n"], "told": [pack(told[edge[i] : edge[i + 1]]) for i in range(len(sizes))]})
 
-    return asked.groupBy("part").applyInPandas(run, "part int, shard long, n long, told binary")
+    return asked.repartition(parts, "part").groupBy("part").applyInPandas(run, "part int, shard long, n long, told binary")
 
 
 def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -310,7 +310,7 @@ def transforms(sharded: DataFrame, told: DataFrame, parts: int, length: int = LE
     return sharded.groupBy("shard").cogroup(told.groupBy("shard")).applyInPandas(run, "part int, shard long, n long, lengths binary, windows binary, n_symbols long, symbols binary")
 
 
-def repeated_windows(sent: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_windows(sent: DataFrame, parts: int, length: int = LENGTH) -> DataFrame:
     """(part, shard, n, told): for each window of the runs sent whether an equal one stands earlier, a byte each in the order of the text."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -337,7 +337,8 @@ def repeated_windows(sent: DataFrame, length: int = LENGTH) -> DataFrame:
         edge = starts_of(np.array(totals, np.int64))
         return pd.DataFrame({"part": rows["part"], "shard": rows["shard"], "n": totals, "told": [pack(again[edge[i] : edge[i + 1]]) for i in range(len(totals))]})
 
-    return sent.groupBy("part").applyInPandas(run, "part int, shard long, n long, told binary")
+    # As many tasks as ranges: their work is far more than their bytes.
+    return sent.repartition(parts, "part").groupBy("part").applyInPandas(run, "part int, shard long, n long, told binary")
 
 
 def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH) -> DataFrame:
@@ -349,8 +350,8 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", lengt
     sharded = materialise(shards(docs, text, key), "shards")
     total = sharded.agg(F.sum("n_bytes")).first()[0] or 0
     parts = log_parts(2 * total // (length - GRAM + 1), RANGE_RUNS)
-    told = materialise(classes(requests(sharded, parts, length)), "classes")
-    windows = materialise(repeated_windows(transforms(sharded, told, parts, length), length), "windows")
+    told = materialise(classes(requests(sharded, parts, length), 1 << parts), "classes")
+    windows = materialise(repeated_windows(transforms(sharded, told, parts, length), 1 << parts, length), "windows")
     both = told.withColumn("kind", F.lit(0)).unionByName(windows.withColumn("kind", F.lit(1)))
 
     def run(row: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:

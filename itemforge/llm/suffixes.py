@@ -7,7 +7,7 @@ that occur with different surroundings need comparing:
 1. A run is a stretch of windows with one anchor. Runs that are byte for byte the same meet by hash, first inside a
    shard, then in ranges of the anchors' hashes; all but the first are repeated as a whole.
 2. Runs that share an anchor but not their bytes go, as one Burrows-Wheeler transform for each shard and range, to a
-   task that merges them: the interleave of all rows is refined by one symbol an iteration, and the rows that no
+   task that merges them: the interleave of all rows is refined by a few symbols an iteration, and the rows that no
    symbol has parted after LENGTH iterations are equal windows. All but the first in the order of documents are repeated.
 
 A shard sends a string to a range once, however many of its documents hold it.
@@ -28,7 +28,7 @@ from itemforge.llm.blobs import log_parts, pack, pack_sorted, part_bounds, unpac
 from itemforge.llm.common import batch, materialise, starts_of, table, text_bytes
 
 LENGTH = 100
-GRAM = 32
+GRAM = 48
 SHARD_BYTES = 8_000_000
 #: Windows that are hashed at once.
 CHUNK = 1 << 17
@@ -102,10 +102,7 @@ class Shard:
         reach = self.length - GRAM + 1  # anchors that a window can have
         stretch = self.bytes[low : high + self.length - 1]
         values = _VALUES[stretch]
-        h = values
-        for step in (1, 2, 4, 8, 16):
-            h = h[:-step] * np.uint64(pow(int(_R), step, 1 << 64)) + h[step:]
-        h = _mixed(h)
+        h = _mixed(_grams(values, GRAM))
         mask = np.uint64((1 << 21) - 1)
         least = (h & ~mask) | np.arange(len(h), dtype=np.uint64)
         span = 1
@@ -130,7 +127,22 @@ class Shard:
         size = (last - first + self.length).astype(np.uint64)
         prints = (sums[last + self.length] - sums[first]) * down[first]
         prints = _mixed(prints + size * _R + (anchor - first).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
-        return {"first": first + low, "last": last + low, "anchor": anchor + low, "hash": h[anchor], "print": prints}
+        # Least hashes are small numbers; mixed again they spread over all ranges.
+        return {"first": first + low, "last": last + low, "anchor": anchor + low, "hash": _mixed(h[anchor]), "print": prints}
+
+
+def _grams(values: np.ndarray, size: int) -> np.ndarray:
+    """A polynomial hash of each `size` values in a row, by doubling."""
+    double, step, out, width = values, 1, None, 0
+    while step <= size:
+        if size & step:
+            out = double if out is None else double[: len(double) - width] * np.uint64(pow(int(_R), width, 1 << 64)) + out[step:]
+            width += step
+            out = out[: len(values) - width + 1]
+        if 2 * step <= size:
+            double = double[:-step] * np.uint64(pow(int(_R), step, 1 << 64)) + double[step:]
+        step *= 2
+    return out
 
 
 _VALUES = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D))
@@ -234,8 +246,8 @@ def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def merge(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Merge transforms, each given by its symbols: the merged rows, and the blocks of rows whose first `depth` symbols agree.
 
-    The rows start in the order of the transforms. An iteration deals them out by the symbol before them, in order, which takes every
-    row to the one that stands a symbol earlier: rows sorted by k symbols become rows sorted by k + 1. A boundary
+    The rows start in the order of the transforms. An iteration deals them out by the symbols before them, in order, which takes every
+    row to the one that stands so much earlier: rows sorted by k symbols become rows sorted by k + 1, or a few more. A boundary
     between blocks is where symbols or former blocks differ, which is where the common prefix ends at that iteration.
     Rows that go past their string's end are ordered by what happens to follow; no window does.
     """
@@ -244,22 +256,22 @@ def merge(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndar
     earlier = np.empty(len(symbols), np.int32)
     for i, part in enumerate(transforms):
         earlier[edge[i] + np.argsort(part, kind="stable")] = np.arange(edge[i], edge[i + 1], dtype=np.int32)
-    # Few byte values occur, so two symbols fit into one number of 16 bits and an iteration refines by both.
-    used = np.unique(symbols)
-    code = np.searchsorted(used, symbols).astype(np.uint16)
+    # Few byte strings occur, so several symbols fit into one number of 16 bits and an iteration refines by all of them.
+    steps = [(1, np.unique(symbols, return_inverse=True)[1].astype(np.uint16), earlier)]
+    while 2 * steps[-1][0] <= depth and len(symbols):
+        step, code, back = steps[-1]
+        used, code_of = np.unique(code[back].astype(np.uint32) << np.uint32(16) | code, return_inverse=True)
+        if len(used) > 1 << 16:
+            break
+        steps.append((2 * step, code_of.astype(np.uint16), back[back]))
     rows = np.arange(len(symbols), dtype=np.int32)
     block = np.zeros(len(symbols), np.int32)
     done = 0
     while done < depth:
-        step = 2 if depth - done > 1 and len(used) < 256 else 1
-        if step == 2:
-            now = code[earlier[rows]] * np.uint16(len(used)) + code[rows]
-        else:
-            now = code[rows]
+        step, code, back = next(x for x in reversed(steps) if x[0] <= depth - done)
+        now = code[rows]
         dealt = np.argsort(now, kind="stable")
-        now, rows, block = now[dealt], earlier[rows[dealt]], block[dealt]
-        if step == 2:
-            rows = earlier[rows]
+        now, rows, block = now[dealt], back[rows[dealt]], block[dealt]
         parted = np.ones(len(rows), bool)
         parted[1:] = (now[1:] != now[:-1]) | (block[1:] != block[:-1])
         block = np.cumsum(parted, dtype=np.int32)

@@ -61,7 +61,7 @@ def long_words(x: Column) -> Column:
 
 
 def normal_tags(tags: Column) -> Column:
-    bare = F.filter(F.transform(tags, F.trim), lambda t: t != "")
+    bare = F.filter(F.transform(tags, lambda t: F.trim(t)), lambda t: t != "")
     return F.array_distinct(F.transform(bare, lambda t: F.when(t.startswith("#"), t).otherwise(F.concat(F.lit("#"), t))))
 
 

@@ -32,11 +32,25 @@ def asof_last(rows: DataFrame, events: DataFrame, by: Sequence[str], order: Sequ
     return filled.filter("_row = 1").select(*rows.columns, f"last_{value}")
 
 
-def nearest(left: DataFrame, right: DataFrame, on: str, distance: Column, ties: Sequence[str], key: str) -> DataFrame:
-    """For each left key the right row of the same group at the least distance, ties by `ties`: a group-wise minimum, so no sort of pairs."""
-    pairs = left.join(right, on).withColumn("_distance", distance)
-    best = pairs.groupBy(key).agg(F.min_by(F.struct(*pairs.columns), F.struct("_distance", *ties)).alias("r"))
-    return best.select("r.*").withColumnRenamed("_distance", "distance")
+def nearest_in_order(left: DataFrame, right: DataFrame, by: str, at: str, left_key: str, right_key: str) -> DataFrame:
+    """(left_key, right_key, distance): for each left row the right row of its group whose `at` is nearest, ties to the smaller right key.
+
+    Both sides are sorted together once a direction; the neighbours below and above are the only candidates, so no pairs are made.
+    Rows whose group has no right row have nulls.
+    """
+    rows = left.select(by, at, F.col(left_key).alias("_left"), F.lit(None).cast(right.schema[right_key].dataType).alias("_right"))
+    both = rows.unionByName(right.select(by, at, F.lit(None).cast(left.schema[left_key].dataType).alias("_left"), F.col(right_key).alias("_right")))
+    seen = F.when(F.col("_right").isNotNull(), F.struct(F.col(at).alias("at"), F.col("_right").alias("key")))
+    below = F.last(seen, True).over(W.partitionBy(by).orderBy(at, F.desc_nulls_last("_right")).rowsBetween(W.unboundedPreceding, 0))
+    above = F.first(seen, True).over(W.partitionBy(by).orderBy(at, F.asc_nulls_first("_right")).rowsBetween(0, W.unboundedFollowing))
+    found = both.withColumns({"_below": below, "_above": above}).filter("_left IS NOT NULL")
+    ranked = F.array_sort(F.filter(F.array("_below", "_above"), lambda x: x.isNotNull()), lambda x, y: F.when(_away(x, at) < _away(y, at), -1).when(_away(x, at) > _away(y, at), 1).when(x["key"] < y["key"], -1).when(x["key"] > y["key"], 1).otherwise(0))
+    best = F.get(ranked, F.lit(0))
+    return found.select(F.col("_left").alias(left_key), best["key"].alias(right_key), _away(best, at).alias("distance"))
+
+
+def _away(x: Column, at: str) -> Column:
+    return F.abs(F.col(at) - x["at"])
 
 
 def positional_join(left: DataFrame, right: DataFrame, by: str, left_order: Sequence[str], right_order: Sequence[str]) -> DataFrame:

@@ -24,6 +24,11 @@ def carried(value: Column | str, by: Sequence[str], order: Sequence[str]) -> Col
     return F.last(value, True).over(W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
 
 
+def running_count(condition: Column, by: Sequence[str], order: Sequence[str]) -> Column:
+    """How many rows up to this one meet a condition."""
+    return F.count_if(condition).over(W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
+
+
 def gaps(rows: DataFrame, by: str, number: str) -> DataFrame:
     """(by, missing): the numbers between 1 and a group's largest that it lacks."""
     seen = rows.groupBy(by).agg(F.max(number).alias("top"), F.collect_set(F.col(number).cast("int")).alias("seen")).filter("top >= 1")

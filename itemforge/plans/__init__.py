@@ -1,7 +1,4 @@
 """Registered queries with their reference SQL."""
 
-from itemforge.plans import relational
-
-MODULES = (relational,)
-QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
-ORACLES = {k: v for m in MODULES for k, v in m.ORACLES.items()}
+from itemforge.plans import relational, sequences, streams, texts
+from itemforge.plans.registry import ORACLES, QUERIES

@@ -142,28 +142,45 @@ def sketches(docs: DataFrame, shingle_words: int = 5, text: str = "text", key: s
     return docs.select(F.col(key).cast("long").alias(key), text_bytes(text)).mapInArrow(run, ", ".join(f"{n} long" for n in (key, *names)))
 
 
+def _verified(pairs: DataFrame, nodes: DataFrame, names: list[str], similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sketches are as close as the similarity asks."""
+    left, right = nodes.select(F.col("node").alias("a"), F.struct(*names).alias("fa")), nodes.select(F.col("node").alias("b"), F.struct(*names).alias("fb"))
+    away = sum((F.bit_count(F.col(f"fa.{f}").bitwiseXOR(F.col(f"fb.{f}"))) for f in names), F.lit(0))
+    return pairs.join(left, "a").join(right, "b").filter(away <= similar_distance(similarity)).select("a", "b")
+
+
+def _hub_pairs(nodes: DataFrame, names: list[str]) -> DataFrame:
+    """(a, b): each node with the smallest and the largest of those that share a whole segment with it, so a large group gives two pairs a node."""
+    keys = F.array(*(F.struct(F.lit(t * len(SEGMENTS) + s).alias("g"), _segment(F.col(f), s).alias("part")) for t, f in enumerate(names) for s in range(len(SEGMENTS))))
+    each = nodes.select("node", F.inline(keys))
+    ends = each.groupBy("g", "part").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
+    met = each.join(ends, ["g", "part"]).select("node", F.explode(F.array("low", "high")).alias("hub")).filter("node <> hub")
+    return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+
+
 def similar_groups(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, component_id): groups of texts whose sets of shingles are similar, judged by the bits of their sketches.
 
     Variants of every fingerprint's segments retrieve pairs; a pair links if the distance of all TABLES fingerprints is that of
-    the similarity or less. A pair is retrieved with probability 0.86 at a similarity of 0.8, 0.99 at 0.9. Nulls as in near_duplicates.
+    the similarity or less. A pair is retrieved with probability 0.86 at a similarity of 0.8, 0.99 at 0.9. Links to hubs come
+    first: a pair within one of the components that they make can change no group, so it is not retrieved. Nulls as in near_duplicates.
     """
     names = [f"f{k}" for k in range(TABLES)]
     each = materialise(sketches(docs.filter(F.col(key).isNotNull()), shingle_words, text, key), "sketches")
-    nodes = materialise(each.groupBy(*names).agg(F.min(key).alias("node")), "nodes")
-    tables = [variants(nodes.select("node", F.col(f).alias("fp"))).select(F.shiftleft("rest", 5).bitwiseOR(F.col("at").cast("long")).alias("low"), F.lit(k).alias("t"), "seg", "node", "fp") for k, f in enumerate(names)]
+    bare = materialise(each.groupBy(*names).agg(F.min(key).alias("node")), "nodes")
+    hubs = materialise(_verified(_hub_pairs(bare, names), bare, names, similarity), "hubs")
+    nodes = materialise(bare.join(components(hubs, "a", "b"), "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component"), "nodes")
+    tables = [variants(nodes.select(F.struct("node", "c").alias("node"), F.col(f).alias("fp"))).select(F.shiftleft("rest", 5).bitwiseOR(F.col("at").cast("long")).alias("low"), F.lit(k).alias("t"), "seg", "node.node", "node.c", "fp") for k, f in enumerate(names)]
     index = tables[0]
     for t in tables[1:]:
         index = index.union(t)
-    index = index.select(F.shiftleft("low", 4).bitwiseOR((F.col("t") * len(SEGMENTS) + F.col("seg")).cast("long")).alias("k"), "node", "fp")
+    index = index.select(F.shiftleft("low", 4).bitwiseOR((F.col("t") * len(SEGMENTS) + F.col("seg")).cast("long")).alias("k"), "node", "c", "fp")
     x, y = index.alias("x"), index.alias("y")
     close = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= TABLE_DISTANCE
-    met = x.join(y, (F.col("x.k") == F.col("y.k")) & (F.col("x.node") < F.col("y.node")) & close).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    left, right = nodes.select(F.col("node").alias("a"), F.struct(*names).alias("fa")), nodes.select(F.col("node").alias("b"), F.struct(*names).alias("fb"))
-    away = sum((F.bit_count(F.col(f"fa.{f}").bitwiseXOR(F.col(f"fb.{f}"))) for f in names), F.lit(0))
-    linked = met.join(left, "a").join(right, "b").filter(away <= similar_distance(similarity)).select("a", "b")
-    found = components(linked, "a", "b")
-    named = nodes.join(found, "node", "left").select(*names, F.coalesce("component", "node").alias("component_id"))
+    met = x.join(y, (F.col("x.k") == F.col("y.k")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.c") != F.col("y.c")) & close)
+    linked = _verified(met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), bare, names, similarity)
+    found = components(hubs.union(linked), "a", "b")
+    named = bare.join(found, "node", "left").select(*names, F.coalesce("component", "node").alias("component_id"))
     return each.join(named, names).select(key, "component_id")
 
 

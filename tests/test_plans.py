@@ -26,7 +26,7 @@ def plain(value):
 def test_query_matches_sql(spark, sf_dir, con, name):
     found = QUERIES[name](spark, sf_dir)
     names = sorted(found.columns)
-    wanted = con.sql(f"SELECT {', '.join(names)} FROM ({ORACLES[name]})")
+    wanted = con.sql(f"SELECT {', '.join(f'"{c}"' for c in names)} FROM ({ORACLES[name]})")
     assert sorted(wanted.columns) == names
     rows = lambda them: sorted((tuple(map(plain, r)) for r in them), key=lambda r: tuple(map(repr, r)))
     assert rows(found.select(*names).collect()) == rows(wanted.fetchall())

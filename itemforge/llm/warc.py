@@ -1,7 +1,8 @@
 """WARC archives through Spark's own sink, and their capture index by external merge.
 
 Records are written as lines of a text table whose line separator closes a record, so Spark's output commit covers
-lost executors, on any file system. Reading splits at a separator that ends in the archive's own identifier, which
+lost executors, on any file system. Archives are gzip files, one for each task of the join that finds revisits, which
+is what bounds their size. Reading splits at a separator that ends in the archive's own identifier, which
 no payload holds: `boundary` makes sure. The index of captures is sorted run by run; a range partition then merges
 its parts of all runs with a loser tree.
 """
@@ -102,7 +103,7 @@ def write_archives(pages: DataFrame, path: str, least_revisit: int = 0, key: str
 
     records = dealt.select("page", "url", "payload", refers.alias("refers")).mapInArrow(run, "value binary")
     # The separator opens each record; a line break closes the file's last one.
-    records.select(F.col("value").cast("string")).write.option("lineSep", "\r\n\r\n").text(path)
+    records.select(F.col("value").cast("string")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
     return name
 
 

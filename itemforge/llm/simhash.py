@@ -75,6 +75,16 @@ def _segment(x: Column, s: int) -> Column:
     return F.shiftrightunsigned(x, first).bitwiseAND(F.lit((1 << width) - 1))
 
 
+def _counts(differ: Column, seg: Column, at: Column) -> Column:
+    """Whether a pair that differs in these bits counts at this segment and wildcard: one of those where it meets."""
+    first, here = F.lit(-1), F.lit(0).cast("long")
+    for s in reversed(range(len(SEGMENTS))):
+        first = F.when(F.bit_count(_segment(differ, s)) <= 1, F.lit(s)).otherwise(first)
+        here = F.when(seg == s, _segment(differ, s)).otherwise(here)
+    # The differing bit of a segment must be the wildcard; an equal segment counts at position 0 alone.
+    return F.when(here == 0, at == 0).otherwise(here == F.call_function("shiftleft", F.lit(1).cast("long"), at)) & (first == seg)
+
+
 def links(nodes: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """(a, b, distance) for every pair of nodes with distinct fingerprints at a distance of max_distance (4 at most), each once.
 
@@ -86,16 +96,8 @@ def links(nodes: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     index = variants(nodes)
     x, y = index.alias("x"), index.alias("y")
     differ = F.col("x.fp").bitwiseXOR(F.col("y.fp"))
-    first = F.lit(-1)
-    for s in reversed(range(len(SEGMENTS))):
-        first = F.when(F.bit_count(_segment(differ, s)) <= 1, F.lit(s)).otherwise(first)
-    here = F.lit(0).cast("long")
-    for s in range(len(SEGMENTS)):
-        here = F.when(F.col("x.seg") == s, _segment(differ, s)).otherwise(here)
-    # The differing bit of a segment must be the wildcard; an equal segment counts at position 0 alone.
-    at = F.when(here == 0, F.col("x.at") == 0).otherwise(here == F.expr("shiftleft(1L, x.at)"))
     on = (F.col("x.seg") == F.col("y.seg")) & (F.col("x.at") == F.col("y.at")) & (F.col("x.rest") == F.col("y.rest"))
-    met = x.join(y, on & (F.col("x.node") < F.col("y.node")) & (F.bit_count(differ) <= max_distance) & at & (first == F.col("x.seg")))
+    met = x.join(y, on & (F.col("x.node") < F.col("y.node")) & (F.bit_count(differ) <= max_distance) & _counts(differ, F.col("x.seg"), F.col("x.at")))
     return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.bit_count(differ).alias("distance"))
 
 
@@ -158,28 +160,33 @@ def _hub_pairs(nodes: DataFrame, names: list[str]) -> DataFrame:
     return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
+def _between_components(nodes: DataFrame) -> DataFrame:
+    """(a, b): pairs of nodes (node, fp, c) in different components c that meet in a variant of fp, each once."""
+    index = variants(nodes.select(F.struct("node", "c").alias("node"), "fp"))
+    index = index.select(F.shiftleft("rest", 7).bitwiseOR((F.col("at") * 4 + F.col("seg")).cast("long")).alias("k"), "node.node", "node.c", "fp")
+    x, y = index.alias("x"), index.alias("y")
+    differ, k = F.col("x.fp").bitwiseXOR(F.col("y.fp")), F.col("x.k").cast("int")
+    once = (F.bit_count(differ) <= TABLE_DISTANCE) & _counts(differ, k.bitwiseAND(3), F.shiftright(k, 2).bitwiseAND(31))
+    met = x.join(y, (F.col("x.k") == F.col("y.k")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.c") != F.col("y.c")) & once)
+    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
 def similar_groups(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, component_id): groups of texts whose sets of shingles are similar, judged by the bits of their sketches.
 
     Variants of every fingerprint's segments retrieve pairs; a pair links if the distance of all TABLES fingerprints is that of
     the similarity or less. A pair is retrieved with probability 0.86 at a similarity of 0.8, 0.99 at 0.9. Links to hubs come
-    first: a pair within one of the components that they make can change no group, so it is not retrieved. Nulls as in near_duplicates.
+    first, then one fingerprint after another: a pair within one of the components made so far can change no group, so it is
+    not retrieved. Nulls as in near_duplicates.
     """
     names = [f"f{k}" for k in range(TABLES)]
     each = materialise(sketches(docs.filter(F.col(key).isNotNull()), shingle_words, text, key), "sketches")
     bare = materialise(each.groupBy(*names).agg(F.min(key).alias("node")), "nodes")
-    hubs = materialise(_verified(_hub_pairs(bare, names), bare, names, similarity), "hubs")
-    nodes = materialise(bare.join(components(hubs, "a", "b"), "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component"), "nodes")
-    tables = [variants(nodes.select(F.struct("node", "c").alias("node"), F.col(f).alias("fp"))).select(F.shiftleft("rest", 5).bitwiseOR(F.col("at").cast("long")).alias("low"), F.lit(k).alias("t"), "seg", "node.node", "node.c", "fp") for k, f in enumerate(names)]
-    index = tables[0]
-    for t in tables[1:]:
-        index = index.union(t)
-    index = index.select(F.shiftleft("low", 4).bitwiseOR((F.col("t") * len(SEGMENTS) + F.col("seg")).cast("long")).alias("k"), "node", "c", "fp")
-    x, y = index.alias("x"), index.alias("y")
-    close = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= TABLE_DISTANCE
-    met = x.join(y, (F.col("x.k") == F.col("y.k")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.c") != F.col("y.c")) & close)
-    linked = _verified(met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), bare, names, similarity)
-    found = components(hubs.union(linked), "a", "b")
+    found = components(_verified(_hub_pairs(bare, names), bare, names, similarity), "a", "b")
+    for f in names:
+        nodes = materialise(bare.select("node", F.col(f).alias("fp")).join(found, "node", "left").select("node", "fp", F.coalesce("component", "node").alias("c")), "nodes")
+        linked = _verified(_between_components(nodes), bare, names, similarity)
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(linked), "a", "b")
     named = bare.join(found, "node", "left").select(*names, F.coalesce("component", "node").alias("component_id"))
     return each.join(named, names).select(key, "component_id")
 

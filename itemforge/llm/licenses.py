@@ -98,7 +98,9 @@ def retrieved(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, text
     bands = _template_bands(known)
     rows = bands.select("band", "key").distinct().collect()
     longest = max(r[0] for r in known.select("n_words").collect())
-    pairs = with_pairs(docs, [key], F.coalesce(F.col(text), F.lit(""))).filter(F.size("pairs") > 0)
+    # A band's key is the hash of a template's pair, so a text without any of these pairs meets no band.
+    wanted = [r[0] for r in known.select(F.explode("pairs")).distinct().collect()]
+    pairs = with_pairs(docs, [key], F.coalesce(F.col(text), F.lit(""))).filter(F.exists("pairs", _among(wanted)))
     starts = F.sequence(F.lit(1), F.size("pairs"), F.lit(STRIDE))
     mins = F.transform(starts, lambda s: F.struct(s.alias("at"), F.array_min(F.slice("hashes", s, WINDOW - 1)).alias("key")))
     met = F.filter(mins, lambda x: x["key"].isin([r[1] for r in rows]))

@@ -100,3 +100,20 @@ def test_similar_groups_find_near_copies_and_leave_others(make_docs):
     found = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(make_docs(rows)).collect()}
     assert sum(found[1000 + k] == k for k in range(40)) >= 38
     assert all(found[k] == k for k in range(40))
+
+
+def test_similar_groups_match_brute_force_around_the_threshold(make_docs):
+    rng = random.Random(3)
+    vocabulary = [f"word{k}" for k in range(3000)]
+    rows = []
+    for k in range(60):
+        words = [rng.choice(vocabulary) for _ in range(300)]
+        near = list(words)
+        for at in rng.sample(range(300), 5 + k % 4):  # Jaccard similarity of five-word shingles about 0.76 to 0.85
+            near[at] = "changed"
+        rows += [(k, " ".join(words)), (1000 + k, " ".join(near))]
+    sets = {k: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for k, t in rows for w in [t.split()]}
+    near = {k: 5 * len(sets[k] & sets[1000 + k]) >= 4 * len(sets[k] | sets[1000 + k]) for k in range(60)}
+    assert 10 < sum(near.values()) < 50
+    found = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(make_docs(rows)).collect()}
+    assert found == {k: k for k in range(60)} | {1000 + k: k if near[k] else 1000 + k for k in range(60)}

@@ -34,11 +34,35 @@ IMPLIED = {
 #: An end tag doesn't reach past these.
 SCOPE = {"li": {"ul", "ol"}, "p": {"td", "th", "table", "li", "div"}} | {t: {"table"} for t in ("td", "th", "tr", "tbody", "thead", "tfoot", "caption")}
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|style\s*=\s*(?:\"[^\"]*|'[^']*|\S*)(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+#: Start tags that leave an open head open; all others, and text, end it.
+IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript noframes template".split())
+
+# Possessive, so a tag that never ends is read once. A quote in an unquoted value is a character of it.
+_VALUE = r"\"[^\"]*+\"|'[^']*+'|[^ \t\n\r\f>\"'][^ \t\n\r\f>]*+|"
+_NAME = r"=[^ \t\n\r\f/>=]*+|[^ \t\n\r\f/>=]++"
+_GIVES = r"[ \t\n\r\f]*+=[ \t\n\r\f]*+"
+_TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^ \t\n\r\f/>]*+)((?:[ \t\n\r\f/]++|(?:{_NAME})(?:{_GIVES}(?:{_VALUE}))?+)*+)>|<[!?/][^>]*>", re.S)
+_ATTRIBUTE = re.compile(rf"({_NAME})(?:{_GIVES}({_VALUE}))?+")
+_MAY_HIDE = re.compile(r"hidden|style", re.I)
+_HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)(?![\w-])", re.I)
+_CSS_COMMENT = re.compile(r"/\*.*?\*/", re.S)
 _BLANK = re.compile(r"[ \t\n\r\f]+")
 
 
+def hides(attributes: str) -> bool:
+    """Whether a tag's attributes, or the style that they give, hide its element; of attributes with one name the first counts."""
+    if not _MAY_HIDE.search(attributes):
+        return False
+    given: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(attributes):
+        given.setdefault(name.lower(), value)
+    if "hidden" in given:
+        return True
+    style = given.get("style", "")
+    style = style[1:-1] if style[:1] in ("'", '"') else style
+    return bool(_HIDING.search(_CSS_COMMENT.sub("", unescape(style))))
+
+
 class Text:
     """Lines under construction; breaks are written when text follows."""
 
@@ -163,7 +187,14 @@ class Page:
             if self.open[k][0] in stop:
                 return
 
+    def leave_head(self) -> None:
+        """End an open head where something stands that none can hold."""
+        if self.open and self.open[-1][0] == "head":
+            self.end()
+
     def words(self, text: str) -> None:
+        if self.hidden and self.open[-1][0] == "head" and unescape(text).strip(" \t\n\r\f"):
+            self.leave_head()
         if not self.hidden and text:
             text = unescape(text) if "&" in text else text
             if self.pre:
@@ -187,10 +218,16 @@ def render(html: str) -> str:
         tag = m[2].lower()
         if m[1]:
             if tag == "br":
+                page.leave_head()
                 page.text[-1].line(1)
             elif tag not in VOID:
                 page.end_nearest(tag)
             continue
+        if page.open and page.open[-1][0] == "head":
+            if tag in ("html", "head"):
+                continue
+            if tag not in IN_HEAD:
+                page.leave_head()
         if tag in VOID:
             if not page.hidden and tag in ("br", "hr"):
                 page.text[-1].line(1 if tag == "br" else 2)
@@ -199,7 +236,7 @@ def render(html: str) -> str:
             page.end_through(*IMPLIED[tag])
         elif tag in ENDS_P:
             page.end_through({"p"}, {"td", "th", "table", "li", "dd", "div", "body"})
-        page.start(tag, tag in UNSEEN or bool(m[3]) and bool(_HIDDEN.search(m[3])))
+        page.start(tag, tag in UNSEEN or bool(m[3]) and hides(m[3]))
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
             if tag == "textarea":

@@ -110,6 +110,17 @@ def test_rendering(html, text):
     assert htmltext.render(html) == text
 
 
+@pytest.mark.parametrize(("html", "text"), [
+    ("<head><title>t</title><p>text", "text"), ("<html><head>\n<meta charset=x><link rel=y>\ntext<div>more", "text\nmore"), ("<head><title>t</title><br>x", "x"),
+    ("<head><script>a</script><style>b</style></head><p>x", "x"), ("<head><title>t</title> </head> <body>x", "x"), ("<head><noscript><p>no</p></noscript><p>x", "x"),
+    ('<p title="the hidden valley">a</p>', "a"), ('<p class="a hidden b">a</p>', "a"), ('<p data-style="display:none">a</p>', "a"), ("<p title=hidden>a</p>", "a"),
+    ("<p HIDDEN>no</p>a", "a"), ("<p class=x hidden=''>no</p>a", "a"), ("<p style=display:none>no</p>a", "a"), ("<p style='color:red; Visibility : hidden'>no</p>a", "a"),
+    ("<p title=it's>a</p><p>b's</p>", "a\n\nb's"), ('<p title="a > b">c</p>', "c"), ("<p a= b==c = x/>d", "d"), ("<a href=x/>a</a>", "a"), ("1 < 2 <b", "1 < 2 <b"),
+])
+def test_rendering_of_open_heads_and_attributes(html, text):
+    assert htmltext.render(html) == text
+
+
 def test_pages_of_all_kinds(spark):
     deep = "<div>" * 20_000 + "x"
     pages = spark.createDataFrame([(1, None, "a"), (2, "", "a"), (3, deep, "a"), (3, deep, "a"), (None, "<p>k", "a")], "page_id long, html string, text string")

@@ -58,10 +58,25 @@ class Words(dict):
         return at
 
 
-def _windows(texts: list[str], sizes: list[int], keep, words: Words) -> Iterator[tuple[int, int, int, list[str]]]:
-    """(text, position, hash, slots) of the template windows whose hash `keep` (a boolean mask of hashes) keeps.
+def _hashed(at: np.ndarray, size: int, first: np.ndarray, body: np.ndarray) -> np.ndarray:
+    """The hash of the windows at these positions: of first's token there and body's tokens after it."""
+    h = np.zeros(len(at), np.uint64)
+    for k in range(size):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + (body[at + k] if k else first[at])
+        if k & 3 == 3:
+            h ^= h >> np.uint64(31)
+    return h
 
-    sizes: the window size for each text. A text with fewer tokens has no window.
+
+def _windows(texts: list[str], sizes: tuple[int, ...], keep, words: Words) -> Iterator[tuple[int, int, int, int, list[str]]]:
+    """(text, position, size, hash, slots) of the windows whose hash `keep` (a boolean mask of hashes) keeps.
+
+    sizes: the sizes to look for; a negative one asks for windows of folded tokens without placeholders. Without any, each
+    text is a benchmark's: its windows are of WINDOW tokens, or of all where it has fewer, and those with fewer than MIN_LITERAL words
+    don't count; a text in which none counts is one window without placeholders.
+
+    A capital at a sentence's start or a window's says little, so each window comes with these words as they are and as names:
+    its first word and the others in both ways.
     """
     tokens = [_TOKEN.findall(t) for t in texts]
     ids = np.fromiter((words[x] for row in tokens for x in row), np.int64)
@@ -75,38 +90,63 @@ def _windows(texts: list[str], sizes: list[int], keep, words: Words) -> Iterator
     fresh[1:] = (kind[:-1] == BREAK) | (text[1:] != text[:-1])
     after_number = np.zeros(len(ids), bool)
     after_number[1:] = (kind[:-1] == NUMBER) & (text[1:] == text[:-1])
-    kind[(kind == CAPITAL) & fresh] = LITERAL
+    capital = kind == CAPITAL
+    kind[capital & fresh] = LITERAL
     kind[(kind == UNIT) & ~after_number] = LITERAL
     whole = np.flatnonzero(kind != BREAK)
-    kind, hashes, text, flat = kind[whole], hashes[whole], text[whole], ids[whole]
+    kind, folded, text, flat, capital = kind[whole], hashes[whole], text[whole], ids[whole], capital[whole]
     # What stands before a window must not matter: its own first token is a word or a number.
-    lead = np.where(kind == NUMBER, np.uint64(_PLACE[NUMBER]), hashes)
+    lead = np.where(kind == NUMBER, np.uint64(_PLACE[NUMBER]), folded)
+    plain = folded.copy()
     for k, h in _PLACE.items():
-        hashes[kind == k] = np.uint64(h)
-    bounds = starts_of(np.bincount(text, minlength=len(texts)))
+        plain[kind == k] = np.uint64(h)
+    named = np.where(capital, np.uint64(_PLACE[CAPITAL]), plain)
+    counts = np.bincount(text, minlength=len(texts))
+    bounds = starts_of(counts)
     names = list(words)
-    for size in sorted(set(sizes)):
-        n = len(hashes) - size + 1
+    literal, doubtful = starts_of(kind == LITERAL), starts_of(capital & (kind == LITERAL))
+    asked = not sizes
+    own = np.minimum(counts, WINDOW)
+    counted = np.zeros(len(texts), bool)
+    for size in sizes or sorted(set(own[own > 0].tolist())):
+        n = len(folded) - abs(size) + 1
         if n < 1:
             continue
-        h = np.zeros(n, np.uint64)
-        for k in range(size):
-            h = h * np.uint64(0x9E3779B97F4A7C15) + (hashes[k : k + n] if k else lead[:n])
-            if k & 3 == 3:
-                h ^= h >> np.uint64(31)
-        literal = starts_of(kind == LITERAL)
-        of = text[:n]
-        good = (text[size - 1 :] == of) & (literal[size:] - literal[:n] >= min(MIN_LITERAL, size)) & keep(h)
-        for at in np.flatnonzero(good).tolist():
-            if sizes[of[at]] == size:
-                slots = [_MARK[k] + names[x].lower() for k, x, i in zip(kind[at : at + size].tolist(), flat[at : at + size].tolist(), range(size), strict=True) if k == NUMBER or i and k != LITERAL]
-                yield int(of[at]), int(at - bounds[of[at]]), int(h[at].view(np.int64)), slots
-
-
-def template_windows(rows: DataFrame, key: str, text: str = "text", window: int = WINDOW, sizes: tuple[int, ...] = (), only: np.ndarray | None = None) -> DataFrame:
-    """(key, at, size, hash, slots) of every template window of each whole text, or of those whose hash is in `only`.
-
-    sizes: the window sizes to look for; without any, each text has its own: `window`, or its number of tokens where that is smaller.
+        good = text[abs(size) - 1 :] == text[:n]
+        if size < 0:
+            at = np.flatnonzero(good)
+            yield from _kept(at, _hashed(at, -size, folded, folded), keep, text, bounds, size, lambda _: [])
+            continue
+        if asked:
+            good &= (own[text[:n]] == size) & (literal[size:] - literal[:n] + (capital & (kind != LITERAL))[:n] >= MIN_LITERAL)
+            counted[text[:n][good]] = True
+        inner = doubtful[size:] > doubtful[1 : n + 1]
+        for as_name, body in ((False, plain), (False, named), (True, plain), (True, named)):
+            at = np.flatnonzero(good & (capital[:n] | (not as_name)) & (inner | (body is plain)))
+
+            def slots(a: int, size: int = size, as_name: bool = as_name, body: np.ndarray = body) -> list[str]:
+                out = []
+                for i in range(a, a + size):
+                    k = CAPITAL if capital[i] and (as_name if i == a else body is named) else int(kind[i])
+                    if k == NUMBER or k != LITERAL and (i > a or as_name):
+                        out.append(_MARK[k] + names[flat[i]].lower())
+                return out
+
+            yield from _kept(at, _hashed(at, size, np.where(capital, np.uint64(_PLACE[CAPITAL]), lead) if as_name else lead, body), keep, text, bounds, size, slots)
+    if asked:
+        for i in np.flatnonzero(~counted & (counts > 0)).tolist():
+            at = bounds[i : i + 1]
+            yield from _kept(at, _hashed(at, int(counts[i]), folded, folded), keep, text, bounds, -int(counts[i]), lambda _: [])
+
+
+def _kept(at: np.ndarray, h: np.ndarray, keep, text: np.ndarray, bounds: np.ndarray, size: int, slots) -> Iterator[tuple[int, int, int, int, list[str]]]:
+    some = keep(h)
+    for a, x in zip(at[some].tolist(), h[some].view(np.int64).tolist(), strict=True):
+        yield int(text[a]), int(a - bounds[text[a]]), size, x, slots(a)
+
+
+def template_windows(rows: DataFrame, key: str, text: str = "text", sizes: tuple[int, ...] = (), only: np.ndarray | None = None) -> DataFrame:
+    """(key, at, size, hash, slots) of every window of each whole text, or of those whose hash is in `only`; sizes as in _windows.
     """
     schema = pa.schema([(key, pa.int64()), ("at", pa.int32()), ("size", pa.int32()), ("hash", pa.int64()), ("slots", pa.list_(pa.string()))])
     table_bits = None
@@ -137,13 +177,7 @@ def template_windows(rows: DataFrame, key: str, text: str = "text", window: int
                 part = texts[step:upto]
                 if len(words) > CHUNK:
                     words = Words()
-                out: list[tuple] = []
-                if sizes:
-                    for size in sizes:
-                        out += [(keys[step + i], at, size, h, slots) for i, at, h, slots in _windows(part, [size] * len(part), keep, words)]
-                else:
-                    own = [min(window, max(1, sum(words.kinds[words[x]] != BREAK for x in _TOKEN.findall(t)))) for t in part]
-                    out = [(keys[step + i], at, own[i], h, slots) for i, at, h, slots in _windows(part, own, keep, words)]
+                out = [(keys[step + i], *rest) for i, *rest in _windows(part, sizes, keep, words)]
                 if out:
                     yield batch(dict(zip(schema.names, map(list, zip(*out, strict=True)), strict=True)), schema)
                 step = upto
@@ -157,22 +191,22 @@ def consistent(a: str, b: str) -> Column:
     return (F.size(a) == F.size(b)) & (pairs == F.size(F.array_distinct(a))) & (pairs == F.size(F.array_distinct(b)))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", key: str = "doc_id", item: str = "item_id") -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id") -> DataFrame:
     """(key, item, n_windows, item_windows, exact boolean): documents that hold a benchmark question, or one like it with other values.
 
     One consistent window is enough; exact says whether some window has the benchmark's own values. Items with fewer tokens than a
-    window count as one window; those with fewer than MIN_LITERAL words, null and empty texts match nothing. Rows with null keys count
-    as no document.
+    window count as one window. Items without a window of MIN_LITERAL words, however short, match where all their tokens stand in a
+    row, without regard to case. Null and empty texts match nothing. Rows with null keys count as no document.
     """
-    asked = template_windows(benchmark.filter(F.col(item).isNotNull()), item, "text", window).filter(F.col("size") >= MIN_LITERAL)
+    asked = template_windows(benchmark.filter(F.col(item).isNotNull()), item, "text")
     n = asked.count()
     small = n <= LOCAL_WINDOWS
-    sizes = tuple(sorted(r[0] for r in asked.select("size").distinct().collect())) or (window,)
+    sizes = tuple(sorted(r[0] for r in asked.select("size").distinct().collect())) or (WINDOW,)
     only = np.array([r[0] for r in asked.select("hash").distinct().collect()], np.int64) if small else None
-    found = template_windows(docs.filter(F.col(key).isNotNull()), key, text, window, sizes, only)
+    found = template_windows(docs.filter(F.col(key).isNotNull()), key, text, sizes, only)
     right = asked.select(item, F.col("at").alias("item_at"), "size", "hash", F.col("slots").alias("item_slots"))
     met = found.join(F.broadcast(right) if small else right, ["size", "hash"]).filter(consistent("slots", "item_slots"))
-    totals = asked.groupBy(item).agg(F.count("*").alias("item_windows"))
+    totals = asked.groupBy(item).agg(F.countDistinct("at").alias("item_windows"))
     pairs = met.groupBy(key, item).agg(F.countDistinct("item_at").alias("n_windows"), F.bool_or(F.col("slots") == F.col("item_slots")).alias("exact"))
     return pairs.join(F.broadcast(totals) if small else totals, item).select(key, item, "n_windows", "item_windows", "exact")
 

@@ -85,6 +85,16 @@ def test_inconsistent_slots_are_no_leak(spark, make_docs):
     assert {r["doc_id"]: r["exact"] for r in decontaminate.contaminated(docs, bench).collect()} == {1: False, 3: True}
 
 
+def test_names_at_a_start_and_short_items(spark, make_docs):
+    items = {1: "Maria has 12 apples and eats 5 of them", 2: "Maria has many red apples. Peter gives her 5 more apples. How many of them are left over now", 3: "What is 12 + 7 * 3", 4: "Name The Capital Of New Zealand"}
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    changed = {1: "Elena has 30 apples and eats 8 of them", 2: items[2].replace("Maria", "Elena").replace("Peter", "Ivan").replace("5", "8")}
+    docs = [(k, t) for k, t in items.items()] + [(10 * k, f"so we ask {t} today") for k, t in changed.items()] + [(100 * k, f"Well. {t}") for k, t in changed.items()]
+    docs += [(5, "what is 12 + 8 * 3"), (6, "name a capital of new zealand"), (30, "tell me what is 12 + 7 * 3 now"), (40, "so name the capital of new zealand"), (7, "Elena has 30 apples and eats 30 of them. Well")]
+    found = {(r["doc_id"], r["item_id"]): (r["exact"], r["n_windows"] <= r["item_windows"]) for r in decontaminate.contaminated(make_docs(docs), bench).collect()}
+    assert found == {(k, k): (True, True) for k in items} | {(f * k, k): (False, True) for k in changed for f in (10, 100)} | {(30, 3): (True, True), (40, 4): (True, True)}
+
+
 def test_base_score_matches_brute_force_and_the_model_beats_it(make_docs, documents, odd):
     rows = documents + odd
     held = lambda k: zlib.crc32(b"" if k is None else str(k).encode()) % 10 == 0

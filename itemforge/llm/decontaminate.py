@@ -24,8 +24,8 @@ WINDOW = 13
 MIN_LITERAL = 7
 #: Benchmarks of up to so many windows filter on the map side and are broadcast; larger ones are joined by shuffle.
 LOCAL_WINDOWS = 1_000_000
-#: Tokens that are worked on at once.
-CHUNK = 1_000_000
+#: Tokens that are worked on at once, and words that are numbered at once: what a worker holds.
+CHUNK = 200_000
 #: Abbreviations that count as units after a number.
 UNITS = frozenset("mm cm m km in ft yd mi g mg kg lb oz t l ml cl s sec min h hr ms d w kw v a hz khz mhz ghz j kj cal kcal pa bar c f k mol eur usd gbp euros dollars pounds metres meters miles grams litres liters hours minutes seconds days weeks months years percent degrees".split())
 

@@ -1,4 +1,4 @@
 """Registered queries with their reference SQL."""
 
-from itemforge.plans import relational, sequences, streams, texts
+from itemforge.plans import bank, merging, relational, repairs, sequences, streams, texts
 from itemforge.plans.registry import ORACLES, QUERIES

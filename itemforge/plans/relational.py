@@ -394,12 +394,15 @@ def combo_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
     SELECT 'union' AS op, count(*) AS n FROM (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0)
     UNION ALL SELECT 'except', count(*) FROM (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0 EXCEPT SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0)
-    UNION ALL SELECT 'intersect', count(*) FROM (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0 INTERSECT SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0)""")
+    UNION ALL SELECT 'intersect', count(*) FROM (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0 INTERSECT SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0)
+    UNION ALL SELECT 'except_lines', count(*) FROM (SELECT l_partkey FROM lineitem WHERE l_linenumber < 3 EXCEPT SELECT l_partkey FROM lineitem WHERE l_linenumber > 5)""")
 def set_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = table(spark, sf_dir, "orders").select("o_orderkey")
     a, b = keys.filter("o_orderkey % 2 = 0"), keys.filter("o_orderkey % 3 = 0")
     named = lambda df, op: df.agg(F.count("*").alias("n")).select(F.lit(op).alias("op"), "n")
-    return named(a.unionByName(b), "union").unionByName(named(a.exceptAll(b).distinct(), "except")).unionByName(named(a.intersect(b), "intersect"))
+    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_linenumber")
+    repeated = named(lines.filter("l_linenumber < 3").select("l_partkey").subtract(lines.filter("l_linenumber > 5").select("l_partkey")), "except_lines")
+    return repeated.unionByName(named(a.unionByName(b), "union")).unionByName(named(a.subtract(b), "except")).unionByName(named(a.intersect(b), "intersect"))
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 100 OFFSET 200")

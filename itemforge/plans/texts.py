@@ -137,9 +137,11 @@ def brace_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-    WITH c AS (SELECT doc_id, text, length(text) - length(replace(text, '$', '')) AS d, length(replace(text, ')', '')) - length(replace(text, '(', '')) AS p, length(replace(text, ']', '')) - length(replace(text, '[', '')) AS b FROM documents)
+    WITH m AS (SELECT doc_id, text, regexp_replace(text, '(?s)\$\$.*?\$\$|\$[^$\n]+?\$', '', 'g') AS t FROM documents),
+        c AS (SELECT doc_id, text, t, length(text) - length(replace(text, '$', '')) AS d, length(replace(t, ')', '')) - length(replace(t, '(', '')) AS p, length(replace(t, ']', '')) - length(replace(t, '[', '')) AS b FROM m)
     SELECT doc_id, concat_ws(',', CASE WHEN d % 2 = 1 THEN 'odd_dollars' END, CASE WHEN abs(p) > 1 THEN 'parens' END, CASE WHEN abs(b) > 1 THEN 'brackets' END, CASE WHEN regexp_matches(text, '[A-Za-z]0[A-Za-z]') THEN 'zero_in_word' END,
-        CASE WHEN regexp_matches(text, '\\frac\{[^}]*\}[^{]') THEN 'frac_without_denominator' END, CASE WHEN regexp_matches(text, '\\sqrt[^{\[]') THEN 'sqrt_without_brace' END) AS flags FROM c""")
+        CASE WHEN regexp_matches(text, '\\frac\{[^}]*\}[^{]') THEN 'frac_without_denominator' END, CASE WHEN regexp_matches(text, '\\sqrt[^{\[]') THEN 'sqrt_without_brace' END,
+        CASE WHEN regexp_matches(text, '[\^_][A-Za-z0-9]{2,}') THEN 'bare_script' END, CASE WHEN regexp_matches(t, '[a-záàâãéêíóôõúç]I[a-záàâãéêíóôõúç]') THEN 'capital_i' END) AS flags FROM c""")
 def ocr_lint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).select("doc_id", F.array_join(I.ocr_flags(F.col("text")), ",").alias("flags"))
 
@@ -189,7 +191,7 @@ def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
         R.Rule("V7-short", R.ERROR, F.length(F.regexp_replace("text", r"\s", "")) < 30), R.Rule("V7-source", R.ERROR, F.coalesce("source", F.lit("")) == ""), R.Rule("V15-dollars", R.ERROR, T.odd_dollars(F.col("text"))),
         R.Rule("V22-duplicate", R.ERROR, F.col("copies") > 1), R.Rule("V12-contamination", R.WARNING, F.contains("text", F.lit("###"))), R.Rule("V11-long", R.WARNING, F.length("text") > 5000),
     ]
-    return R.judged(docs.drop("text").join(docs.select("doc_id", "text"), "doc_id").join(counts, "digest"), rules)
+    return R.judged(docs.join(counts, "digest"), rules)
 
 
 _JUDGED = r"""

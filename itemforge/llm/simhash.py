@@ -208,10 +208,15 @@ def _near(x: str, y: str, similarity: float) -> Column:
     return (F.least(n, m) * share.denominator >= F.greatest(n, m) * share.numerator) & (away <= sketch_distance(similarity))
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """(node): both nodes of each pair."""
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+
+
 def _verified(pairs: DataFrame, nodes: DataFrame, sets: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
     """The different pairs (a, b) of nodes whose sets of shingles have this Jaccard similarity or more."""
     pairs = materialise(pairs, "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = _ends(pairs).distinct()
     held = sets(wanted).join(nodes.select("node", "s0", "s1"), ["node", "s0", "s1"]).dropDuplicates(["node", "s0", "s1"])
     held = materialise(held.select("node", "hashes"), "sets")
     met = pairs.join(held.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a").join(held.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b")
@@ -260,7 +265,7 @@ def _labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """nodes with their component c, its size and their number of links, deg."""
     found = components(links, "a", "b")
     sized = found.join(found.groupBy("component").agg(F.count("*").alias("size")), "component").withColumnRenamed("component", "c")
-    deg = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("deg"))
+    deg = _ends(links).groupBy("node").agg(F.count("*").alias("deg"))
     known = nodes.join(sized, "node", "left").join(deg, "node", "left")
     return known.select("node", "n", *FIELDS, F.coalesce("c", "node").alias("c"), F.coalesce("size", F.lit(1)).alias("size"), F.coalesce("deg", F.lit(0)).alias("deg"))
 

@@ -1,10 +1,10 @@
 """WARC archives through Spark's own sink, and their capture index by external merge.
 
-Records are written as lines of a text table whose line separator closes a record, so Spark's output commit covers
-lost executors, on any file system. Archives are gzip files, one for each task of the join that finds revisits, which
-is what bounds their size. Reading splits at a separator that ends in the archive's own identifier, which
-no payload holds: `boundary` makes sure. The index of captures is sorted run by run; a range partition then merges
-its parts of all runs with a loser tree.
+Records are values of a text table, so Spark's output commit covers lost executors, on any file system. Each is a gzip member of its
+own: a member with headers and block, then a constant one with the line breaks that end a record, which is the table's line separator. So a file is an
+ordinary compressed archive that begins with a warcinfo record and that a reader can enter at any record, and Spark can split it.
+Where a record stands in its file is kept in its member's header. The index of captures is sorted run by run; a range partition then
+merges its parts of all runs with a loser tree, and each entry names file, offset and length.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-import uuid
+import struct
+import zlib
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 from urllib.parse import urlsplit
@@ -47,27 +48,53 @@ def url_key(url: str | None) -> str:
     return f"{','.join(reversed(labels))}{shown}){parts.path or '/'}{'?' + parts.query if parts.query else ''}".lower()
 
 
-def boundary(pages: DataFrame, html: str = "html") -> str:
-    """A random identifier that no payload holds."""
-    while True:
-        name = uuid.uuid4().hex
-        if not pages.filter(F.contains(F.col(html), F.lit(name))).head(1):
-            return name
+#: A gzip member's first bytes with an extra field of 20 bytes (RFC 1952), and the name of our entry in it.
+_HEAD, _EXTRA = b"\x1f\x8b\x08\x04\0\0\0\0\0\xff", b"RO\x10\0"
 
 
-def separator(name: str) -> str:
-    """What stands between the payload of one record and the headers of the next."""
-    return f"\r\n\r\nWARC/1.1\r\nWARC-Warcinfo-ID: <urn:uuid:{uuid.UUID(name)}>\r\n"
+def member(data: bytes, at: int) -> bytes:
+    """A gzip member of data that keeps in its header where it starts in its file and how long it is."""
+    deflate = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = deflate.compress(data) + deflate.flush() + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
+    return _HEAD + struct.pack("<H", 20) + _EXTRA + struct.pack("<QQ", at, len(body) + 32) + body
+
+
+def opened(data: bytes) -> tuple[bytes, int, int]:
+    """What a member holds, its place and its length; a member that is cut short or broken raises."""
+    if data[:10] != _HEAD or data[12:16] != _EXTRA:
+        raise ValueError("no member of these archives")
+    at, size = struct.unpack("<QQ", data[16:32])
+    return zlib.decompress(data, 31), at, size
+
+
+def _ending() -> bytes:
+    deflate = zlib.compressobj(9, zlib.DEFLATED, -15)
+    data = b"\r\n\r\n"
+    return b"\x1f\x8b\x08\0\0\0\0\0\x02\xff" + deflate.compress(data) + deflate.flush() + struct.pack("<II", zlib.crc32(data), len(data))
+
+
+#: The member that ends each record. Compressed data holds its 24 bytes by a chance that can be left out; a reader would notice, since the member before it would be cut short.
+ENDING = _ending()
 
 
 def _date(at: int) -> str:
-    return (EPOCH + timedelta(seconds=at % 10**9)).strftime("%Y-%m-%dT%H:%M:%SZ")
+    """The time of record `at`, that many seconds after EPOCH; beyond what four digits of a year allow the last second there is."""
+    most = int((datetime(9999, 12, 31, 23, 59, 59, tzinfo=timezone.utc) - EPOCH).total_seconds())
+    least = -int((EPOCH - datetime(1, 1, 1, tzinfo=timezone.utc)).total_seconds())
+    moment = EPOCH + timedelta(seconds=max(least, min(at, most)))
+    return f"{moment.year:04d}-{moment:%m-%dT%H:%M:%SZ}"
+
+
+def _info(task: int) -> bytes:
+    block = b"software: itemforge\r\nformat: WARC File Format 1.1\r\n"
+    return f"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:archive:{task}>\r\nWARC-Date: {_date(0)}\r\nContent-Type: application/warc-fields\r\nContent-Length: {len(block)}\r\n\r\n".encode() + block
 
 
 def _record(page: int, url: str | None, payload: bytes, refers: int | None) -> bytes:
-    """A record's headers after the separator, and its block; a revisit has no payload and names its response's record and date."""
+    """A record's headers and its block; a revisit has no payload and names its response's record and date."""
     target = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "")
     head = [
+        "WARC/1.1",
         f"WARC-Type: {'response' if refers is None else 'revisit'}",
         f"WARC-Record-ID: <urn:page:{page}>",
         f"WARC-Date: {_date(page)}",
@@ -80,69 +107,87 @@ def _record(page: int, url: str | None, payload: bytes, refers: int | None) -> b
     return "\r\n".join([*head, f"Content-Length: {len(block)}", "", ""]).encode() + block
 
 
-def write_archives(pages: DataFrame, path: str, least_revisit: int = 0, key: str = "page_id", url: str = "url", html: str = "html") -> str:
-    """Write a record for each page under path and return the archives' identifier.
+def write_archives(pages: DataFrame, path: str, least_revisit: int = 0, key: str = "page_id", url: str = "url", html: str = "html") -> None:
+    """Write a record for each page under path.
 
     Of pages with equal payloads of at least least_revisit bytes, the smallest key is the response and the others revisit
-    it. Null html is an empty payload, a null URL an empty target; rows with a null key have no record.
+    it. Null html is an empty payload, a null URL an empty target; rows with a null key have no record. A key that occurs several times has as many records; those
+    whose payload its smallest holder shares are responses all, since none can revisit itself. Digests, not payloads, meet to find revisits; then records are dealt by
+    key and digest, so a payload that a third of all pages share is spread over all files. Other columns, whatever their names, are not read.
     """
     held = pages.filter(F.col(key).isNotNull())
-    name = boundary(held, html)
     bare = held.select(F.col(key).cast("long").alias("page"), F.col(url).alias("url"), text_bytes(html).alias("payload")).withColumn("digest", F.sha2("payload", 256))
-    first = bare.groupBy("digest").agg(F.min("page").alias("first"))
-    dealt = bare.join(first, "digest")
-    refers = F.when((F.col("page") != F.col("first")) & (F.length("payload") >= least_revisit), F.col("first"))
-    mark = separator(name).encode()
+    keys = bare.select("page", "digest", F.length("payload").alias("size"))
+    first = keys.groupBy("digest").agg(F.min("page").alias("first"))
+    again = keys.filter(F.col("size") >= least_revisit).join(first, "digest").filter("page <> first").select("page", "digest", "first").distinct()
+    dealt = bare.join(again, ["page", "digest"], "left")
     schema = pa.schema([("value", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        at = 0
         for b in batches:
             cols = [c.to_pylist() for c in b.columns]
             for k in range(0, b.num_rows, 500):
-                yield batch({"value": [mark + _record(*row) for row in zip(*(c[k : k + 500] for c in cols), strict=True)]}, schema)
+                out = []
+                if not at:
+                    out.append(member(_info(TaskContext.get().partitionId()), 0))
+                    at = len(out[0]) + len(ENDING)
+                for row in zip(*(c[k : k + 500] for c in cols), strict=True):
+                    out.append(member(_record(*row), at))
+                    at += len(out[-1]) + len(ENDING)
+                yield batch({"value": out}, schema)
 
-    records = dealt.select("page", "url", "payload", refers.alias("refers")).mapInArrow(run, "value binary")
-    # The separator opens each record; a line break closes the file's last one.
-    records.select(F.col("value").cast("string")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
-    return name
+    # One task writes one file, so lengths so far are places in it.
+    records = dealt.select("page", "url", "payload", F.col("first").alias("refers")).mapInArrow(run, "value binary")
+    records.select(F.col("value").cast("string")).write.option("encoding", "ISO-8859-1").option("lineSep", ENDING.decode("latin-1")).option("maxRecordsPerFile", 0).text(path)
 
 
 _HEADER = re.compile(rb"([\w-]+): ([^\r\n]*)\r\n")
 
 
-def read_archives(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """(page_id, url, date, record_type, payload_digest, payload_bytes, refers_to, payload binary) of every record under path.
+def parsed(record: bytes) -> tuple | None:
+    """(page_id, url, date, record_type, payload_digest, payload_bytes, refers_to, payload) of a record; None for a warcinfo.
 
     A response's digest and length are those of the block that was read; a difference from its header raises.
     """
-    lines = spark.read.option("lineSep", separator(name)).text(path)
-    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("date", pa.string()), ("record_type", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("refers_to", pa.int64()), ("payload", pa.binary())])
-
-    def parse(record: bytes) -> tuple | None:
-        head, found, rest = record.partition(b"\r\n\r\n")
-        if not found:
-            return None
-        h = {k.decode(): v.decode() for k, v in _HEADER.findall(head + b"\r\n")}
-        block = rest[: int(h["Content-Length"])]
-        if len(block) != int(h["Content-Length"]):
-            raise ValueError(f"{h['WARC-Record-ID']} is cut short")
-        digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
-        page = int(h["WARC-Record-ID"][len("<urn:page:") : -1])
-        if h["WARC-Type"] == "revisit":
-            return page, h["WARC-Target-URI"], h["WARC-Date"], "revisit", digest, int(h["X-Payload-Length"]), int(h["WARC-Refers-To"][len("<urn:page:") : -1]), None
-        if sha1_base32(block) != digest:
-            raise ValueError(f"{h['WARC-Record-ID']} differs from its digest")
-        return page, h["WARC-Target-URI"], h["WARC-Date"], "response", digest, len(block), None, block
+    head, _, rest = record.partition(b"\r\n\r\n")
+    h = {k.decode(): v.decode() for k, v in _HEADER.findall(head + b"\r\n")}
+    if h["WARC-Type"] == "warcinfo":
+        return None
+    block = rest[: int(h["Content-Length"])]
+    if len(block) != int(h["Content-Length"]):
+        raise ValueError(f"{h['WARC-Record-ID']} is cut short")
+    digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
+    page = int(h["WARC-Record-ID"][len("<urn:page:") : -1])
+    if h["WARC-Type"] == "revisit":
+        return page, h["WARC-Target-URI"], h["WARC-Date"], "revisit", digest, int(h["X-Payload-Length"]), int(h["WARC-Refers-To"][len("<urn:page:") : -1]), None
+    if sha1_base32(block) != digest:
+        raise ValueError(f"{h['WARC-Record-ID']} differs from its digest")
+    return page, h["WARC-Target-URI"], h["WARC-Date"], "response", digest, len(block), None, block
+
+
+def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """(page_id, url, date, record_type, payload_digest, payload_bytes, refers_to, payload binary, file, offset, length) of every record under path; see parsed."""
+    lines = spark.read.option("encoding", "ISO-8859-1").option("lineSep", ENDING.decode("latin-1")).text(path)
+    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("date", pa.string()), ("record_type", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("refers_to", pa.int64()), ("payload", pa.binary()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(0, b.num_rows, 500):
-                rows = [r for x in b.column(0)[k : k + 500].to_pylist() if (r := parse(x))]
+                rows = []
+                for x, file in zip(b.column(0)[k : k + 500].to_pylist(), b.column(1)[k : k + 500].to_pylist(), strict=True):
+                    data, at, size = opened(x)
+                    if size != len(x):
+                        raise ValueError(f"a member of {file} at {at} is cut short")
+                    if row := parsed(data):
+                        rows.append((*row[:7], row[7] if payloads else None, file, at, size + len(ENDING)))
                 if rows:
                     yield batch(dict(zip(schema.names, map(list, zip(*rows, strict=True)), strict=True)), schema)
 
-    kinds = "page_id long, url string, date string, record_type string, payload_digest string, payload_bytes long, refers_to long, payload binary"
-    return lines.select(F.col("value").cast("binary")).filter(F.length("value") > 4).mapInArrow(run, kinds)
+    kinds = "page_id long, url string, date string, record_type string, payload_digest string, payload_bytes long, refers_to long, payload binary, file string, offset long, length long"
+    return lines.select(F.col("value").cast("binary"), F.col("_metadata.file_path")).mapInArrow(run, kinds)
 
 
 class LoserTree:
@@ -183,7 +228,7 @@ class LoserTree:
 def sorted_runs(captures: DataFrame, path: str) -> DataFrame:
     """Write the captures' index entries as runs, each sorted by URL key, time and page, and read them: (urlkey, date, page_id, record_type, payload_digest, run, seq)."""
     spark = captures.sparkSession
-    schema = pa.schema([("urlkey", pa.string()), ("date", pa.string()), ("page_id", pa.int64()), ("record_type", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("refers_to", pa.int64()), ("run", pa.int64()), ("seq", pa.int64())])
+    schema = pa.schema([("urlkey", pa.string()), ("date", pa.string()), ("page_id", pa.int64()), ("record_type", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("refers_to", pa.int64()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("run", pa.int64()), ("seq", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -195,37 +240,38 @@ def sorted_runs(captures: DataFrame, path: str) -> DataFrame:
             yield batch(dict(zip(schema.names, [*map(list, zip(*rows, strict=True)), [task << 32 | k] * len(rows), range(len(rows))], strict=True)), schema)
             k += 1
 
-    kinds = "urlkey string, date string, page_id long, record_type string, payload_digest string, payload_bytes long, refers_to long, run long, seq long"
-    captures.select("url", "date", "page_id", "record_type", "payload_digest", "payload_bytes", "refers_to").mapInArrow(run, kinds).write.parquet(path)
+    kinds = "urlkey string, date string, page_id long, record_type string, payload_digest string, payload_bytes long, refers_to long, file string, offset long, length long, run long, seq long"
+    captures.select("url", "date", "page_id", "record_type", "payload_digest", "payload_bytes", "refers_to", "file", "offset", "length").mapInArrow(run, kinds).write.parquet(path)
     return spark.read.schema(kinds).parquet(path)
 
 
 def merged_index(runs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """The runs as one history in the order of URL key, time and page: partitions are ranges, history_range and history_at say where a capture stands.
 
-    A range holds about range_rows entries whatever one host or URL has, since the page is part of the order. Within a range the
-    parts of all runs, each in order, meet in a loser tree.
+    A range holds about range_rows entries whatever one host or URL has, since the page is part of the order, so a task holds that many and no more. Spark's
+    external sort brings the parts of each run together, in order; within a range they meet in a loser tree, and no entry is sorted again.
     """
     n = max(1, -(-runs.count() // range_rows))
     n = max(n, runs.sparkSession.sparkContext.defaultParallelism)
-    dealt = runs.repartitionByRange(n, "urlkey", "date", "page_id")
+    dealt = runs.repartitionByRange(n, "urlkey", "date", "page_id").sortWithinPartitions("run", "seq")
     names = [f.name for f in runs.schema.fields if f.name not in ("run", "seq")]
     source = runs.columns
-    kinds = "urlkey string, date string, page_id long, record_type string, payload_digest string, payload_bytes long, refers_to long, history_range int, history_at long"
-    schema = pa.schema([("urlkey", pa.string()), ("date", pa.string()), ("page_id", pa.int64()), ("record_type", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("refers_to", pa.int64()), ("history_range", pa.int32()), ("history_at", pa.int64())])
+    kinds = "urlkey string, date string, page_id long, record_type string, payload_digest string, payload_bytes long, refers_to long, file string, offset long, length long, history_range int, history_at long"
+    schema = pa.schema([("urlkey", pa.string()), ("date", pa.string()), ("page_id", pa.int64()), ("record_type", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("refers_to", pa.int64()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("history_range", pa.int32()), ("history_at", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        task, parts = TaskContext.get().partitionId(), {}
+        task, parts, last = TaskContext.get().partitionId(), [], None
         for b in batches:
             cols = {c: b.column(i).to_pylist() for i, c in enumerate(source)}
-            for r, s, *row in zip(cols["run"], cols["seq"], *(cols[c] for c in names), strict=True):
-                parts.setdefault(r, []).append((s, tuple(row)))
-        # Shuffled blocks of one run arrive in any order; its sequence numbers restore the run.
-        runs_here = [[row for _, row in sorted(rows, key=lambda x: x[0])] for _, rows in sorted(parts.items())]
+            for r, *row in zip(cols["run"], *(cols[c] for c in names), strict=True):
+                if r != last:
+                    parts.append([])
+                    last = r
+                parts[-1].append(tuple(row))
         out, at = [], 0
-        for row in LoserTree([iter(((r[0], r[1], r[2]), r) for r in rows) for rows in runs_here]):
+        for row in LoserTree([iter(((r[0], r[1], r[2]), r) for r in rows) for rows in parts]):
             out.append((*row[1], task, at))
             at += 1
             if len(out) == 5000:
@@ -238,8 +284,8 @@ def merged_index(runs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
 
 
 def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archives of all pages, written, read back, and merged into one history of captures."""
+    """Archives of all pages, written, read back, and merged into one history of captures that says where each record stands."""
     path = shared_path(spark, "warc")
-    name = write_archives(table(spark, sf_dir, "pages"), path)
-    runs = sorted_runs(read_archives(spark, path, name), shared_path(spark, "cdx-runs"))
-    return merged_index(runs).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "date", "history_range", "history_at")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    runs = sorted_runs(read_archives(spark, path, payloads=False), shared_path(spark, "cdx-runs"))
+    return merged_index(runs).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "date", "file", "offset", "length", "history_range", "history_at")

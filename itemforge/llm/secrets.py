@@ -129,21 +129,28 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
     return F.when(F.size(whole) > 0, F.aggregate(zipped, empty, step, lambda acc: acc["out"])).otherwise(empty["out"])
 
 
-def scanned(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """docs with secrets array<struct<start, order, end>>: the spans of every rule in code points, end exclusive, by start and rule.
-
-    Null and empty texts have none. Rows with a null key are outside the index and scanned whole; rows that share a key
-    share its candidates, of which verification keeps each row's own.
-    """
-    found = candidates(materialise(postings(docs, rules, text, key), "postings"), rules, key)
+def _found(docs: DataFrame, rules: tuple[Rule, ...], text: str, key: str) -> DataFrame:
+    """(_row, secrets): each row of docs as a struct, with its spans."""
+    found = candidates(materialise(postings(docs, rules, text, key), "postings"), rules, key).select(F.col(key).alias("_key"), F.col("rules").alias("_rules"))
     everything = (1 << len(rules)) - 1
     always = sum(1 << k for k, r in enumerate(rules) if not trigram_query(r.regex))
-    joined = docs.alias("d").join(found.withColumnRenamed(key, "_key").withColumnRenamed("rules", "_rules"), F.col(f"d.{key}") == F.col("_key"), "left")
-    mask = F.when(F.col(f"d.{key}").isNull(), F.lit(everything)).otherwise(F.coalesce("_rules", F.lit(0)).bitwiseOR(F.lit(always)))
-    told = joined.select("d.*", mask.alias("_mask"), F.coalesce(F.col(f"d.{text}"), F.lit("")).alias("_text"))
+    # A row travels as one struct, so no name of its columns can meet one of ours.
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col(key).alias("_id"))
+    joined = rows.join(found, F.col("_id") == F.col("_key"), "left")
+    mask = F.when(F.col("_id").isNull(), F.lit(everything)).otherwise(F.coalesce("_rules", F.lit(0)).bitwiseOR(F.lit(always)))
+    told = joined.select("_row", F.coalesce(F.col("_row")[text], F.lit("")).alias("_text"), mask.alias("_mask"))
     none = F.array().cast("array<struct<start:int,order:int,end:int>>")
     each = [F.when(F.col("_mask").bitwiseAND(F.lit(1 << k)) != 0, _spans(F.col("_text"), r, k)).otherwise(none) for k, r in enumerate(rules)]
-    return told.select(*(F.col(c) for c in docs.columns), F.array_sort(F.concat(*each)).alias("secrets"))
+    return told.select("_row", F.array_sort(F.concat(*each)).alias("secrets"))
+
+
+def scanned(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """docs with secrets array<struct<start, order, end>>: the spans of every rule in code points, end exclusive, by start and rule; a column of docs with that name gives way.
+
+    Null and empty texts have none. Rows with a null key are outside the index and scanned whole; rows that share a key
+    share its candidates, of which verification keeps each row's own. Texts of any length are scanned whole.
+    """
+    return _found(docs, rules, text, key).select(*(F.col("_row")[c].alias(c) for c in docs.columns if c != "secrets"), "secrets")
 
 
 def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -156,10 +163,10 @@ def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text
         later = F.struct(x["end"].alias("at"), F.array_append(acc["out"], piece).alias("out"))
         return F.when(x["start"] >= acc["at"], later).otherwise(F.struct(F.greatest(acc["at"], x["end"]).alias("at"), acc["out"].alias("out")))
 
-    held = scanned(docs, rules, text, key).withColumn("_text", F.col(text))
+    held = _found(docs, rules, text, key).select("_row", "secrets", F.col("_row")[text].alias("_text"))
     rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring("_text", acc["at"] + 1, F.length("_text")))
-    clean = F.when(F.size("secrets") == 0, F.col(text)).otherwise(F.aggregate("secrets", start, step, rest))
-    return held.withColumn(text, clean).select(*docs.columns)
+    clean = F.when(F.size("secrets") == 0, F.col("_text")).otherwise(F.aggregate("secrets", start, step, rest))
+    return held.select(*(clean.alias(c) if c == text else F.col("_row")[c].alias(c) for c in docs.columns))
 
 
 def _joined(spans: Column, rules: tuple[Rule, ...]) -> Column:

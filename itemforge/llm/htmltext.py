@@ -7,6 +7,7 @@ a renderer. Nothing recurses, so depth is bounded by memory alone.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -42,10 +43,12 @@ _VALUE = r"\"[^\"]*+\"|'[^']*+'|[^ \t\n\r\f>\"'][^ \t\n\r\f>]*+|"
 _NAME = r"=[^ \t\n\r\f/>=]*+|[^ \t\n\r\f/>=]++"
 _GIVES = r"[ \t\n\r\f]*+=[ \t\n\r\f]*+"
 _TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^ \t\n\r\f/>]*+)((?:[ \t\n\r\f/]++|(?:{_NAME})(?:{_GIVES}(?:{_VALUE}))?+)*+)>|<[!?/][^>]*>", re.S)
+_OPENS = re.compile(r"<(?:[!?/]|[a-zA-Z])")
 _ATTRIBUTE = re.compile(rf"({_NAME})(?:{_GIVES}({_VALUE}))?+")
 _MAY_HIDE = re.compile(r"hidden|style", re.I)
 _HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)(?![\w-])", re.I)
 _CSS_COMMENT = re.compile(r"/\*.*?\*/", re.S)
+_SPAN = re.compile(r"(?:^|[ \t\n\r\f])colspan\s*=\s*[\"']?(\d{1,6})", re.I)
 _BLANK = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -102,22 +105,30 @@ class Text:
 
 
 def aligned(rows: list[list[str]]) -> list[str]:
-    """Rows of cells as lines with columns of one width, two blanks apart."""
-    width = [max(len(r[k]) if k < len(r) else 0 for r in rows) for k in range(max(map(len, rows), default=0))]
-    return ["  ".join(c.ljust(w) for c, w in zip(r, width, strict=False)).rstrip() for r in rows]
+    """Rows of cells as lines with columns of one width, two blanks apart; a cell of several lines takes as many lines of its row."""
+    cut = [[[_BLANK.sub(" ", line).strip() for line in cell.split("\n") if line.strip()] or [""] for cell in r] for r in rows]
+    width = [max((len(line) for r in cut if k < len(r) for line in r[k]), default=0) for k in range(max(map(len, cut), default=0))]
+    out = []
+    for r in cut:
+        for i in range(max(map(len, r), default=0)):
+            out.append("  ".join((c[i] if i < len(c) else "").ljust(w) for c, w in zip(r, width, strict=False)).rstrip())
+    return out
 
 
 class Page:
     def __init__(self) -> None:
         self.open: list[tuple[str, bool]] = []  # tag, and whether the element hides
+        self.count: Counter[str] = Counter()  # open elements by tag, so that a search for none costs nothing
         self.hidden = 0
         self.text = [Text()]
         self.tables: list[list[list[str]]] = []
         self.lists: list[int | None] = []
         self.pre = 0
+        self.spans: list[int] = []  # columns of the open cells
 
-    def start(self, tag: str, hides: bool) -> None:
+    def start(self, tag: str, hides: bool, span: int = 1) -> None:
         self.open.append((tag, hides))
+        self.count[tag] += 1
         self.hidden += hides
         if self.hidden:
             return
@@ -141,17 +152,19 @@ class Page:
             if not self.tables[-1]:
                 self.tables[-1].append([])
             self.text.append(Text())
+            self.spans.append(span)
         elif tag == "pre":
             self.pre += 1
 
     def end(self) -> None:
         tag, hides = self.open.pop()
+        self.count[tag] -= 1
         if self.hidden:
             self.hidden -= hides
             return
         if tag in ("td", "th") and self.tables and len(self.text) > 1:
             cell = self.text.pop().done()
-            self.tables[-1][-1].append(_BLANK.sub(" ", cell))
+            self.tables[-1][-1] += [cell, *[""] * (self.spans.pop() - 1)]
         now = self.text[-1]
         if tag in ("ul", "ol", "menu") and self.lists:
             self.lists.pop()
@@ -168,6 +181,8 @@ class Page:
 
     def end_through(self, tags: set[str] | frozenset[str], stop: set[str] | frozenset[str] = frozenset()) -> None:
         """End the outermost open element of tags inside the nearest one of stop, and all in it."""
+        if not any(self.count[t] for t in tags):
+            return
         found = None
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] in stop:
@@ -178,6 +193,8 @@ class Page:
             self.end()
 
     def end_nearest(self, tag: str) -> None:
+        if not self.count[tag]:
+            return
         stop = SCOPE.get(tag, ())
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
@@ -205,10 +222,11 @@ class Page:
 
 
 def render(html: str) -> str:
-    """The visible text of a page; empty for an empty one. Tags that never end are ended by the page's end."""
+    """The visible text of a page; empty for an empty one. What follows a tag that never ends is text, so each character is read once."""
     page, at, n = Page(), 0, len(html)
     while at < n:
-        m = _TAG.search(html, at)
+        opens = _OPENS.search(html, at)
+        m = opens and _TAG.match(html, opens.start())
         page.words(html[at : m.start() if m else n])
         if not m:
             break
@@ -236,7 +254,8 @@ def render(html: str) -> str:
             page.end_through(*IMPLIED[tag])
         elif tag in ENDS_P:
             page.end_through({"p"}, {"td", "th", "table", "li", "dd", "div", "body"})
-        page.start(tag, tag in UNSEEN or bool(m[3]) and hides(m[3]))
+        span = _SPAN.search(m[3]) if tag in ("td", "th") and m[3] else None
+        page.start(tag, tag in UNSEEN or bool(m[3]) and hides(m[3]), min(max(1, int(span[1])), 1000) if span else 1)
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
             if tag == "textarea":

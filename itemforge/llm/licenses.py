@@ -41,6 +41,17 @@ TEMPLATES = (
     Template("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
     Template("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
     Template("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    Template("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    Template("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    Template("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    Template("BSD", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."),
+    Template("MIT", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."),
+    Template("Unlicense", "This is free and unencumbered software released into the public domain."),
+    Template("CC0-1.0", "The person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law"),
+    Template("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    Template("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    Template("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    Template("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."),
     Template("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 
@@ -97,7 +108,6 @@ def retrieved(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, text
     known = _templates(spark, templates)
     bands = _template_bands(known)
     rows = bands.select("band", "key").distinct().collect()
-    longest = max(r[0] for r in known.select("n_words").collect())
     # A band's key is the hash of a template's pair, so a text without any of these pairs meets no band.
     wanted = [r[0] for r in known.select(F.explode("pairs")).distinct().collect()]
     pairs = with_pairs(docs, [key], F.coalesce(F.col(text), F.lit(""))).filter(F.exists("pairs", _among(wanted)))
@@ -109,9 +119,12 @@ def retrieved(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, text
     for k in range(BANDS):
         of_band = of_band.when(F.col("band") == k, F.exists("hashes", _among([r[1] for r in rows if r[0] == k])))
     each = with_bands(pairs, [key]).filter(of_band).select(key, "pairs", "band", F.inline(met))
-    named = each.join(F.broadcast(bands.select("template", F.col("at").alias("template_at"), "band", "key")), ["band", "key"])
-    first = F.greatest(F.lit(1), F.col("at") - longest)
-    return named.select(key, "template", F.col("at"), F.slice("pairs", first, F.lit(2 * longest + WINDOW)).alias("around"))
+    found = bands.join(known.select("template", "n_words"), "template")
+    named = each.join(F.broadcast(found.select("template", "n_words", F.col("at").alias("template_at"), "band", "key")), ["band", "key"])
+    # The template's window stands at template_at, so the whole template stands so much earlier; edits may shift it by a quarter.
+    slack = F.ceil(F.col("n_words") / 4).cast("int") + WINDOW
+    first = F.greatest(F.lit(1), F.col("at") - F.col("template_at") - slack)
+    return named.select(key, "template", F.col("at"), F.slice("pairs", first, F.col("n_words") + slack * 2).alias("around"))
 
 
 def licenses(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, containment: float = CONTAINMENT, text: str = "text", key: str = "doc_id") -> DataFrame:

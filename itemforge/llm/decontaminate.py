@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemforge.llm.common import batch, starts_of, table, text_bytes
+from itemforge.llm.common import batch, materialise, starts_of, table, text_bytes
 
 WINDOW = 13
 #: At least so many tokens of a window must be literal words.
@@ -198,7 +198,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key:
     window count as one window. Items without a window of MIN_LITERAL words, however short, match where all their tokens stand in a
     row, without regard to case. Null and empty texts match nothing. Rows with null keys count as no document.
     """
-    asked = template_windows(benchmark.filter(F.col(item).isNotNull()), item, "text")
+    asked = materialise(template_windows(benchmark.filter(F.col(item).isNotNull()), item, "text"), "asked")
     n = asked.count()
     small = n <= LOCAL_WINDOWS
     sizes = tuple(sorted(r[0] for r in asked.select("size").distinct().collect())) or (WINDOW,)

@@ -18,11 +18,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from itemforge.llm.common import batch, table, text_bytes
+from itemforge.llm.common import batch, materialise, table, text_bytes
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+_MEASURE = re.compile(rf"\b(?:{'|'.join(MEASURES)})\b")
 
 
 def repeat_words(words: list[bytes], size: int = WINDOW) -> int:
@@ -98,10 +99,11 @@ POLICIES = {"v1": BASE, "v2": 0b111111}
 POLICY = "v2"
 
 
-def failure_bits(rules: tuple[Rule, ...] = RULES) -> Column:
+def failure_bits(rules: tuple[Rule, ...] = RULES, prefix: str = "") -> Column:
+    """A long with bit k set if rule k fails on the measures, whose names follow a prefix."""
     bits = F.lit(0).cast("long")
     for rule in rules:
-        bits = bits.bitwiseOR(F.when(F.expr(rule.fails), F.lit(1 << rule.bit).cast("long")).otherwise(F.lit(0).cast("long")))
+        bits = bits.bitwiseOR(F.when(F.expr(_MEASURE.sub(rf"{prefix}\g<0>", rule.fails)), F.lit(1 << rule.bit).cast("long")).otherwise(F.lit(0).cast("long")))
     return bits
 
 
@@ -110,37 +112,37 @@ def ledger(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text",
     return measured(docs, text, key).withColumn("failed", failure_bits(rules))
 
 
-def passes(policy: str = POLICY, policies: dict[str, int] = POLICIES) -> Column:
+def passes(policy: str = POLICY, policies: dict[str, int] = POLICIES, failed: str = "failed") -> Column:
     """Whether a ledger row has no failure that the policy counts."""
-    return F.col("failed").bitwiseAND(F.lit(policies[policy]).cast("long")) == 0
+    return F.col(failed).bitwiseAND(F.lit(policies[policy]).cast("long")) == 0
 
 
-def kept_rows(docs: DataFrame, policy: str = POLICY, text: str = "text") -> DataFrame:
-    """The rows of docs that the policy keeps. Measurements join their row inside the task that took them, so texts are not shuffled."""
+def ledgered(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
+    """docs as a stored table with one more column, a struct of MEASURES and failed, and that column's name: one that docs doesn't have.
+
+    Each rule is evaluated once for each row, in the task that reads it, so texts are not shuffled; any number of policies and ablations then read bits.
+    """
+    name = "ledger"
+    while name in docs.columns:
+        name += "_"
     kinds = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(b.schema.get_field_index(text))
             rows = [measure((t.as_py() or "").encode()) for t in texts]
-            extra = [pa.array([r[k] for r in rows], pa.int64()) for k in range(len(MEASURES))]
-            yield pa.RecordBatch.from_arrays([*b.columns, *extra], [*b.schema.names, *(f"_{m}" for m in MEASURES)])
-
-    out = T.StructType([*kinds.fields, *(T.StructField(f"_{m}", T.LongType()) for m in MEASURES)])
-    rows = docs.mapInArrow(run, out)
-    inner = rows.select(*docs.columns, F.struct(*(F.col(f"_{m}").alias(m) for m in MEASURES)).alias("_ledger"))
-    failed = F.lit(0).cast("long")
-    for rule in RULES:
-        if POLICIES[policy] >> rule.bit & 1:
-            failed = failed.bitwiseOR(F.when(_of(rule.fails, "_ledger"), F.lit(1 << rule.bit).cast("long")).otherwise(F.lit(0).cast("long")))
-    return inner.filter(failed == 0).select(*docs.columns)
-
-
-def _of(expression: str, struct: str) -> Column:
-    """A rule's expression over the fields of a struct."""
-    for m in MEASURES:
-        expression = re.sub(rf"\b{m}\b", f"{struct}.{m}", expression)
-    return F.expr(expression)
+            measures = pa.StructArray.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(len(MEASURES))], list(MEASURES))
+            yield pa.RecordBatch.from_arrays([*b.columns, measures], [*b.schema.names, name])
+
+    measures = T.StructType([T.StructField(m, T.LongType()) for m in MEASURES])
+    rows = docs.mapInArrow(run, T.StructType([*kinds.fields, T.StructField(name, measures)]))
+    return materialise(rows.withColumn(name, F.struct(f"{name}.*", failure_bits(prefix=f"{name}.").alias("failed"))), "ledger"), name
+
+
+def kept_rows(docs: DataFrame, policy: str = POLICY, text: str = "text") -> DataFrame:
+    """The rows of docs that the policy keeps, by the bits of their stored ledger."""
+    rows, name = ledgered(docs, text)
+    return rows.filter(passes(policy, failed=f"{name}.failed")).select(*docs.columns)
 
 
 def ablation(ledger_rows: DataFrame, policy: str = POLICY, rules: tuple[Rule, ...] = RULES, policies: dict[str, int] = POLICIES) -> DataFrame:

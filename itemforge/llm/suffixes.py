@@ -7,8 +7,8 @@ that occur with different surroundings need comparing:
 1. A run is a stretch of windows with one anchor. Runs that are byte for byte the same meet by hash, first inside a
    shard, then in ranges of the anchors' hashes; all but the first are repeated as a whole.
 2. Runs that share an anchor but not their bytes go, as one Burrows-Wheeler transform for each shard and range, to a
-   task that merges them: the interleave of all rows is refined by a few symbols an iteration, and the rows that no
-   symbol has parted after LENGTH iterations are equal windows. All but the first in the order of documents are repeated.
+   task that merges them: the interleave of all rows is refined by a few symbols an iteration, which gives the common prefix of
+   neighbours, and intervals of rows that share LENGTH symbols are equal windows. All but the first in the order of documents are repeated.
 
 A shard sends a string to a range once, however many of its documents hold it.
 """
@@ -243,13 +243,13 @@ def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         depth += 7
 
 
-def merge(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Merge transforms, each given by its symbols: the merged rows, and the blocks of rows whose first `depth` symbols agree.
+def refined(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Merge transforms, each given by its symbols: the merged rows, and their common-prefix array: how many symbols each row shares with the one before it, up to `depth`.
 
     The rows start in the order of the transforms. An iteration deals them out by the symbols before them, in order, which takes every
-    row to the one that stands so much earlier: rows sorted by k symbols become rows sorted by k + 1, or a few more. A boundary
-    between blocks is where symbols or former blocks differ, which is where the common prefix ends at that iteration.
-    Rows that go past their string's end are ordered by what happens to follow; no window does.
+    row to the one that stands so much earlier: rows sorted by k symbols become rows sorted by k + 1, or a few more. No suffix is sorted again. A place between
+    two rows once parted stays parted, since as many rows begin with lesser symbols ever after, so the iteration that parts it tells the common prefix there, rounded
+    down to the symbols known before. Rows that go past their string's end are ordered by what happens to follow; no window does.
     """
     symbols = np.concatenate(transforms)
     edge = starts_of(np.array([len(t) for t in transforms], np.int64))
@@ -266,6 +266,7 @@ def merge(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndar
         steps.append((2 * step, code_of.astype(np.uint16), back[back]))
     rows = np.arange(len(symbols), dtype=np.int32)
     block = np.zeros(len(symbols), np.int32)
+    common = np.full(len(symbols), depth, np.int32)
     done = 0
     while done < depth:
         step, code, back = next(x for x in reversed(steps) if x[0] <= depth - done)
@@ -274,9 +275,16 @@ def merge(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndar
         now, rows, block = now[dealt], back[rows[dealt]], block[dealt]
         parted = np.ones(len(rows), bool)
         parted[1:] = (now[1:] != now[:-1]) | (block[1:] != block[:-1])
+        common[parted & (common == depth)] = done
         block = np.cumsum(parted, dtype=np.int32)
         done += step
-    return rows, block
+    return rows, common
+
+
+def merge(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The merged rows, and the number of the interval in which each lies: a repeated interval is a stretch of rows whose common prefixes reach `depth`."""
+    rows, common = refined(transforms, depth)
+    return rows, np.cumsum(common < depth, dtype=np.int32)
 
 
 def places(symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

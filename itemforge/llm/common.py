@@ -27,6 +27,8 @@ def shared_dir(spark: SparkSession) -> str:
         found = context._jsc.sc().getCheckpointDir()
         found = found.get() if found.isDefined() else None
     if not found:
+        if not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='itemforge-')}"
         context.setCheckpointDir(found)
     return found.rstrip("/")

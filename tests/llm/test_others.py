@@ -1,9 +1,14 @@
 import base64
+import gzip
 import hashlib
+import html.parser
 import math
+import random
 import re
+import time
 import zlib
 from collections import Counter
+from urllib.parse import urlsplit
 
 import pytest
 
@@ -21,8 +26,8 @@ def split(text):
 
 def archived(spark, tmp_path, rows):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, date string")
-    name = warc.write_archives(pages, f"file://{tmp_path}/warc")
-    return warc.merged_index(warc.sorted_runs(warc.read_archives(spark, f"file://{tmp_path}/warc", name), f"file://{tmp_path}/runs"), range_rows=3).collect()
+    warc.write_archives(pages, f"file://{tmp_path}/warc")
+    return warc.merged_index(warc.sorted_runs(warc.read_archives(spark, f"file://{tmp_path}/warc"), f"file://{tmp_path}/runs"), range_rows=3).collect()
 
 
 def test_archives_come_back_whole_and_in_order(spark, tmp_path):
@@ -37,6 +42,35 @@ def test_archives_come_back_whole_and_in_order(spark, tmp_path):
     ordered = sorted(found, key=lambda r: (r["history_range"], r["history_at"]))
     keys = [(r["urlkey"], r["date"], r["page_id"]) for r in ordered]
     assert keys == sorted(keys)
+    # Any entry leads to its record, and the files are ordinary archives: an unaided reader gets warcinfo first and every record whole.
+    for r in found:
+        data = open(urlsplit(r["file"]).path, "rb").read()
+        record = gzip.decompress(data[r["offset"] : r["offset"] + r["length"]])
+        assert record.startswith(b"WARC/1.1\r\nWARC-Type: " + r["record_type"].encode()) and f"<urn:page:{r['page_id']}>".encode() in record and record.endswith(b"\r\n\r\n")
+        assert gzip.decompress(data).startswith(b"WARC/1.1\r\nWARC-Type: warcinfo\r\n")
+
+
+def test_repeated_keys_and_far_dates(spark, tmp_path):
+    rows = [(1, "http://a.org", "x", ""), (1, "http://a.org", "x", ""), (2, "http://a.org", "x", ""), (2 * 10**9, "http://a.org", "y", ""), (10**9, "http://a.org", "z", ""), (None, "u", "v", "")]
+    found = archived(spark, tmp_path, rows)
+    assert sorted((r["page_id"], r["record_type"]) for r in found) == [(1, "response"), (1, "response"), (2, "revisit"), (10**9, "response"), (2 * 10**9, "response")]
+    assert len({r["date"] for r in found}) == 4
+
+
+def test_a_member_cut_short_raises():
+    whole = warc.member(b"x" * 1000, 7)
+    assert warc.opened(whole) == (b"x" * 1000, 7, len(whole))
+    with pytest.raises((ValueError, zlib.error)):
+        warc.opened(whole[:-9])
+
+
+def test_warc_query_matches_brute_force(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "html").collect()
+    first = {}
+    for r in sorted(pages):
+        first.setdefault(r["html"] or "", r["page_id"])
+    wanted = {r["page_id"]: (len((r["html"] or "").encode()), base64.b32encode(hashlib.sha1((r["html"] or "").encode()).digest()).decode(), None if first[r["html"] or ""] == r["page_id"] else first[r["html"] or ""]) for r in pages}
+    assert {r["page_id"]: (r["payload_bytes"], r["payload_digest"], r["refers_to"]) for r in warc.op1_warc_index(spark, sf_dir).collect()} == wanted
 
 
 def test_no_pages(spark, tmp_path):
@@ -70,6 +104,25 @@ def test_trigram_queries_and_redaction(make_docs):
     assert secrets.scanned(make_docs([])).count() == 0
 
 
+def test_secrets_with_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "token=abcdefghijklmn", "s", "t", 5, 6, "x", "y")], "doc_id long, text string, secrets string, _text string, _mask int, _key int, _rules string, _row string")
+    found = secrets.scanned(docs).first()
+    assert [x["end"] for x in found["secrets"]] == [20] and found["_text"] == "t" and found["_row"] == "y"
+    clean = secrets.redacted(docs).first()
+    assert clean["text"] == "[assign]" and clean["secrets"] == "s" and clean["_mask"] == 5
+
+
+def test_secret_query_matches_brute_force(spark, sf_dir, documents):
+    found = {r["doc_id"]: r for r in secrets.op4_secret_scan(spark, sf_dir).collect()}
+    extra = [(r.kind, r.regex) for r in secrets.MORE_RULES]
+    for k, t in documents:
+        spans = base_spans(t)
+        assert found[k]["base_sha256"] == hashlib.sha256(",".join(spans).encode()).hexdigest()
+        assert [found[k][f"n_{x}"] for x in ("assign", "access", "hex")] == [sum(s.startswith(x) for s in spans) for x in ("assign", "access", "hex")]
+        more = {f"{kind}:{m.start()}:{m.end()}" for kind, p in extra for m in re.finditer(p, t or "")}
+        assert set(filter(None, found[k]["spans"].split(","))) == set(spans) | more
+
+
 def test_decontamination_finds_copies_and_changed_values(spark, make_docs, odd):
     filler = "some words that say nothing about any question at all and go on for a while "
     rows = odd + [(20, filler + QUESTION + " " + filler), (21, filler + CHANGED), (22, filler * 20), (23, MIXED[60:90])]
@@ -137,6 +190,156 @@ def test_pages_of_all_kinds(spark):
     assert sorted((r["page_id"] or 0, r["text"]) for r in htmltext.extracted(pages).collect()) == [(0, "k"), (1, ""), (2, ""), (3, "x"), (3, "x")]
 
 
+@pytest.mark.parametrize("html", ["<a " * 300_000, '<a b="x>" ' * 100_000, "<section>" * 100_000 + "x", "<table><tr><td>" * 10_000, "<p>x" * 50_000, "a < b " * 100_000])
+def test_broken_pages_take_linear_time(html):
+    began = time.process_time()
+    htmltext.render(html)
+    assert time.process_time() - began < 5
+
+
+def test_cells_over_columns_and_lines():
+    assert htmltext.render("<table><tr><td colspan=2>ab<td>c<tr><td>1<br>2<td>22<td>333</table>") == "ab      c\n1   22  333\n2"
+
+
+class Plain(html.parser.HTMLParser):
+    """Visible words of well-formed pages, read by another parser."""
+
+    def __init__(self):
+        super().__init__()
+        self.words, self.hidden = [], 0
+
+    def handle_starttag(self, tag, attrs):
+        if self.hidden or tag in ("script", "style", "head", "template") or "hidden" in dict(attrs):
+            self.hidden += tag not in htmltext.VOID
+
+    def handle_endtag(self, tag):
+        self.hidden -= bool(self.hidden)
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.words += data.split()
+
+
+def test_words_of_generated_pages_match_another_parser():
+    rng = random.Random(11)
+
+    def some(depth):
+        out = []
+        for _ in range(rng.randrange(1, 5)):
+            kind = rng.choice(("text", "div", "section", "b", "ul", "table", "script", "hidden", "br", "comment", "p"))
+            word = f"w{rng.randrange(1000)} &amp; x"
+            inner = some(depth - 1) if depth else word
+            out.append({
+                "text": f" {word} ", "div": f"<div class='a > b'>{inner}</div>", "section": f"<section>{inner}</section>", "b": f"<b title='hidden'> {word} </b>", "ul": f"<ul><li>{inner}</li><li>{word}</li></ul>", "p": f"<p> {word} </p>",
+                "table": f"<table><tr><td>{word}</td><td>{word}</td></tr></table>", "script": "<script>no < more</script>", "hidden": f"<div hidden>{inner}</div>", "br": "<br>", "comment": "<!-- <p>no</p> -->",
+            }[kind])
+        return "".join(out)
+
+    for _ in range(300):
+        page = f"<html><head><title>t</title></head><body>{some(3)}</body></html>"
+        plain = Plain()
+        plain.feed(page)
+        found = [w for w in htmltext.render(page).split() if w != "-"]
+        assert sorted(found) == sorted(plain.words)
+
+
+def test_page_query_runs_over_all_pages(spark, sf_dir):
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    assert {r["page_id"]: r["text"] for r in htmltext.op7_html_extraction(spark, sf_dir).collect()} == {k: htmltext.render(v or "") for k, v in pages.items()}
+
+
+def test_licenses_survive_edits(make_docs):
+    rng = random.Random(5)
+    long = [(i, t.text.split()) for i, t in enumerate(licenses.TEMPLATES) if len(t.text.split()) >= 25]
+    rows, wanted = [], set()
+    for n in range(200):
+        i, words = rng.choice(long)
+        words = list(words)
+        words[rng.randrange(len(words))] = "changed"
+        filler = [f"f{rng.randrange(500)}" for _ in range(rng.randrange(60))]
+        rows.append((n, " ".join([*filler, *words, *filler])))
+        wanted.add((n, i))
+    found = {(r["doc_id"], r["template"]) for r in licenses.licenses(make_docs(rows)).collect()}
+    assert len(wanted & found) >= 0.95 * len(wanted)
+
+
+def test_license_query_matches_a_scan(spark, sf_dir, documents):
+    def words(text):
+        bare = re.sub(r"[.,;:!?\"'()]+(?=[\x20\x09-\x0D]|$)|(?<![^\x20\x09-\x0D])[\"'(]+", "", (text or "").lower())
+        return [w for w in re.split(r"[\x20\x09-\x0D]+", bare) if w]
+
+    found = {(r["doc_id"], r["template"]) for r in licenses.op10_license_scan(spark, sf_dir).collect()}
+    whole = {(k, i) for k, t in documents for i, x in enumerate(licenses.TEMPLATES) if f" {' '.join(words(x.text))} " in f" {' '.join(words(t))} "}
+    assert whole <= found and whole
+
+
+def test_decontamination_recall_on_changed_names_and_units(spark, make_docs):
+    rng = random.Random(9)
+    names, units, words = ["Maria", "Elena", "Tomas", "Priya", "Chen"], ["km", "kg", "hours", "metres"], [f"palavra{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(200)]
+    bench, rows = [], []
+    for k in range(100):
+        body = [rng.choice(words) for _ in range(18)]
+        ask = lambda n, v, u, body=body: f"Yesterday {n} walked {v} {u} " + " ".join(body[:9]) + f" and {n} had {v} more {u} " + " ".join(body[9:])
+        bench.append((k, ask("Maria", 12, "km")))
+        rows.append((k, "Some text before. " + ask(rng.choice(names), rng.randrange(20, 99), rng.choice(units)) + " and after."))
+    rows += [(1000 + k, " ".join(rng.choice(words) for _ in range(80))) for k in range(100)]
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(make_docs(rows), spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    assert sum((k, k) in found for k in range(100)) >= 95
+    assert not [f for f in found if f[0] >= 1000]
+
+
+def test_decontamination_query_finds_every_whole_question(spark, sf_dir, documents):
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.op5_benchmark_decontamination(spark, sf_dir).collect()}
+    whole = {(k, b["item_id"]) for k, t in documents for b in bench if b["text"] and b["text"] in (t or "")}
+    assert whole <= found
+
+
+def test_scores_match_a_plain_model(make_docs, documents):
+    """Bigram, unigram and uniform estimates mixed by weights of the context's bucket, learned on the deleted slice by plain EM."""
+    rows = documents
+    tokens = {k: [*split(t), None] for k, t in rows}
+    fold = {k: zlib.crc32(str(k).encode()) for k in tokens}
+    train, deleted = [k for k in tokens if fold[k] % 10], [k for k in tokens if fold[k] % 10 and fold[k] // 10 % 10 == 0]
+
+    def counted(keys):
+        uni, bi = Counter(), Counter()
+        for k in keys:
+            uni.update(tokens[k])
+            bi.update(zip([None, *tokens[k][:-1]], tokens[k], strict=True))
+        return uni, bi
+
+    (uni, bi), (du, db) = counted(train), counted(deleted)
+    n, v, m = sum(uni.values()), len(uni), sum(du.values())
+    bucket = lambda c: min(int(math.log2(c)) + 1, interpolation.BUCKETS - 1) if c else 0
+    seen = {}
+    for k in deleted:
+        for a, b in zip([None, *tokens[k][:-1]], tokens[k], strict=True):
+            c = uni[a] - du[a]
+            seen.setdefault(bucket(c), []).append(((bi[a, b] - db[a, b]) / c if c else 0.0, (uni[b] - du[b]) / (n - m), 1 / (v + 1)))
+
+    def learned(p):
+        mix = [1 / 3] * 3
+        for _ in range(interpolation.EM_ROUNDS):
+            sums = [0.0] * 3
+            for x in p:
+                total = sum(w * y for w, y in zip(mix, x, strict=True))
+                sums = [s + w * y / total for s, w, y in zip(sums, mix, x, strict=True)]
+            mix = [s / len(p) for s in sums]
+        mix[2] = max(mix[2], interpolation.LEAST_UNIFORM)
+        return [w / sum(mix) for w in mix]
+
+    common = learned([x for p in seen.values() for x in p])
+    mix = {k: learned(seen[k]) if k in seen else common for k in range(interpolation.BUCKETS)}
+    found = {r["doc_id"]: r["score"] for r in interpolation.scored(make_docs(rows)).collect()}
+    for k, ts in tokens.items():
+        score = 0.0
+        for a, b in zip([None, *ts[:-1]], ts, strict=True):
+            w = mix[bucket(uni[a])]
+            score += math.log10(w[0] * (bi[a, b] / uni[a] if uni[a] else 0) + w[1] * uni[b] / n + w[2] / (v + 1))
+        assert found[k] == pytest.approx(score, rel=0.02)
+
+
 def test_licenses_are_found_anywhere_and_nowhere_else(make_docs, odd):
     filler = [f"word{k}" for k in range(40)]
     rows, wanted = list(odd), set()

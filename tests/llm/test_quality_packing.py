@@ -111,3 +111,56 @@ def test_pack_opens_the_cheapest_bin_and_shrinks_it():
     assert packing.pack([100])[2] == [256]
     assert packing.pack([256] * 8)[2] == [2048]
     assert packing.pack([2048, 1])[2] == [2048, 256]
+
+
+def cheapest(sizes, capacities, attention):
+    """The least cost of any packing, by trying every way to put sizes into bins."""
+    best = [float("inf")]
+
+    def place(i, bins):
+        if i == len(sizes):
+            best[0] = min(best[0], sum(packing.cost(next(c for c in capacities if c >= b), attention) for b in bins))
+            return
+        for k in range(len(bins)):
+            if bins[k] + sizes[i] <= capacities[-1]:
+                place(i + 1, [*bins[:k], bins[k] + sizes[i], *bins[k + 1 :]])
+        place(i + 1, [*bins, sizes[i]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_pack_against_every_packing():
+    rng = random.Random(7)
+    capacities, attention, ratios = (8, 16, 32), 64, []
+    for _ in range(150):
+        sizes = [rng.randrange(1, 33) if rng.random() < 0.4 else rng.randrange(1, 9) for _ in range(rng.randrange(1, 8))]
+        final = packing.pack(sizes, capacities, attention)[2]
+        ratios.append(sum(packing.cost(c, attention) for c in final) / cheapest(sizes, capacities, attention))
+    assert min(ratios) >= 1 - 1e-9
+    assert sum(ratios) / len(ratios) < 1.06 and max(ratios) < 1.7  # with so few pieces one bin more is half of the cost
+
+
+def test_lengths_compete():
+    rng = random.Random(3)
+    sizes = [min(2048, int(rng.lognormvariate(5, 1.2)) + 1) for _ in range(5000)]
+    used = Counter(packing.pack(sizes, attention=packing.ATTENTION)[2])
+    assert len([c for c in used if used[c] > 100]) >= 3
+    tokens, longest = sum(sizes), Counter(packing.pack(sizes)[2])
+    price = lambda bins: sum(n * packing.cost(c, packing.ATTENTION) for c, n in bins.items()) / tokens
+    assert price(used) < price(longest)
+    assert sum(c * n for c, n in used.items()) < 1.01 * tokens
+
+
+def test_a_thousand_equal_rows_are_dealt_over_groups(make_docs):
+    rows = packing.packed(make_docs([(1, "one two three")] * 300), group_tokens=100).collect()
+    assert len(rows) == 300 and len({r["bin_group"] for r in rows}) > 3
+
+
+def test_a_stored_ledger_is_read_by_every_policy(spark):
+    docs = spark.createDataFrame([(1, "word " * 30, 5), (2, None, 6), (3, "short", 7)], "doc_id long, text string, ledger long")
+    rows, name = quality.ledgered(docs)
+    assert name == "ledger_" and rows.columns == ["doc_id", "text", "ledger", "ledger_"]
+    found = {r["doc_id"]: r[name]["failed"] for r in rows.collect()}
+    assert found == {r["doc_id"]: r["failed"] for r in quality.ledger(docs).collect()}
+    assert {r["rule"]: r["n_failed"] for r in quality.ablation(rows.select(f"{name}.failed")).collect()}["too_few_words"] == 2

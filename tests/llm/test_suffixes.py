@@ -63,6 +63,21 @@ def test_merge_refines_to_equal_prefixes():
     assert len({p for p, _ in whole}) == len({b for _, b in whole})
 
 
+def test_common_prefixes_of_merged_rows():
+    rng = random.Random(2)
+    strings = [[bytes(rng.choice(b"ab") for _ in range(rng.randrange(20, 40))) for _ in range(6)] for _ in range(3)]
+    parts = [suffixes.transform(s)[0] for s in strings]
+    rows, common = suffixes.refined(parts, 8)
+    where = [suffixes.places(p, np.array([len(x) for x in s])) for p, s in zip(parts, strings, strict=True)]
+    flat = [s[int(k)][int(at) :] for (of, offset), s in zip(where, strings, strict=True) for k, at in zip(of, offset, strict=True)]
+    ordered = [flat[r] for r in rows]
+    for i in range(1, len(ordered)):
+        a, b = ordered[i - 1][:8], ordered[i][:8]
+        if len(a) == len(b) == 8:
+            shared = next((k for k in range(8) if a[k] != b[k]), 8)
+            assert common[i] <= shared and (common[i] == 8) == (shared == 8)
+
+
 def test_query(spark, sf_dir, documents):
     rows = suffixes.op2_suffix_dedup(spark, sf_dir).collect()
     assert sorted(r["doc_id"] for r in rows) == sorted(k for k, _ in documents)

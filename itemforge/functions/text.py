@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Accented letters and what they fold to.
@@ -65,14 +65,27 @@ def normal_tags(tags: Column) -> Column:
     return F.array_distinct(F.transform(bare, lambda t: F.when(t.startswith("#"), t).otherwise(F.concat(F.lit("#"), t))))
 
 
+def fix_steps(x: Column, rules: tuple[tuple[str, str, str], ...]) -> Column:
+    """array of a text and what it is after each of the rules (name, pattern, replacement) in turn; every rule is applied once."""
+    each = F.array(*(F.struct(F.lit(p).alias("pattern"), F.lit(to).alias("to")) for _, p, to in rules))
+    return F.aggregate(each, F.array(x), lambda done, r: F.array_append(done, F.regexp_replace(F.element_at(done, -1), r["pattern"], r["to"])))
+
+
+def fix_log(steps: Column, rules: tuple[tuple[str, str, str], ...]) -> Column:
+    """The names of those rules that changed something."""
+    return F.array_compact(F.array(*(F.when(steps[k] != steps[k + 1], F.lit(name)) for k, (name, _, _) in enumerate(rules))))
+
+
 def fix_chain(x: Column, rules: tuple[tuple[str, str, str], ...]) -> tuple[Column, Column]:
-    """The text after all (name, pattern, replacement) rules in turn, and the names of those that changed it."""
-    changed, now = [], x
-    for name, pattern, replacement in rules:
-        new = F.regexp_replace(now, pattern, replacement)
-        changed.append(F.when(new != now, F.lit(name)))
-        now = new
-    return now, F.array_compact(F.array(*changed))
+    """The text after all rules in turn, and the names of those that changed it."""
+    steps = fix_steps(x, rules)
+    return F.element_at(steps, -1), fix_log(steps, rules)
+
+
+def fixed(rows: DataFrame, keep: list[str], x: Column, rules: tuple[tuple[str, str, str], ...]) -> DataFrame:
+    """keep, fixed and log; a generator stands between, so the chain is evaluated once for each row."""
+    steps = rows.select(*keep, F.inline(F.array(F.struct(fix_steps(x, rules).alias("_steps")))))
+    return steps.select(*keep, F.element_at("_steps", -1).alias("fixed"), fix_log(F.col("_steps"), rules).alias("log"))
 
 
 def outside_math(x: Column, pattern: str, replacement: str) -> Column:
@@ -88,3 +101,36 @@ def excerpt(x: Column, first: int, count: int) -> Column:
 def cosine_distance(a: Column, b: Column) -> Column:
     dot = lambda p, q: F.aggregate(F.zip_with(p, q, lambda u, v: u.cast("double") * v.cast("double")), F.lit(0.0), lambda s, v: s + v)
     return 1 - dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+
+
+#: Codes of subjects and phases in file names, and words that a search leaves out.
+SUBJECT_CODES = {
+    "MatA": "Matemática A", "MatB": "Matemática B", "Port": "Português", "FQ": "Física e Química", "Bio": "Biologia e Geologia", "Hist": "História", "Geo": "Geografia", "EF": "Educação Física",
+    "Filo": "Filosofia", "Ing": "Inglês", "Fran": "Francês", "Esp": "Espanhol",
+}
+PHASE_CODES = {"F1": "1.ª Fase", "F2": "2.ª Fase", "FE": "Fase Especial", "FR": "Recurso", "EE": "Época Especial"}
+STOP_WORDS = ("de", "que", "a", "o", "e", "the", "of")
+
+
+def _coded(x: Column, codes: dict[str, str]) -> Column:
+    known = F.create_map(*(F.lit(y) for pair in codes.items() for y in pair))
+    return F.coalesce(known[x], x)
+
+
+def exam_label(path: Column) -> Column:
+    """The source that a path's codes name, in the file's name or else in the nearest folder that has them; empty if none has."""
+    pattern = r"(?i)EX-([A-Za-z]+)\d*-(EE|F\w+?)-(\d{4})"
+    folders = F.filter(F.reverse(F.split(path, "/")), lambda p: p.rlike(pattern))
+    best = F.coalesce(F.get(folders, F.lit(0)), F.lit(""))
+    part = lambda k: F.regexp_extract(best, pattern, k)
+    label = F.concat_ws(", ", F.lit("Exame Nacional"), _coded(part(1), SUBJECT_CODES), _coded(F.upper(part(2)), PHASE_CODES), part(3))
+    return F.when(best == "", F.lit("")).otherwise(label)
+
+
+def fts_tokens(x: Column) -> Column:
+    """Folded tokens without stop words; words aren't reduced to stems."""
+    return F.filter(tokens(x), lambda t: ~t.isin(*STOP_WORDS))
+
+
+def fts_terms(query: str) -> list[str]:
+    return [w for w in query.lower().split() if w not in STOP_WORDS]

@@ -32,19 +32,27 @@ def asof_last(rows: DataFrame, events: DataFrame, by: Sequence[str], order: Sequ
     return filled.filter("_row = 1").select(*rows.columns, f"last_{value}")
 
 
-def nearest_in_order(left: DataFrame, right: DataFrame, by: str, at: str, left_key: str, right_key: str) -> DataFrame:
-    """(left_key, right_key, distance): for each left row the right row of its group whose `at` is nearest, ties to the smaller right key.
+def nearest_in_order(left: DataFrame, right: DataFrame, by: str, at: str, left_key: str, right_key: str, width: float) -> DataFrame:
+    """(left_key, right_key, distance): for each left row the right row of its group whose `at` is nearest, ties to the smaller right key (a number).
 
-    Both sides are sorted together once a direction; the neighbours below and above are the only candidates, so no pairs are made.
-    Rows whose group has no right row have nulls.
+    Both sides are sorted together once a direction, by group and stretches of `at` of this width; the neighbours below and above are the only
+    candidates, so no pairs are made. Where a stretch has none, the last one of the stretches before or the first of those after counts: a row a stretch carries them.
+    A group is as many tasks as it has stretches. Rows whose group has no right row have nulls.
     """
     rows = left.select(by, at, F.col(left_key).alias("_left"), F.lit(None).cast(right.schema[right_key].dataType).alias("_right"))
     both = rows.unionByName(right.select(by, at, F.lit(None).cast(left.schema[left_key].dataType).alias("_left"), F.col(right_key).alias("_right")))
+    both = both.withColumn("_stretch", F.floor(F.col(at) / width))
     seen = F.when(F.col("_right").isNotNull(), F.struct(F.col(at).alias("at"), F.col("_right").alias("key")))
-    below = F.last(seen, True).over(W.partitionBy(by).orderBy(at, F.desc_nulls_last("_right")).rowsBetween(W.unboundedPreceding, 0))
-    above = F.first(seen, True).over(W.partitionBy(by).orderBy(at, F.asc_nulls_first("_right")).rowsBetween(0, W.unboundedFollowing))
+    below = F.last(seen, True).over(W.partitionBy(by, "_stretch").orderBy(at, F.desc_nulls_last("_right")).rowsBetween(W.unboundedPreceding, 0))
+    above = F.first(seen, True).over(W.partitionBy(by, "_stretch").orderBy(at, F.asc_nulls_first("_right")).rowsBetween(0, W.unboundedFollowing))
+    edges = both.groupBy(by, "_stretch").agg(F.max(F.when(seen.isNotNull(), F.struct(F.col(at).alias("at"), (-F.col("_right")).alias("minus")))).alias("_top"), F.min(seen).alias("_low"))
+    order = W.partitionBy(by).orderBy("_stretch")
+    top = F.last("_top", True).over(order.rowsBetween(W.unboundedPreceding, -1))
+    edges = edges.select(by, "_stretch", F.when(top.isNotNull(), F.struct(top["at"].alias("at"), (-top["minus"]).alias("key"))).alias("_before"), F.first("_low", True).over(order.rowsBetween(1, W.unboundedFollowing)).alias("_after"))
     found = both.withColumns({"_below": below, "_above": above}).filter("_left IS NOT NULL")
-    ranked = F.array_sort(F.filter(F.array("_below", "_above"), lambda x: x.isNotNull()), lambda x, y: F.when(_away(x, at) < _away(y, at), -1).when(_away(x, at) > _away(y, at), 1).when(x["key"] < y["key"], -1).when(x["key"] > y["key"], 1).otherwise(0))
+    found = found.join(edges, (found[by].eqNullSafe(edges[by])) & (found["_stretch"].eqNullSafe(edges["_stretch"])), "left").select(found["*"], "_before", "_after")
+    near = F.array(F.coalesce("_below", "_before"), F.coalesce("_above", "_after"))
+    ranked = F.array_sort(F.filter(near, lambda x: x.isNotNull()), lambda x, y: F.when(_away(x, at) < _away(y, at), -1).when(_away(x, at) > _away(y, at), 1).when(x["key"] < y["key"], -1).when(x["key"] > y["key"], 1).otherwise(0))
     best = F.get(ranked, F.lit(0))
     return found.select(F.col("_left").alias(left_key), best["key"].alias(right_key), _away(best, at).alias("distance"))
 
@@ -53,10 +61,18 @@ def _away(x: Column, at: str) -> Column:
     return F.abs(F.col(at) - x["at"])
 
 
-def positional_join(left: DataFrame, right: DataFrame, by: str, left_order: Sequence[str], right_order: Sequence[str]) -> DataFrame:
+def numbered(rows: DataFrame, by: str, order: str, width: int, named: str = "k") -> DataFrame:
+    """rows with their number within `by` in the order of a number: counted by stretches of this width, whose sizes are summed first, so a group is many tasks."""
+    cut = rows.withColumn("_stretch", F.floor(F.col(order) / width))
+    sizes = cut.groupBy(by, "_stretch").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(W.partitionBy(by).orderBy("_stretch").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    own = F.row_number().over(W.partitionBy(by, "_stretch").orderBy(order))
+    return cut.join(sizes.select(by, "_stretch", before.alias("_before")), [by, "_stretch"]).withColumn(named, own + F.col("_before")).drop("_stretch", "_before")
+
+
+def positional_join(left: DataFrame, right: DataFrame, by: str, left_order: str, right_order: str, width: int) -> DataFrame:
     """The k-th left row of each group beside the k-th right row; nulls where the right group is shorter."""
-    number = lambda df, order: df.withColumn("k", F.row_number().over(W.partitionBy(by).orderBy(*order)))
-    return number(left, left_order).join(number(right, right_order), [by, "k"], "left")
+    return numbered(left, by, left_order, width).join(numbered(right, by, right_order, width), [by, "k"], "left")
 
 
 def differences(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

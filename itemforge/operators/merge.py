@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from itemforge.functions import text as T
+from itemforge.operators import aggregates as A
 from itemforge.operators import joins as J
 
 STEM = "context_stem"
@@ -191,13 +192,4 @@ def upload_faults(items: DataFrame, by: str) -> DataFrame:
         "source_not_canonical": one & F.col("_label").isNull(), "no_subject": bare("materia") == "", "subject_differs": one & (F.col("materia") != "") & (F.col("materia") != F.col("_label.materia")),
     }
     each = row.select(by, "id_item", F.explode(F.array_compact(F.array(*(F.when(test, F.lit(name)) for name, test in faults.items())))).alias("fault"))
-    return first_keys(each, [by, "fault"], "id_item", "first_ids")
-
-
-def first_keys(rows: DataFrame, by: Sequence[str], key: str, named: str, k: int = 3) -> DataFrame:
-    """(by, n, named): how many rows a group has and its first k keys: each part of a group keeps its first k, and those meet."""
-    part = F.pmod(F.xxhash64(key), F.lit(64)).alias("_part")
-    some = rows.groupBy(*by, part, key).agg(F.count("*").alias("n")).withColumn("_rn", F.row_number().over(W.partitionBy(*by, "_part").orderBy(key)))
-    kept = F.when(F.col("_rn") <= k, F.col(key))
-    parts = some.groupBy(*by, "_part").agg(F.sum("n").alias("n"), F.collect_list(kept).alias("firsts"))
-    return parts.groupBy(*by).agg(F.sum("n").alias("n"), F.array_join(F.slice(F.array_sort(F.flatten(F.collect_list("firsts"))), 1, k), ",").alias(named))
+    return A.first_keys(each, [by, "fault"], "id_item", "first_ids")

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from itemforge.functions import items as I
 from itemforge.operators import windows as W
 
-#: What opens an item, a group and a part.
-ITEM = r"(?U)^(?:[*•-]\s*|\\\*\s*)?(?:Quest[aã]o\s+)?(\d{1,3})(?:\.(\d{1,2}))?\s*\.\s+"
+#: What opens an item, a group and a part; verbs before which an item's number may stand inside a line; the heading of the scoring table.
+ITEM = r"^(?:\$\\(?:star|bigstar|ast)\$\s*|\$?\\pm\s*|\\[*]\s*|\*\*\s*|[*±•-]\s*)?(?:Quest[aã]o\s+)?(\d{1,3})(?:\.(\d{1,2}))?(?:\s*\.\s*(?:\*\*)?\s*\$?\s+|\s*\.\*\*\s+|(?=[A-ZÁÉÍÓÚÀÂÃÇ]))"
 GROUP = r"^#*\s*GRUPO\s+(I{1,3}|IV|V)\s*$"
 PART = r"^#*\s*PARTE\s+([A-C])\s*$"
+INLINE = r"(?<=\S)\s(\d{1,3}\.\d{1,2})\.\s+(?=(?:Determine|Calcule|Mostre|Justifique|Indique|Escreva|Resolva|Apresente)\b)"
+SCORING = r"^#{1,3}\s*COTA[ÇC][ÕO]ES\b"
+#: Stands before a line that was cut from the one above.
+CUT = "\u0001"
 
 
 def _found(line: Column, pattern: str, group: int) -> Column:
@@ -19,35 +23,52 @@ def _found(line: Column, pattern: str, group: int) -> Column:
 
 
 def lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, line, body, main, sub, grupo, parte): each line with its 1-based number, the labels of an item that it opens, and the group and part it stands in.
+    """(key, row, line, body, main, sub, grupo, parte, boundary): each line with its 1-based number, the labels of an item that it opens, and the group and part it stands in.
 
-    A new group closes the part before it. Null and empty texts have no lines.
+    A sub-item's number inside a line, before a verb that sets a task, opens a row of its own under the same line number if the item it stands in has
+    that main number. A new group closes the part before it. Null and empty texts have no lines.
     """
-    split = docs.filter(F.length(F.trim(text)) > 0).select(key, F.posexplode(F.split(text, "\n")).alias("pos", "body"))
-    marked = split.withColumns({
-        "line": F.col("pos") + 1, "main": _found(F.col("body"), ITEM, 1).cast("int"), "sub": _found(F.col("body"), ITEM, 2).cast("int"),
-        "_group": _found(F.col("body"), GROUP, 1), "_part": _found(F.col("body"), PART, 1),
-    })
-    grouped = marked.withColumns({"grupo": W.carried("_group", [key], ["pos"]), "_groups": W.running_count(F.col("_group").isNotNull(), [key], ["pos"])})
-    parted = grouped.withColumn("parte", W.carried("_part", [key, "_groups"], ["pos"]))
-    boundary = F.col("_group").isNotNull() | F.col("_part").isNotNull()
-    return parted.select(key, "line", "body", "main", "sub", "grupo", "parte", boundary.alias("boundary"))
+    cut = F.regexp_replace(F.col(text), INLINE, f"\n{CUT}$1. ")
+    split = docs.filter(F.length(F.trim(text)) > 0).select(key, F.posexplode(F.split(cut, "\n")).alias("row", "_raw"))
+    inner = F.startswith(F.col("_raw"), F.lit(CUT))
+    order = Window.partitionBy(key).orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
+    bare = split.withColumns({"body": F.regexp_replace("_raw", f"^{CUT}", ""), "_inner": inner, "line": F.col("row") + 1 - F.count_if(inner).over(order)})
+    marked = bare.withColumns({"_main": _found(F.col("body"), ITEM, 1).cast("int"), "sub": _found(F.col("body"), ITEM, 2).cast("int"), "_group": _found(F.col("body"), GROUP, 1), "_part": _found(F.col("body"), PART, 1)})
+    held = W.carried(F.when(~F.col("_inner"), F.col("_main")), [key], ["row"])
+    known = marked.withColumn("main", F.when(~F.col("_inner") | (F.col("_main") == held), F.col("_main"))).withColumn("sub", F.when(F.col("main").isNotNull(), F.col("sub")))
+    grouped = known.withColumns({"grupo": W.carried("_group", [key], ["row"]), "_groups": W.running_count(F.col("_group").isNotNull(), [key], ["row"])})
+    parted = grouped.withColumn("parte", W.carried("_part", [key, "_groups"], ["row"]))
+    boundary = F.col("_group").isNotNull() | F.col("_part").isNotNull() | F.col("body").rlike(SCORING)
+    return parted.select(key, "row", F.col("line").cast("int").alias("line"), "body", "main", "sub", "grupo", "parte", boundary.alias("boundary"))
+
+
+def essay(rows: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, line_start, line_end, markdown): the text of group III up to the scoring table, for documents with items whose group III opens none. rows: see lines."""
+    any_item = F.bool_or(F.col("main").isNotNull()).over(Window.partitionBy(key))
+    third = rows.withColumn("_any", any_item).filter("_any AND grupo = 'III'")
+    ends = F.min(F.when(F.col("body").rlike(SCORING), F.col("row"))).over(Window.partitionBy(key))
+    opens = F.bool_or(F.col("main").isNotNull()).over(Window.partitionBy(key))
+    inside = third.withColumns({"_end": ends, "_opens": opens}).filter("NOT _opens AND NOT boundary AND (_end IS NULL OR row < _end)")
+    told = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row", "body"))), lambda x: x["body"]), "\n")
+    found = inside.groupBy(key).agg(F.min("line").alias("line_start"), F.max("line").alias("line_end"), F.regexp_replace(told, r"^\s+|\s+$", "").alias("markdown"))
+    return found.filter("markdown <> ''")
 
 
 def segments(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, ordem, item_id, numero, subitem, grupo, parte, line_start, line_end, suspected_reset, tipo, optional, images, markdown) of each item.
+    """(key, ordem, item_id, numero, subitem, grupo, parte, pool, line_start, line_end, suspected_reset, tipo, optional, images, markdown) of each item.
 
-    An item ends before the next one, or at the next group or part heading. A document without item headings is one item. Main
-    numbers that don't ascend are renumbered, then made to start at 1 in each group; an item with sub-items is a context stem.
+    An item ends before the next one, or at the next heading of a group, a part or the scoring table. A document without item headings is one item. Main
+    numbers that don't ascend are renumbered, then made to start at 1 in each group; an item with sub-items is a context stem, and if it names a figure but has no
+    image, it takes its sub-items' images. Optional items of a group belong to its pool. A group III without items is one essay, III-1, after all others.
     """
     rows = lines(docs, text, key)
     opens = F.col("main").isNotNull()
-    numbered = rows.withColumns({"ordem": W.running_count(opens, [key], ["line"]), "_stops": W.running_count(opens | F.col("boundary"), [key], ["line"])})
-    any_heading = F.bool_or(opens).over(W.W.partitionBy(key))
-    first_stop = F.min(F.when(opens, F.col("_stops"))).over(W.W.partitionBy(key, "ordem"))
+    numbered = rows.withColumns({"ordem": W.running_count(opens, [key], ["row"]), "_stops": W.running_count(opens | F.col("boundary"), [key], ["row"])})
+    any_heading = F.bool_or(opens).over(Window.partitionBy(key))
+    first_stop = F.min(F.when(opens, F.col("_stops"))).over(Window.partitionBy(key, "ordem"))
     inside = numbered.withColumns({"_any": any_heading, "_first": first_stop}).filter(~F.col("_any") | ((F.col("ordem") > 0) & (F.col("_stops") == F.col("_first"))))
     ordem = F.greatest("ordem", F.lit(1)).cast("int")
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "body"))), lambda x: x["body"]), "\n")
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row", "body"))), lambda x: x["body"]), "\n")
     each = inside.groupBy(key, ordem.alias("ordem")).agg(
         F.coalesce(F.max("main"), F.lit(1)).alias("raw"), F.max("sub").alias("subitem"), F.first("grupo", True).alias("grupo"), F.first("parte", True).alias("parte"),
         F.min("line").alias("line_start"), F.max("line").alias("line_end"), body.alias("markdown"),
@@ -55,13 +76,28 @@ def segments(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     labels = F.transform(F.array_sort(F.collect_list(F.struct("ordem", "raw", "subitem"))), lambda x: F.struct(x["raw"].alias("raw"), x["subitem"].alias("sub")))
     fold = each.groupBy(key).agg(labels.alias("labels")).select(key, F.posexplode(I.canonical(F.col("labels"))).alias("_at", "_c"))
     named = each.join(fold.select(key, (F.col("_at") + 1).alias("ordem"), "_c"), [key, "ordem"])
-    least = F.min("_c.main").over(W.W.partitionBy(key, "grupo"))
+    least = F.min("_c.main").over(Window.partitionBy(key, "grupo"))
     numero = F.when(F.col("grupo").isNull(), F.col("_c.main")).otherwise(F.col("_c.main") - least + 1)
     tree = named.withColumn("numero", numero.cast("int"))
-    children = F.count("subitem").over(W.W.partitionBy(key, "grupo", "parte", "numero"))
+    children = F.count("subitem").over(Window.partitionBy(key, "grupo", "parte", "numero"))
     stem = F.col("subitem").isNull() & (children > 0)
     item_id = F.concat_ws("-", "grupo", "parte", F.concat_ws(".", F.col("numero").cast("string"), F.col("subitem").cast("string")))
-    return tree.select(
-        key, "ordem", item_id.alias("item_id"), "numero", "subitem", "grupo", "parte", "line_start", "line_end", F.col("_c.reset").alias("suspected_reset"),
-        F.when(stem, "context_stem").otherwise(I.item_type(F.col("markdown"))).alias("tipo"), I.optional_marker(F.col("markdown")).alias("optional"), I.images(F.col("markdown")).alias("images"), "markdown",
+    own, optional = I.images(F.col("markdown")), I.optional_marker(F.col("markdown"))
+    held = tree.withColumns({"_stem": stem, "images": own, "optional": optional})
+    family = Window.partitionBy(key, "grupo", "parte", "numero")
+    siblings = F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.when(F.col("subitem").isNotNull(), F.struct("ordem", "images"))).over(family)), lambda x: x["images"])))
+    lacks = F.col("_stem") & (F.size("images") == 0) & F.contains("markdown", F.lit("Figura"))
+    moved = held.withColumns({"_takes": F.bool_or(lacks).over(family), "_theirs": siblings})
+    shown = F.when(lacks, F.col("_theirs")).when(F.col("_takes") & F.col("subitem").isNotNull(), F.array().cast("array<string>")).otherwise(F.col("images"))
+    last = each.groupBy(key).agg(F.max("ordem").alias("_last"))
+    added = essay(rows, key).join(last, key, "left")
+    items = moved.select(
+        key, "ordem", item_id.alias("item_id"), "numero", "subitem", "grupo", "parte", F.when(F.col("optional") & F.col("grupo").isNotNull(), F.concat("grupo", F.lit("-opt"))).alias("pool"), "line_start", "line_end", F.col("_c.reset").alias("suspected_reset"),
+        F.when(F.col("_stem"), "context_stem").otherwise(I.item_type(F.col("markdown"))).alias("tipo"), "optional", shown.alias("images"), "markdown",
+    )
+    whole = F.coalesce("_last", F.lit(0)) + 1
+    third = added.select(
+        key, whole.cast("int").alias("ordem"), F.lit("III-1").alias("item_id"), F.lit(1).alias("numero"), F.lit(None).cast("int").alias("subitem"), F.lit("III").alias("grupo"), F.lit(None).cast("string").alias("parte"), F.lit(None).cast("string").alias("pool"), "line_start", "line_end",
+        F.lit(False).alias("suspected_reset"), F.lit("essay").alias("tipo"), F.lit(False).alias("optional"), I.images(F.col("markdown")).alias("images"), "markdown",
     )
+    return items.unionByName(third)

@@ -29,23 +29,38 @@ def running_count(condition: Column, by: Sequence[str], order: Sequence[str]) ->
     return F.count_if(condition).over(W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
 
 
-def gaps(rows: DataFrame, by: str, number: str) -> DataFrame:
-    """(by, missing): the numbers between 1 and a group's largest that it lacks."""
-    seen = rows.groupBy(by).agg(F.max(number).alias("top"), F.collect_set(F.col(number).cast("int")).alias("seen")).filter("top >= 1")
-    return seen.select(by, F.explode(F.array_except(F.sequence(F.lit(1), F.col("top").cast("int")), "seen")).alias("missing"))
+def gaps(rows: DataFrame, by: str, number: str, block: int = 10_000) -> DataFrame:
+    """(by, missing): the numbers between 1 and a group's largest that it lacks, laid out gap by gap in blocks, so no array is longer than a block."""
+    seen = rows.filter(F.col(number) >= 1).select(by, F.col(number).cast("int").alias("_n")).distinct()
+    before = F.coalesce(F.lag("_n").over(W.partitionBy(by).orderBy("_n")), F.lit(0))
+    open_ = seen.withColumn("_from", before + 1).filter("_from < _n").select(by, (F.col("_n") - 1).alias("_to"), F.explode(F.sequence("_from", F.col("_n") - 1, F.lit(block))).alias("_at"))
+    return open_.select(by, F.explode(F.sequence("_at", F.least(F.col("_at") + block - 1, F.col("_to")))).alias("missing"))
 
 
 def renumbered(numbers: Column) -> Column:
-    """An array of numbers made ascending: one that isn't over its predecessor becomes the predecessor plus one, with reset set."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<n:int,reset:boolean>>").alias("out"))
+    """An array of numbers made ascending, for short arrays: one that isn't over its predecessor becomes the predecessor plus one, with reset set. See renumbered_rows."""
+    start = F.struct(F.lit(None).cast("int").alias("at"), F.array().cast("array<struct<n:int,reset:boolean>>").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
-        n = F.when(x <= acc["at"], acc["at"] + 1).otherwise(x).cast("int")
-        return F.struct(n.alias("at"), F.array_append(acc["out"], F.struct(n.alias("n"), (x <= acc["at"]).alias("reset"))).alias("out"))
+        again = F.coalesce(x <= acc["at"], F.lit(False))
+        n = F.when(again, acc["at"] + 1).otherwise(x).cast("int")
+        return F.struct(n.alias("at"), F.array_append(acc["out"], F.struct(n.alias("n"), again.alias("reset"))).alias("out"))
 
     return F.aggregate(F.transform(numbers, lambda x: x.cast("int")), start, step, lambda acc: acc["out"])
 
 
+def renumbered_rows(rows: DataFrame, number: str, by: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """rows with n and reset: numbers made ascending. One that isn't over its predecessor's becomes that plus one, with reset set.
+
+    As each number is at least one over its predecessor's, it is its place plus the largest lead of any number up to it over its own place: a running maximum.
+    """
+    window = W.partitionBy(*by).orderBy(*order)
+    placed = rows.withColumn("_pos", F.row_number().over(window))
+    n = F.col("_pos") + F.max(F.col(number) - F.col("_pos")).over(window.rowsBetween(W.unboundedPreceding, 0))
+    done = placed.withColumn("n", n.cast("int"))
+    return done.withColumn("reset", F.coalesce(F.col(number) <= F.lag("n").over(window), F.lit(False))).drop("_pos")
+
+
 def adjacent_distinct(rows: DataFrame, value: str, by: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Without rows whose value equals that of the row before."""
     before = F.lag(F.struct(value)).over(W.partitionBy(*by).orderBy(*order))

@@ -265,7 +265,7 @@ def nearest_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nearest row of the same group, from the neighbours in one sorted union: no pairs are made."""
     left = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nation"), F.col("s_acctbal").alias("at"))
     right = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("at"))
-    return J.nearest_in_order(left, right, "nation", "at", "s_suppkey", "c_custkey").select("s_suppkey", "c_custkey", F.round("distance", 2).alias("distance"))
+    return J.nearest_in_order(left, right, "nation", "at", "s_suppkey", "c_custkey", width=500.0).select("s_suppkey", "c_custkey", F.round("distance", 2).alias("distance"))
 
 
 @query(f"SELECT s_suppkey, CASE WHEN distance <= 10 THEN c_custkey END AS c_custkey, distance FROM ({_NEAREST})")
@@ -280,7 +280,7 @@ def nearest_tolerance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def positional_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation"), "c_custkey")
     right = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation"), "s_suppkey")
-    return J.positional_join(left, right, "nation", ["c_custkey"], ["s_suppkey"]).select("c_custkey", F.col("k").cast("long").alias("k"), "s_suppkey")
+    return J.positional_join(left, right, "nation", "c_custkey", "s_suppkey", width=1000).select("c_custkey", F.col("k").cast("long").alias("k"), "s_suppkey")
 
 
 @query("""
@@ -372,10 +372,12 @@ def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").join(counts, "n_nationkey", "left").select("n_nationkey", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("expected", "upserted", "skipped")))
 
 
-@query("SELECT r_name, sha256(string_agg(n_name, ',' ORDER BY n_name)) AS digest FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name")
+@query("""
+    WITH b AS (SELECT c_nationkey, CAST('0x' || substr(sha256(c_name), 1, 8) AS BIGINT) % 64 AS b, c_name FROM customer), d AS (SELECT c_nationkey, b, sha256(string_agg(c_name, ',' ORDER BY c_name)) AS d FROM b GROUP BY ALL)
+    SELECT c_nationkey, sha256(string_agg(d, ',' ORDER BY b)) AS digest FROM d GROUP BY c_nationkey""")
 def canonical_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return joined.groupBy("r_name").agg(A.canonical_hash(F.col("n_name")).alias("digest"))
+    """A digest of each group that no order of rows changes."""
+    return A.canonical_hash(table(spark, sf_dir, "customer"), "c_nationkey", "c_name")
 
 
 @query("SELECT r_name, string_agg(n_nationkey, ',' ORDER BY n_nationkey) AS children, count(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name")

@@ -43,11 +43,12 @@ def ffill_stem(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
     WITH x AS (SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS pos FROM lineitem),
         n AS (SELECT *, CAST(pos + max(l_linenumber - pos) OVER (PARTITION BY l_orderkey ORDER BY pos ROWS UNBOUNDED PRECEDING) AS INT) AS n FROM x)
-    SELECT l_orderkey, CAST(pos - 1 AS INT) AS pos, n, l_linenumber <= coalesce(lag(n) OVER (PARTITION BY l_orderkey ORDER BY pos), 0) AS reset FROM n""")
+    SELECT l_orderkey, CAST(pos - 1 AS INT) AS pos, n, coalesce(l_linenumber <= lag(n) OVER (PARTITION BY l_orderkey ORDER BY pos), false) AS reset FROM n""")
 def renumber_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers made ascending by a fold over each document's array."""
-    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_linenumber")).alias("numbers"))
-    return rows.select("l_orderkey", F.posexplode(W.renumbered(F.col("numbers"))).alias("pos", "x")).select("l_orderkey", "pos", "x.n", "x.reset")
+    """Numbers made ascending; a number that falls back is reset, the first one never is."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    numbers = rows.withColumn("pos", F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber")) - 1)
+    return W.renumbered_rows(numbers, "l_linenumber", ["l_orderkey"], ["pos"]).select("l_orderkey", "pos", "n", "reset")
 
 
 @query("SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY role, turn) AS n FROM conversations")

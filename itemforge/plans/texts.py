@@ -108,8 +108,7 @@ for _name, _pattern, _to in FIXES:
 @query(f"SELECT doc_id, sha256({_FIXED}) AS digest, concat_ws(',', {', '.join(_STEPS)}) AS log FROM documents")
 def fix_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ordered corrections and a log of those that changed something."""
-    fixed, log = T.fix_chain(F.col("text"), FIXES)
-    return _docs(spark, sf_dir).select("doc_id", F.sha2(fixed, 256).alias("digest"), F.array_join(log, ",").alias("log"))
+    return T.fixed(_docs(spark, sf_dir), ["doc_id"], F.col("text"), FIXES).select("doc_id", F.sha2("fixed", 256).alias("digest"), F.array_join("log", ",").alias("log"))
 
 
 @query(r"""SELECT doc_id, sha256(regexp_replace(regexp_replace(regexp_replace(text, '"([^"\n]*)"', '«\1»', 'g'), '\.\.\.', '…', 'g'), '([a-z])-\n([a-z])', '\1\2', 'g')) AS digest FROM documents""")
@@ -254,3 +253,24 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     asked = F.broadcast(vectors.filter("vec_id = 0").select(F.col("embedding").alias("q")).limit(1))  # one row is broadcast
     return vectors.join(asked).select("vec_id", F.round(T.cosine_distance(F.col("embedding"), F.col("q")), 6).alias("distance")).orderBy("distance", "vec_id").limit(20)
+
+
+@query("""
+    WITH q AS (SELECT vec_id AS asked, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id % 100 = 0), d AS (SELECT asked, v.vec_id, round(list_cosine_distance(CAST(v.embedding AS DOUBLE[]), e), 6) AS distance FROM q, embeddings v)
+    SELECT asked, vec_id, distance FROM (SELECT *, row_number() OVER (PARTITION BY asked ORDER BY distance, vec_id) AS rn FROM d) WHERE rn <= 20""")
+def vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty vectors nearest to each vector whose id is divisible by 100.
+
+    Queries meet all vectors in blocks of 500, each broadcast with that bound; a task keeps each query's best twenty before anything is shuffled.
+    """
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    asked = vectors.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("asked"), F.col("embedding").alias("q"))
+    blocks = -(-asked.count() // 500)
+    best = Window.partitionBy("asked").orderBy("distance", "vec_id")
+    found = None
+    for k in range(max(1, blocks)):
+        block = F.broadcast(asked.filter(F.pmod(F.floor(F.col("asked") / 100), F.lit(max(1, blocks))) == k))
+        near = vectors.join(block).select("asked", "vec_id", F.round(T.cosine_distance(F.col("embedding"), F.col("q")), 6).alias("distance"))
+        top = near.withColumn("rn", F.row_number().over(best)).filter("rn <= 20").drop("rn")
+        found = top if found is None else found.unionByName(top)
+    return found

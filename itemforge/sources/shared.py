@@ -12,5 +12,7 @@ def shared_path(spark: SparkSession, what: str) -> str:
     """A new path in spark.checkpoint.dir; in a local folder only where that is unset, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.gettempdir()}/itemforge-shared"
     return f"{found.rstrip('/')}/bank/{what}-{uuid.uuid4().hex}"

@@ -12,10 +12,11 @@ from itemforge.sources.shared import shared_path
 
 def events(spark: SparkSession, path: str, time: str = "ts") -> DataFrame:
     """A stream of the Parquet files at path, its time column a timestamp that can carry a watermark."""
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory():
-        reader, path = reader.option("pathGlobFilter", at.getName()), str(at.getParent())
+    found = spark.read.parquet(path)
+    reader = spark.readStream.schema(found.schema)
+    folder, _, name = path.rstrip("/").rpartition("/")
+    if any(f.rstrip("/").endswith(f"/{name}") for f in found.inputFiles()):  # the path is a file, and a stream reads folders
+        reader, path = reader.option("pathGlobFilter", name), folder
     return reader.parquet(path).withColumn(time, F.col(time).cast("timestamp"))
 
 

@@ -32,7 +32,7 @@ def asof_last(rows: DataFrame, events: DataFrame, by: Sequence[str], order: Sequ
     return filled.filter("_row = 1").select(*rows.columns, f"last_{value}")
 
 
-def nearest_in_order(left: DataFrame, right: DataFrame, by: str, at: str, left_key: str, right_key: str, width: float) -> DataFrame:
+def nearest_in_order(left: DataFrame, right: DataFrame, by: str, at: str, left_key: str, right_key: str, width: float = 1000.0) -> DataFrame:
     """(left_key, right_key, distance): for each left row the right row of its group whose `at` is nearest, ties to the smaller right key (a number).
 
     Both sides are sorted together once a direction, by group and stretches of `at` of this width; the neighbours below and above are the only

@@ -305,8 +305,7 @@ def _question_files(spark: SparkSession, sf_dir: str) -> str:
         'unknown' AS tipo, p_name AS enunciado FROM part WHERE p_partkey % 9 < 8""")
 def json_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records written as JSON and read with their defaults; broken ones are left out."""
-    read = spark.read.schema(f"{files.QUESTION}, _broken string").option("columnNameOfCorruptRecord", "_broken").json(_question_files(spark, sf_dir))
-    found = files.with_defaults(read.filter("_broken IS NULL"))
+    found = files.with_defaults(files.json_lines(spark, _question_files(spark, sf_dir), files.QUESTION))
     return found.select(F.col("numero_principal").cast("long").alias("k"), "id_item", F.col("numero_questao").alias("numero"), "reviewed", F.array_join("ids_contexto_pai", ",").alias("parents"), F.col("tipo_item").alias("tipo"), "enunciado")
 
 

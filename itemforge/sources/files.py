@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from itemforge.operators.merge import parents
 
@@ -34,9 +35,24 @@ EMPTY_TEXTS = ("enunciado", "id_item", "materia", "tema", "subtema", "descricao_
 
 
 def json_records(spark: SparkSession, path: str | Sequence[str], schema: str) -> DataFrame:
-    """The records of JSON files, each an array of objects, with the file that holds them; what is no object, or doesn't fit, is left out."""
-    read = spark.read.schema(f"{schema}, _broken string").option("columnNameOfCorruptRecord", "_broken").option("multiLine", True).json(path)
-    return read.select("*", F.col("_metadata.file_path").alias("file")).filter("_broken IS NULL").drop("_broken")
+    """The records of JSON files, each an array of objects, with the file that holds them; what is no object is left out, and so is a file that can't be read as an array."""
+    raw = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    records = F.filter(F.from_json("value", f"array<struct<{_nested(schema)}>>"), lambda r: r.isNotNull())
+    return raw.select("file", F.inline(records)).select(*(c for c in _names(schema)), "file")
+
+
+def json_lines(spark: SparkSession, path: str | Sequence[str], schema: str) -> DataFrame:
+    """The records of files with one JSON object a line, with the file that holds them; lines that don't fit are left out."""
+    raw = spark.read.text(path).select(F.from_json("value", f"{schema}, _broken string", {"columnNameOfCorruptRecord": "_broken"}).alias("r"), F.col("_metadata.file_path").alias("file"))
+    return raw.filter("r._broken IS NULL AND r IS NOT NULL").select(*(F.col("r")[c].alias(c) for c in _names(schema)), "file")
+
+
+def _names(schema: str) -> list[str]:
+    return [f.name for f in StructType.fromDDL(schema).fields]
+
+
+def _nested(schema: str) -> str:
+    return ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in StructType.fromDDL(schema).fields)
 
 
 def or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -66,7 +82,7 @@ def questions(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def criteria(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Criteria records; one without an id or a total raises when it is read."""
+    """Criteria records; one without an id or a total raises when its id is read."""
     read = json_records(spark, path, CRITERION)
     lacks = F.col("id_item").isNull() | F.col("cotacao_total").isNull()
     return read.withColumn("id_item", F.when(lacks, F.raise_error(F.concat(F.lit("criterion without id_item or cotacao_total in "), "file"))).otherwise(F.col("id_item")))
@@ -74,7 +90,7 @@ def criteria(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 def manifests(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Manifest files, one object each: their fields, points rounded half to even, and fault, which says why a file isn't in the canonical form; null where it is."""
-    raw = spark.read.option("wholetext", True).text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    raw = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
     keys = F.json_object_keys("value")
     bare = F.trim(F.regexp_replace("value", r"\s+", " "))
     flat, stub = F.from_json("value", "map<string,double>"), F.from_json("value", "map<string,string>")
@@ -108,7 +124,7 @@ def traces(spark: SparkSession, path: str) -> DataFrame:
 def overlay(spark: SparkSession, path: str) -> DataFrame:
     """(id_item, field, value): the corrections of an overlay file `{"items": {id: {field: value}}}`; none where it is missing or broken."""
     try:
-        raw = spark.read.option("wholetext", True).text(path)
+        raw = spark.read.text(path, wholetext=True)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -119,14 +135,14 @@ def overlay(spark: SparkSession, path: str) -> DataFrame:
 
 def markdown(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(file, name, text): each Markdown file as one text."""
-    read = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
+    read = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
     return read.select("file", F.regexp_extract("file", r"([^/]+?)(?:\.[^./]*)?$", 1).alias("name"), "text")
 
 
 def folder_states(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
     """(workspace, bytes, changed, name...): a row for each folder under root, with a column for each of these files that says whether it is there.
 
-    Only what the file system lists is read, no file's content.
+    Only what the file system lists is read, no file's content. Spark's listing leaves out files without content, so these count as missing.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length", "modificationTime")
     each = files.select(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("workspace"), F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "length", "modificationTime")
@@ -140,7 +156,7 @@ def stale(states: DataFrame, source: str, derived: str) -> Column:
 
 
 def write_records(records: DataFrame, path: str) -> None:
-    """Records as JSON lines, nulls kept, in place of what is there; json_records reads them back."""
+    """Records as JSON lines, nulls kept, in place of what is there; json_lines reads them back."""
     records.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 

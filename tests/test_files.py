@@ -59,7 +59,8 @@ def test_overlays_may_be_missing_or_broken(spark, tmp_path):
 def test_markdown_and_folders(spark, tmp_path):
     put(tmp_path / "ws1" / "prova.md", "linha um\n\nlinha três")
     put(tmp_path / "ws1" / "questoes.json", [])
-    put(tmp_path / "ws2" / "prova.md", "")
+    put(tmp_path / "ws2" / "prova.md", "x")
+    put(tmp_path / "ws3" / "prova.md", "")
     found = files.markdown(spark, f"file://{tmp_path}/*/prova.md").orderBy("file").collect()
     assert [(r["name"], r["text"]) for r in found][0] == ("prova", "linha um\n\nlinha três")
     states = files.folder_states(spark, f"file://{tmp_path}", ["prova.md", "questoes.json"]).orderBy("workspace").collect()
@@ -70,7 +71,7 @@ def test_records_are_written_and_read_back(spark, tmp_path):
     rows = spark.createDataFrame([("1", None), ("2", "é")], "id_item string, tema string")
     files.write_records(rows, f"file://{tmp_path}/out")
     files.write_records(rows, f"file://{tmp_path}/out")
-    assert sorted(map(tuple, files.json_records(spark, f"file://{tmp_path}/out", "id_item string, tema string").select("id_item", "tema").collect())) == [("1", None), ("2", "é")]
+    assert sorted(map(tuple, files.json_lines(spark, f"file://{tmp_path}/out", "id_item string, tema string").select("id_item", "tema").collect())) == [("1", None), ("2", "é")]
 
 
 def test_result_lines_and_quarantine(spark):

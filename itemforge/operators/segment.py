@@ -101,3 +101,46 @@ def segments(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
         F.lit(False).alias("suspected_reset"), F.lit("essay").alias("tipo"), F.lit(False).alias("optional"), I.images(F.col("markdown")).alias("images"), "markdown",
     )
     return items.unionByName(third)
+
+
+#: How a new item begins, how one goes on, what opens with a picture, what asks for a completion, and tasks that end an item.
+STARTS = r"(?iu)^(?:O gr[aá]fico|Na Figura|Considere|Admita que|Para certos valores|Seja |Em \$?\\mathbb|Resolva|Mostre que|Determine|Complete o texto)"
+GOES_ON = r"(?iu)^(?:Apresente|Justifique|Escreva|Selecione|indique|represente|assinale|não justifique|na sua resposta)"
+PICTURED = r"(?iu)^(?:O gr[aá]fico|Na Figura|Admita que)"
+COMPLETES = r"(?i)\bcomplete o texto\b"
+#: A paragraph opens an item from this score on.
+OPENING_SCORE = 3
+
+
+def implicit_openings(block: Column) -> Column:
+    """array<struct<paragraph, score, opens>> of a block's paragraphs after the first: whether each begins an item of its own.
+
+    Most of a score is of two neighbours; but a first picture, or a task done, is looked for in all that was gathered since the last opening. Two flags carry that
+    from paragraph to paragraph, so nothing is read twice.
+    """
+    paragraphs = F.filter(F.transform(F.split(block, r"\n\n+"), lambda p: F.regexp_replace(p, r"^\s+|\s+$", "")), lambda p: p != "")
+    last = lambda p: F.trim(F.regexp_extract(p, r"([^\n]*)\z", 1))
+    first = lambda p: F.trim(F.regexp_extract(p, r"\A([^\n]*)", 1))
+    worth = lambda test, n: F.when(test, n).otherwise(0)
+
+    def local(before: Column, p: Column) -> Column:
+        head, tail, low = first(p), last(before), F.lower(p)
+        return (
+            worth(head.rlike(STARTS), 2) + worth(head.rlike(PICTURED), 2) + worth(F.contains(low, F.lit("figura")) | F.contains(low, F.lit("gráfico")) | F.contains(low, F.lit("grafico")), 1) + worth(p.rlike(COMPLETES), 2)
+            - worth(F.startswith(p, F.lit("![](")), 2) - worth(head.rlike(GOES_ON), 2) - worth(F.endswith(tail, F.lit(":")), 2) - worth(F.endswith(tail, F.lit(";")), 1) - worth(F.startswith(tail, F.lit("Sabe-se que")), 1) - worth((tail != "") & ~tail.rlike(r"[.!?]$"), 1)
+        )
+
+    image = lambda p: p.rlike(I.IMAGE)
+    task = lambda p: F.contains(F.lower(p), F.lit("determine o valor de")) | F.contains(F.lower(p), F.lit("mostre que"))
+    turn = lambda p: F.contains(F.lower(p), F.lit("o gráfico da figura")) | F.contains(F.lower(p), F.lit("para certos valores reais"))
+    head, rest = F.get(paragraphs, F.lit(0)), F.slice(paragraphs, F.lit(2), F.greatest(F.size(paragraphs) - 1, F.lit(0)))
+    pairs = F.zip_with(F.slice(paragraphs, F.lit(1), F.greatest(F.size(paragraphs) - 1, F.lit(0))), rest, lambda b, p: F.struct(p.alias("p"), local(b, p).alias("local"), image(p).alias("image"), task(p).alias("task"), turn(p).alias("turn")))
+    start = F.struct(image(head).alias("image"), task(head).alias("task"), F.array().cast("array<struct<paragraph:string,score:int,opens:boolean>>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        score = (x["local"] + worth(x["image"] & ~acc["image"], 1) + worth(acc["task"] & x["turn"], 3)).cast("int")
+        opens = score >= OPENING_SCORE
+        row = F.struct(x["p"].alias("paragraph"), score.alias("score"), opens.alias("opens"))
+        return F.struct((x["image"] | (acc["image"] & ~opens)).alias("image"), (x["task"] | (acc["task"] & ~opens)).alias("task"), F.array_append(acc["out"], row).alias("out"))
+
+    return F.when(F.size(paragraphs) > 1, F.aggregate(pairs, start, step, lambda acc: acc["out"])).otherwise(start["out"])

@@ -386,3 +386,29 @@ def own_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     notes = F.split(F.concat(F.lit("nota;[validate][erro] x;[micro-lint][corrigido] y;"), "lang"), ";")
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(unlabelled(notes), ";").alias("notes"))
+
+
+_BLOCKS = """'Mostre que ' || p_name || ' tem area 3.' || chr(10) || chr(10) || CASE k % 6 WHEN 0 THEN 'O gráfico da Figura 2 mostra uma reta.' WHEN 1 THEN 'Justifique a resposta:' WHEN 2 THEN 'Considere a funcao f;' WHEN 3 THEN '![](a.png)' WHEN 4 THEN 'Complete o texto seguinte.' ELSE 'sem fecho' END
+    || chr(10) || chr(10) || 'Na Figura ' || (k % 9) || ', está representada uma reta. ![](b.png)' || chr(10) || chr(10) || 'Para certos valores reais de k.'"""
+
+
+@query(f"""
+    WITH x AS {_from(z='k % 6', p_name='p_name')}
+    SELECT k, CASE z WHEN 0 THEN 8 WHEN 1 THEN -2 WHEN 2 THEN 2 WHEN 3 THEN -1 WHEN 4 THEN 4 ELSE 0 END || ',' || CASE z WHEN 0 THEN 6 WHEN 1 THEN 3 WHEN 2 THEN 4 WHEN 3 THEN 4 WHEN 4 THEN 6 ELSE 5 END || ',' || CASE WHEN z IN (0, 1, 2, 3, 4, 5) THEN 1 END AS scores FROM x""")
+def implicit_openings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs that begin an item of their own, scored against all that was gathered before them."""
+    from itemforge.operators.segment import implicit_openings as openings
+
+    return _parts(spark, sf_dir, s=_BLOCKS).select("k", F.array_join(F.transform(openings(F.col("s")), lambda o: o["score"].cast("string")), ",").alias("scores"))
+
+
+@query("""
+    SELECT c_custkey, CASE WHEN c_custkey % 4 < 2 THEN 'I-1=;I-2=I-2.1,I-2.2' END AS tree, CASE WHEN c_custkey % 4 < 2 THEN CAST(round_even(c_custkey % 7 + 0.5, 0) AS INT) END AS points, CASE WHEN c_custkey % 4 < 2 THEN 2 END AS n FROM customer""")
+def manifest_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifests of older forms in the canonical one."""
+    k = F.col("c_custkey")
+    flat = F.concat(F.lit('{"I-1": '), (k % 7).cast("string"), F.lit('.5, "I-2.2": 3, "I-2.1": 4}'))
+    value = F.when(k % 4 == 0, flat).when(k % 4 == 1, F.concat(F.lit('{"cotacoes": '), flat, F.lit(', "confianca": "alta"}'))).when(k % 4 == 2, '{"I-1": {"tipo": "", "pontos": null}}').otherwise("[1]")
+    found = table(spark, sf_dir, "customer").select("c_custkey", files.migrated(value).alias("m"))
+    tree = F.array_join(F.transform(F.map_entries("m.estrutura"), lambda e: F.concat(e["key"], F.lit("="), F.array_join(e["value"], ","))), ";")
+    return found.select("c_custkey", tree.alias("tree"), F.col("m.cotacoes")["I-1"].alias("points"), F.col("m.n").alias("n"))

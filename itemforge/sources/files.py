@@ -107,6 +107,23 @@ def manifests(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     )
 
 
+def migrated(value: Column) -> Column:
+    """struct<cotacoes, estrutura, n> of a manifest's JSON in its canonical form or as a flat map of points; null for stubs and other forms.
+
+    Points are rounded half to even; an item with a point in its number hangs under the rest of its id, whether that has points or not.
+    """
+    flat = F.from_json(value, "map<string,double>")
+    flat = F.when((F.size(flat) > 0) & F.forall(F.map_values(flat), lambda v: v.isNotNull()), flat)
+    points = F.transform_values(F.coalesce(F.from_json(value, "cotacoes map<string,double>")["cotacoes"], flat), lambda _, v: F.bround(v, 0).cast("int"))
+    ids = F.array_sort(F.map_keys(points))
+    dotted = lambda x: F.contains(F.element_at(F.split(x, "-"), -1), F.lit("."))
+    parent = lambda x: F.regexp_replace(x, r"\.[^.]*$", "")
+    subs = F.filter(ids, dotted)
+    tops = F.array_sort(F.array_distinct(F.concat(F.filter(ids, lambda x: ~dotted(x)), F.transform(subs, parent))))
+    tree = F.map_from_arrays(tops, F.transform(tops, lambda t: F.filter(subs, lambda x: parent(x) == t)))
+    return F.when(points.isNotNull(), F.struct(points.alias("cotacoes"), tree.alias("estrutura"), F.size(tops).alias("n")))
+
+
 def canonical_manifests(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """As manifests, but a file in another form raises when it is read."""
     found = manifests(spark, path)

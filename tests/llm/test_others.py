@@ -367,3 +367,27 @@ def test_pipeline_runs_and_its_stages_take_effect(spark, sf_dir):
     assert not any(base_spans(r["text"]) for r in docs.collect())
     packed = p.run(spark, sf_dir)
     assert {r["doc_id"] for r in packed.collect()} == {r["doc_id"] for r in docs.collect()}
+
+
+def test_stages_take_odd_rows_and_empty_tables(spark, sf_dir, odd):
+    import corpus_pipeline as p
+
+    rows = [(k, t, None, "web", None if t is None else len(t)) for k, t in odd]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    held = {name: stage(spark, docs, sf_dir).collect() for name, stage in p.STAGES}
+    assert [r["doc_id"] for r in held["quality_rules"]] == [6]  # the long one; all others are short or repeat themselves
+    texts = Counter((r["doc_id"], r["text"]) for r in held["near_duplicates"])
+    # Null, empty and blank texts are one group, as are equal ones; rows with one id stay together, those without an id all stay.
+    assert texts == Counter((k, t) for k, t in odd if k not in (2, 3, 5))
+    assert Counter((r["doc_id"], r["text"]) for r in held["decontamination"]) == Counter(odd)
+    assert Counter((r["doc_id"], r["text"]) for r in held["secret_scan"]) == Counter(odd)
+    assert [r["n_chars"] for r in held["secret_scan"] if r["text"] is None] == [None, None]
+    tokens = Counter()
+    for r in held["best_fit_packing"]:
+        tokens[r["doc_id"]] += r["n_tokens"]
+    wanted = Counter()
+    for k, t in odd:
+        wanted[k] += len(split(t)) + 1
+    assert tokens == wanted
+    none = docs.limit(0)
+    assert all(stage(spark, none, sf_dir).count() == 0 for _, stage in p.STAGES)

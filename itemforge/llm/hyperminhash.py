@@ -7,8 +7,8 @@ which the estimate takes off.
 
 Bands of ROWS registers retrieve: at a similarity of 0.85 each of the 32 bands agrees with probability 0.27, so 0.004 % of
 pairs are missed by calculation, fewer above. Members of a band's bucket first meet one leader of it, then
-its member of most links. What is still in different components meets pairwise, unless what both share with the leader
-shows that they cannot be similar; those pairs are estimated from registers, and the rest compared shingle by shingle.
+its member of most links. What is still in different components and shares that leader meets by the shingles that the leader lacks, or by the
+leader alone where two sets share enough with it. All pairs but those with second leaders are estimated from registers; then sets are compared shingle by shingle.
 """
 
 from __future__ import annotations
@@ -30,6 +30,10 @@ BUCKET_BITS = REGISTERS.bit_length() - 1
 BANDS = REGISTERS // ROWS
 #: Deviations below the threshold that an estimate may be for the pair to be compared.
 SLACK = 4.5
+#: So many nodes at most are broadcast to find their texts; more go through a shuffle.
+BROADCAST_NODES = 200_000
+#: Members from which on a group's usual shingles are looked for.
+LARGE = 8
 #: From which bucket an empty one borrows, attempt after attempt.
 _PROBES = np.random.Generator(np.random.PCG64(11)).integers(0, REGISTERS, (REGISTERS * 16, REGISTERS))
 
@@ -118,15 +122,27 @@ def _likely(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     return met.mapInArrow(run, "a long, b long")
 
 
-def _compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle_words: int, text: str, key: str) -> DataFrame:
-    """The different pairs (a, b) with the sizes na, nb of their sets of shingles and the number of both, by whole sets."""
+def _sets(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, shingle_words: int, text: str, key: str) -> DataFrame:
+    """(node, hashes): the sets of shingles of these nodes, from whole texts."""
+    few = wanted.count() <= BROADCAST_NODES
+    held = _shingle_sets(docs.join(F.broadcast(wanted) if few else wanted, docs[key].cast("long") == wanted["node"], "left_semi"), shingle_words, text, key)
+    # Rows may share a key and have other texts.
+    return held.join(nodes.select("node", "s0", "s1"), ["node", "s0", "s1"]).dropDuplicates(["node", "s0", "s1"]).select("node", "hashes")
+
+
+def _against(pairs: DataFrame, held: DataFrame, share: Fraction, usual: DataFrame | None = None) -> DataFrame:
+    """The different pairs (node, leader) with sizes n and n_leader, the number `common` of shingles in both, by whole sets, and `own`. Shingles of usual (leader, usual) count as the leader's.
+
+    own: of the node's shingles that the leader lacks, in ascending order, so many that any set similar to the node that needs one of them has one among the first ones of its own as well.
+    A similar set shares share * n shingles with the node, at most `common` of them with the leader too; so of the others the last ones that must be shared may be left out.
+    """
     pairs = materialise(pairs.distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    held = _shingle_sets(docs.join(wanted, docs[key].cast("long") == wanted["node"], "left_semi"), shingle_words, text, key)
-    held = held.join(nodes.select("node", "s0", "s1"), ["node", "s0", "s1"]).dropDuplicates(["node", "s0", "s1"])
-    held = materialise(held.select("node", "hashes"), "sets")
-    met = pairs.join(held.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a").join(held.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b")
-    return materialise(met.select("a", "b", F.size("ha").alias("na"), F.size("hb").alias("nb"), F.size(F.array_intersect("ha", "hb")).alias("both")), "compared")
+    met = pairs.join(held.select("node", F.col("hashes").alias("x")), "node").join(held.select(F.col("node").alias("leader"), F.col("hashes").alias("y")), "leader")
+    if usual is not None:
+        met = met.join(usual, "leader").withColumn("y", F.array_union("y", "usual"))
+    sized = met.select("node", "leader", F.size("x").alias("n"), F.size("y").alias("n_leader"), F.array_except("x", "y").alias("own")).withColumn("common", F.col("n") - F.size("own"))
+    needed = F.greatest(F.lit(1), F.expr(f"(n * {share.numerator} + {share.denominator - 1}) div {share.denominator} - common").cast("int"))
+    return materialise(sized.withColumn("own", F.slice(F.array_sort("own"), F.lit(1), F.greatest(F.lit(0), F.size("own") - needed + 1))), "compared")
 
 
 def _similar(n: Column, m: Column, both: Column, share: Fraction) -> Column:
@@ -135,16 +151,16 @@ def _similar(n: Column, m: Column, both: Column, share: Fraction) -> Column:
 
 
 def _links(compared: DataFrame, share: Fraction) -> DataFrame:
-    return compared.filter(_similar(F.col("na"), F.col("nb"), F.col("both"), share)).select("a", "b")
+    return compared.filter(_similar(F.col("n"), F.col("n_leader"), F.col("common"), share)).select(*_pair("node", "leader"))
 
 
-def _labelled(met: DataFrame, links: DataFrame) -> DataFrame:
-    """Buckets with each node's component c, the component's size and the node's number of links."""
+def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """rows (node, ...) with each node's component c, the component's size c_size and the node's number of links deg."""
     found = components(links, "a", "b")
     sized = found.join(found.groupBy("component").agg(F.count("*").alias("c_size")), "component").withColumnRenamed("component", "c")
     deg = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("deg"))
-    known = sized.join(deg, "node", "left")
-    return met.join(known, "node", "left").select("k", "node", "n", "size", F.coalesce("c", "node").alias("c"), F.coalesce("c_size", F.lit(1)).alias("c_size"), F.coalesce("deg", F.lit(0)).alias("deg"))
+    known = rows.join(sized.join(deg, "node", "left"), "node", "left")
+    return known.withColumns({"c": F.coalesce("c", "node"), "c_size": F.coalesce("c_size", F.lit(1)), "deg": F.coalesce("deg", F.lit(0))})
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 3, similarity: float = 0.85, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -161,37 +177,40 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, similarity: float =
     nodes = materialise(full.groupBy("s0", "s1", "n").agg(F.min(F.struct(F.col(key).alias("node"), "registers")).alias("first")).select("s0", "s1", "n", "first.node", "first.registers"), "nodes")
     met = materialise(buckets(nodes), "buckets")
 
-    def compared(pairs: DataFrame) -> DataFrame:
-        return _compared(pairs, docs, nodes, shingle_words, text, key)
+    wanted = materialise(met.select("node").distinct(), "wanted")
+    held = materialise(_sets(wanted, docs, nodes, shingle_words, text, key), "sets")
 
     # First leaders, one a bucket: the least by an order of the bucket's own, so that a large group has many.
     turned = F.col("node").bitwiseXOR(F.xxhash64("k"))
     first = met.groupBy("k").agg(F.min(turned).bitwiseXOR(F.xxhash64("k")).alias("leader"))
-    pairs = met.join(first, "k").filter("node <> leader").select(*_pair("node", "leader"), "size")
-    # A pair is a bucket of its own unless the bucket is larger; what larger buckets' members share with leaders is asked for anyway.
-    pairs = materialise(pairs.groupBy("a", "b").agg(F.max("size").alias("size")), "leaders")
-    links = _links(compared(_likely(pairs.filter("size = 2").select("a", "b"), nodes, similarity).union(pairs.filter("size > 2").select("a", "b"))), share)
+    pairs = materialise(met.join(first, "k").filter("node <> leader").select(*_pair("node", "leader")).distinct(), "leaders")
+    links = _links(_against(_likely(pairs, nodes, similarity).toDF("node", "leader"), held, share), share)
 
     # Then each bucket's member of most links. In a bucket of two there is nobody else.
     labels = materialise(_labelled(met.filter("size > 2"), links), "labels")
-    best = labels.groupBy("k").agg(F.max(F.struct("deg", "node")).alias("best"), F.count_distinct("c").alias("n_c")).select("k", F.col("best.node").alias("leader"), "n_c")
-    apart = materialise(labels.join(best.filter("n_c > 1"), "k").drop("n_c"), "apart")
-    told = compared(apart.filter("node <> leader").select(*_pair("node", "leader")))
+    best = labels.groupBy("k").agg(F.max(F.struct("deg", "node")).alias("best"), F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 <> c1").select("k", F.col("best.node").alias("leader"))
+    apart = labels.join(best, "k").filter("node <> leader")
+    told = _against(apart.select("node", "leader"), held, share)
     links = materialise(links.union(_links(told, share)).distinct(), "links")
 
-    # What stays apart: pairs in a bucket, asked for by the node of the smaller component, unless the leader rules them out.
-    known = told.select(F.col("a").alias("node"), F.col("b").alias("leader"), "both").union(told.select(F.col("b").alias("node"), F.col("a").alias("leader"), "both"))
-    labels = _labelled(apart.select("k", "node", "n", "size").distinct(), links).join(apart.select("k", "node", "leader"), ["k", "node"])
-    member = labels.join(known, ["node", "leader"], "left").select("k", "node", "n", "c", "c_size", F.when(F.col("node") == F.col("leader"), F.col("n")).otherwise(F.col("both")).alias("common"))
-    member = materialise(member, "members")
-    order = F.struct("c_size", "c")
-    tops = member.groupBy("k").agg(F.max(order).alias("top"))
-    asks = member.withColumn("o", order).join(tops, "k").filter(F.col("top") > F.col("o"))
-    x, y = asks.alias("x"), member.withColumn("o", order).alias("y")
+    # What stays apart meets below its leader. Two sets that share too little with it need a shingle that it lacks; only the others meet by the leader alone.
+    member = _labelled(told.drop("n_leader"), links)
+    groups = member.groupBy("leader").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("members")).filter("c0 <> c1").select("leader", "members")
+    member = materialise(member.join(groups, "leader").withColumn("o", F.struct("c_size", "c")).select("leader", "members", "node", "n", "common", "o", "own"), "members")
+    # Where a leader was changed, all others have what it lacks. What most members of a large group have counts as the leader's.
+    usual = member.filter(F.col("members") >= LARGE).select("leader", "members", F.explode("own").alias("shingle")).groupBy("leader", "members", "shingle").agg(F.count("*").alias("having"))
+    usual = materialise(usual.filter("2 * having > members").groupBy("leader").agg(F.collect_list("shingle").alias("usual")), "usual")
+    again = _against(member.join(usual, "leader", "left_semi").select("node", "leader"), held, share, usual).select("leader", "node", "n", "common", "own").join(member.select("leader", "node", "o"), ["leader", "node"])
+    member = materialise(member.join(usual, "leader", "left_anti").select("leader", "node", "n", "common", "own", "o").union(again), "met")
+    x, y = member.alias("x"), member.alias("y")
+    apart = (F.col("x.leader") == F.col("y.leader")) & (F.col("x.o") < F.col("y.o"))
+    close = x.join(y, apart & _similar(F.col("x.n"), F.col("y.n"), F.least("x.common", "y.common"), share))
+    lacked = member.select("leader", "node", "n", "common", "o", F.explode("own").alias("shingle"))
+    x, y = lacked.alias("x"), lacked.alias("y")
     most = F.least("x.common", "y.common") + F.least(F.col("x.n") - F.col("x.common"), F.col("y.n") - F.col("y.common"))
-    on = (F.col("x.k") == F.col("y.k")) & (F.col("x.o") < F.col("y.o")) & (F.col("x.c") != F.col("y.c"))
-    left = x.join(y, on & _similar(F.col("x.n"), F.col("y.n"), most, share)).select(*_pair("x.node", "y.node"))
-    links = links.union(_links(compared(_likely(left.distinct(), nodes, similarity)), share))
+    sharing = x.join(y, apart & (F.col("x.shingle") == F.col("y.shingle")) & _similar(F.col("x.n"), F.col("y.n"), most, share))
+    left = materialise(close.select(*_pair("x.node", "y.node")).union(sharing.select(*_pair("x.node", "y.node"))).distinct(), "apart")
+    links = links.union(_links(_against(_likely(left, nodes, similarity).toDF("node", "leader"), held, share), share))
 
     found = components(links, "a", "b")
     named = nodes.join(found, "node", "left").select("s0", "s1", F.coalesce("component", "node").alias("component_id"))

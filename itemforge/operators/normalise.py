@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from itemforge.operators.segment import GROUP, PART
+from itemforge.operators.headings import group_of, part_of
 
 LONE_PART = r"^\s*\**\s*([A-C])\s*\**\s*$"
-SHORT_PART = r"^#+\s*([A-C])\s*$"
 
 
 def _numbered(docs: DataFrame, text: str, key: str) -> DataFrame:
@@ -30,8 +29,8 @@ def promoted_parts(lines: DataFrame, key: str) -> DataFrame:
 
     A letter is promoted once: it is the first of its kind in the group after the first heading, or first letter, of the letter before it.
     """
-    opened = F.count_if(F.col("line").rlike(GROUP)).over(W.partitionBy(key).orderBy("pos").rowsBetween(W.unboundedPreceding, 0))
-    headed = F.coalesce(_found(F.col("line"), PART), _found(F.col("line"), SHORT_PART))
+    opened = F.count_if(group_of(F.col("line")).isNotNull()).over(W.partitionBy(key).orderBy("pos").rowsBetween(W.unboundedPreceding, 0))
+    headed = part_of(F.col("line"))
     lone = F.when(headed.isNull(), _found(F.col("line"), LONE_PART))
     rows = lines.withColumns({"_group": opened, "_headed": headed, "_lone": lone})
     group = W.partitionBy(key, "_group")
@@ -109,7 +108,7 @@ def group_contexts(docs: DataFrame, first_lines: DataFrame, text: str = "text",
 
     first_lines (key, grupo, parte, line): the first line of each group and part's items, counted from 1; without any the next heading ends the text.
     """
-    lines = _numbered(docs, text, key).withColumns({"_g": _found(F.col("line"), GROUP), "_p": _found(F.col("line"), PART)})
+    lines = _numbered(docs, text, key).withColumns({"_g": group_of(F.col("line")), "_p": part_of(F.col("line"))})
     rows = W.partitionBy(key).orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
     lines = lines.withColumns({"grupo": F.last("_g", True).over(rows), "_groups": F.count("_g").over(rows), "_section": F.count_if(F.col("_g").isNotNull() | F.col("_p").isNotNull()).over(rows)})
     lines = lines.withColumn("parte", F.coalesce(F.last("_p", True).over(W.partitionBy(key, "_groups").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)), F.lit("")))

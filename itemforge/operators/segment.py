@@ -1,4 +1,9 @@
-"""Segmentation of Markdown into items, as windows over lines and a fold over each document's labels."""
+"""Segmentation of Markdown into items.
+
+Lines are labelled one by one, windows over a document's lines make blocks of them, and blocks travel as single rows from there on: parents
+that no heading opens are taken from the text before a sub-item, sub-items inside lines are cut out, and what begins a new
+item without any number is looked for by three kinds of signs, of which the strongest counts at each place.
+"""
 
 from __future__ import annotations
 
@@ -6,40 +11,59 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from itemforge.functions import items as I
+from itemforge.functions.repairs import compact_arrays
 from itemforge.operators import windows as W
+from itemforge.operators.headings import ITEM, SCORING, found, group_of, part_of
+from itemforge.operators.normalise import bracketed_observations, promoted_parts, without_stray_ones
+from itemforge.sources.shared import stored
 
-#: What opens an item, a group and a part; verbs before which an item's number may stand inside a line; the heading of the scoring table.
-ITEM = r"^(?:\$\\(?:star|bigstar|ast)\$\s*|\$?\\pm\s*|\\[*]\s*|\*\*\s*|[*±•-]\s*)?(?:Quest[aã]o\s+)?(\d{1,3})(?:\.(\d{1,2}))?(?:\s*\.\s*(?:\*\*)?\s*\$?\s+|\s*\.\*\*\s+|(?=[A-ZÁÉÍÓÚÀÂÃÇ]))"
-GROUP = r"^#*\s*GRUPO\s+(I{1,3}|IV|V)\s*$"
-PART = r"^#*\s*PARTE\s+([A-C])\s*$"
-INLINE = r"(?<=\S)\s(\d{1,3}\.\d{1,2})\.\s+(?=(?:Determine|Calcule|Mostre|Justifique|Indique|Escreva|Resolva|Apresente)\b)"
-SCORING = r"^#{1,3}\s*COTA[ÇC][ÕO]ES\b"
-#: Stands before a line that was cut from the one above.
+#: Verbs that may follow a sub-item's number inside a line; paragraphs that give no context.
+INLINE_VERBS = "Averigue|Estude|Determine|Mostre|Resolva|Calcule|Justifique|Apresente"
+NO_CONTEXT = (
+    r"^\s*(?:\$\$|#|!\[|\|)|(?iu)^\s*(?:Geometria|Progressões|Trigonometria|Derivadas|Complexos|Limites notáveis|Regras de derivação|12\.º Ano|Decreto-Lei|Duração da Prova|É permitido"
+    r"|Não é permitido|Utilize apenas|Apresente apenas|As cotações|A prova inclui|Para cada resposta|Nas respostas)"
+)
+#: Lines that open an item by themselves; what opens one after the last alternative; verbs of a task.
+OPENING_LINE = r"^(?:O gr[aá]fico da Figura\s+\d+.*|Complete o texto seguinte,.*|Para certos valores reais.*|Na Figura\s+\d+, est[aá] representad[oa].*)$"
+AFTER_CHOICE = r"(?iu)(\s+[*•-]?\s*)((?:O|Uma|Um|Seja|Considere|Na Figura|A Figura|Admita que|Para certos valores|Para um certo número real)[^\n]{10,})"
+TASK = r"(?iu)\b(Escreva|Determine|Mostre|Resolva|Calcule|Averigue)\b"
+#: Stands where a text is cut.
 CUT = "\u0001"
 
 
-def _found(line: Column, pattern: str, group: int) -> Column:
-    return F.nullif(F.regexp_extract(line, pattern, group), F.lit(""))
+def _bare(x: Column) -> Column:
+    return F.regexp_replace(x, r"^\s+|\s+$", "")
+
+
+def _breaks(x: Column) -> Column:
+    """The number of line breaks in a text."""
+    return F.length(x) - F.length(F.replace(x, F.lit("\n"), F.lit("")))
 
 
 def lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, row, line, body, main, sub, grupo, parte, boundary): each line with its 1-based number, the labels of an item that it opens, and the group and part it stands in.
+    """(key, row, line, body, main, sub, grupo, parte, boundary): each line of the normalised text with its 1-based number, the labels of an item that it opens, and the group and part it stands in.
 
-    A sub-item's number inside a line, before a verb that sets a task, opens a row of its own under the same line number if the item it stands in has
-    that main number. A new group closes the part before it. Null and empty texts have no lines.
+    Before, items that an escaped asterisk joins to the text before them get lines of their own, and lone letters of parts become headings, observations stand in brackets, and a stray
+    1 at a line's start goes. A new group closes the part before it. Null and empty texts have no lines.
     """
-    cut = F.regexp_replace(F.col(text), INLINE, f"\n{CUT}$1. ")
-    split = docs.filter(F.length(F.trim(text)) > 0).select(key, F.posexplode(F.split(cut, "\n")).alias("row", "_raw"))
-    inner = F.startswith(F.col("_raw"), F.lit(CUT))
-    order = Window.partitionBy(key).orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
-    bare = split.withColumns({"body": F.regexp_replace("_raw", f"^{CUT}", ""), "_inner": inner, "line": F.col("row") + 1 - F.count_if(inner).over(order)})
-    marked = bare.withColumns({"_main": _found(F.col("body"), ITEM, 1).cast("int"), "sub": _found(F.col("body"), ITEM, 2).cast("int"), "_group": _found(F.col("body"), GROUP, 1), "_part": _found(F.col("body"), PART, 1)})
-    held = W.carried(F.when(~F.col("_inner"), F.col("_main")), [key], ["row"])
-    known = marked.withColumn("main", F.when(~F.col("_inner") | (F.col("_main") == held), F.col("_main"))).withColumn("sub", F.when(F.col("main").isNotNull(), F.col("sub")))
-    grouped = known.withColumns({"grupo": W.carried("_group", [key], ["row"]), "_groups": W.running_count(F.col("_group").isNotNull(), [key], ["row"])})
+    parted = F.regexp_replace(F.regexp_replace(F.col(text), r"\s+\\[*]\s+(\d{1,3}\.\d{1,2}\.)\s+", "\n\n$1 "), r"([^\n])\n(\\[*]\s+\d{1,3}\.)", "$1\n\n$2")
+    parted = F.when(F.contains(text, F.lit("\\")), compact_arrays(parted)).otherwise(F.col(text))
+    # Few documents have anything that the rules on several lines could change.
+    odd = F.col(text).rlike(r"(?mu)^\s*\**\s*[A-C]\s*\**\s*$|^1\s+\S|(?i)observa[çc]")
+    some = docs.filter(F.col(key).isNotNull() & (F.length(_bare(F.col(text))) > 0))
+    raw = lambda those: those.select(key, F.posexplode(F.split(parted, "\n")).alias("pos", "line"))
+    clean = raw(some.filter(~odd)).unionByName(without_stray_ones(bracketed_observations(promoted_parts(raw(some.filter(odd)), key), key), key))
+    body = F.col("line")
+    whole, numbered = F.concat(body, F.lit("\n")), F.substring(body, 1, 32).rlike(r"\d")
+    heading = body.rlike(r"(?i)^\s*(?:#|grupo|parte)")
+    marked = clean.select(
+        key, F.col("pos").alias("row"), (F.col("pos") + 1).cast("int").alias("_line"), body.alias("body"), F.when(numbered, found(whole, ITEM, 1)).cast("int").alias("main"), F.when(numbered, found(whole, ITEM, 2)).cast("int").alias("sub"),
+        F.when(heading, group_of(body)).alias("_group"), F.when(heading, part_of(body)).alias("_part"),
+    )
+    grouped = marked.withColumns({"grupo": W.carried("_group", [key], ["row"]), "_groups": W.running_count(F.col("_group").isNotNull(), [key], ["row"])})
     parted = grouped.withColumn("parte", W.carried("_part", [key, "_groups"], ["row"]))
     boundary = F.col("_group").isNotNull() | F.col("_part").isNotNull() | F.col("body").rlike(SCORING)
-    return parted.select(key, "row", F.col("line").cast("int").alias("line"), "body", "main", "sub", "grupo", "parte", boundary.alias("boundary"))
+    return parted.select(key, "row", F.col("_line").alias("line"), "body", "main", "sub", "grupo", "parte", boundary.alias("boundary"))
 
 
 def essay(rows: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -49,58 +73,170 @@ def essay(rows: DataFrame, key: str = "doc_id") -> DataFrame:
     ends = F.min(F.when(F.col("body").rlike(SCORING), F.col("row"))).over(Window.partitionBy(key))
     opens = F.bool_or(F.col("main").isNotNull()).over(Window.partitionBy(key))
     inside = third.withColumns({"_end": ends, "_opens": opens}).filter("NOT _opens AND NOT boundary AND (_end IS NULL OR row < _end)")
-    told = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row", "body"))), lambda x: x["body"]), "\n")
-    found = inside.groupBy(key).agg(F.min("line").alias("line_start"), F.max("line").alias("line_end"), F.regexp_replace(told, r"^\s+|\s+$", "").alias("markdown"))
-    return found.filter("markdown <> ''")
+    told = _joined(F.lit(True))
+    text = inside.groupBy(key).agg(F.min("line").alias("line_start"), F.max("line").alias("line_end"), _bare(told).alias("markdown"))
+    return text.filter("markdown <> ''")
 
 
-def segments(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, ordem, item_id, numero, subitem, grupo, parte, pool, line_start, line_end, suspected_reset, tipo, optional, images, markdown) of each item.
+def _joined(which: Column) -> Column:
+    """The lines (row, body) of a group that meet a condition, in order."""
+    return F.array_join(F.transform(F.array_sort(F.collect_list(F.when(which, F.struct("row", "body")))), lambda x: x["body"]), "\n")
 
-    An item ends before the next one, or at the next heading of a group, a part or the scoring table. A document without item headings is one item. Main
-    numbers that don't ascend are renumbered, then made to start at 1 in each group; an item with sub-items is a context stem, and if it names a figure but has no
-    image, it takes its sub-items' images. Optional items of a group belong to its pool. A group III without items is one essay, III-1, after all others.
+
+def blocks(rows: DataFrame, key: str) -> DataFrame:
+    """(key, ordem, raw, sub, grupo, parte, line, text, gap, gap_line): the text of each item up to the next one or a boundary, and the text between that and the next item. rows: see lines.
+
+    ordem 0 is what stands before the first item, if anything does.
     """
-    rows = lines(docs, text, key)
     opens = F.col("main").isNotNull()
     numbered = rows.withColumns({"ordem": W.running_count(opens, [key], ["row"]), "_stops": W.running_count(opens | F.col("boundary"), [key], ["row"])})
-    any_heading = F.bool_or(opens).over(Window.partitionBy(key))
     first_stop = F.min(F.when(opens, F.col("_stops"))).over(Window.partitionBy(key, "ordem"))
-    inside = numbered.withColumns({"_any": any_heading, "_first": first_stop}).filter(~F.col("_any") | ((F.col("ordem") > 0) & (F.col("_stops") == F.col("_first"))))
-    ordem = F.greatest("ordem", F.lit(1)).cast("int")
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row", "body"))), lambda x: x["body"]), "\n")
-    each = inside.groupBy(key, ordem.alias("ordem")).agg(
-        F.coalesce(F.max("main"), F.lit(1)).alias("raw"), F.max("sub").alias("subitem"), F.first("grupo", True).alias("grupo"), F.first("parte", True).alias("parte"),
-        F.min("line").alias("line_start"), F.max("line").alias("line_end"), body.alias("markdown"),
+    split = numbered.withColumn("_in", (F.col("ordem") > 0) & (F.col("_stops") == first_stop)).withColumn("_in", F.coalesce("_in", F.lit(False)))
+    return split.groupBy(key, "ordem").agg(
+        F.max("main").alias("raw"), F.max("sub").alias("sub"), F.max(F.when(opens, F.col("grupo"))).alias("grupo"), F.max(F.when(opens, F.col("parte"))).alias("parte"), F.min(F.when(F.col("_in"), F.col("line"))).alias("line"),
+        _joined(F.col("_in")).alias("text"), _joined(~F.col("_in")).alias("gap"), F.min(F.when(~F.col("_in"), F.col("line"))).alias("gap_line"),
     )
-    labels = F.transform(F.array_sort(F.collect_list(F.struct("ordem", "raw", "subitem"))), lambda x: F.struct(x["raw"].alias("raw"), x["subitem"].alias("sub")))
-    fold = each.groupBy(key).agg(labels.alias("labels")).select(key, F.posexplode(I.canonical(F.col("labels"))).alias("_at", "_c"))
-    named = each.join(fold.select(key, (F.col("_at") + 1).alias("ordem"), "_c"), [key, "ordem"])
-    least = F.min("_c.main").over(Window.partitionBy(key, "grupo"))
-    numero = F.when(F.col("grupo").isNull(), F.col("_c.main")).otherwise(F.col("_c.main") - least + 1)
-    tree = named.withColumn("numero", numero.cast("int"))
-    children = F.count("subitem").over(Window.partitionBy(key, "grupo", "parte", "numero"))
-    stem = F.col("subitem").isNull() & (children > 0)
-    item_id = F.concat_ws("-", "grupo", "parte", F.concat_ws(".", F.col("numero").cast("string"), F.col("subitem").cast("string")))
-    own, optional = I.images(F.col("markdown")), I.optional_marker(F.col("markdown"))
-    held = tree.withColumns({"_stem": stem, "images": own, "optional": optional})
-    family = Window.partitionBy(key, "grupo", "parte", "numero")
-    siblings = F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.when(F.col("subitem").isNotNull(), F.struct("ordem", "images"))).over(family)), lambda x: x["images"])))
-    lacks = F.col("_stem") & (F.size("images") == 0) & F.contains("markdown", F.lit("Figura"))
-    moved = held.withColumns({"_takes": F.bool_or(lacks).over(family), "_theirs": siblings})
-    shown = F.when(lacks, F.col("_theirs")).when(F.col("_takes") & F.col("subitem").isNotNull(), F.array().cast("array<string>")).otherwise(F.col("images"))
-    last = each.groupBy(key).agg(F.max("ordem").alias("_last"))
-    added = essay(rows, key).join(last, key, "left")
-    items = moved.select(
-        key, "ordem", item_id.alias("item_id"), "numero", "subitem", "grupo", "parte", F.when(F.col("optional") & F.col("grupo").isNotNull(), F.concat("grupo", F.lit("-opt"))).alias("pool"), "line_start", "line_end", F.col("_c.reset").alias("suspected_reset"),
-        F.when(F.col("_stem"), "context_stem").otherwise(I.item_type(F.col("markdown"))).alias("tipo"), "optional", shown.alias("images"), "markdown",
+
+
+def canonical_blocks(found_blocks: DataFrame, key: str) -> DataFrame:
+    """blocks with main and reset: numbers made ascending as I.canonical does, by a running maximum instead of a fold.
+
+    A main number is at least one over the last, a sub-item's at least the last; so it is the number of main headings so far plus the largest lead over that number.
+    """
+    order = Window.partitionBy(key).orderBy("ordem")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    top = F.col("raw").isNotNull() & F.col("sub").isNull()
+    placed = found_blocks.withColumn("_place", F.count_if(top).over(so_far))
+    known = placed.withColumn("main", (F.col("_place") + F.max(F.col("raw") - F.col("_place")).over(so_far)).cast("int"))
+    again = F.when(F.col("sub").isNotNull(), F.col("main") != F.col("raw")).otherwise(F.col("raw") <= F.lag("main").over(order))
+    return known.withColumn("reset", F.coalesce(again, F.lit(False))).drop("_place")
+
+
+def with_parents(found_blocks: DataFrame, key: str) -> DataFrame:
+    """(key, ordem, own, main, sub, grupo, parte, line, text, reset): canonical blocks, and before the first sub-item of a number that no heading opens its parent, own 0.
+
+    A parent's text is the last paragraph that gives context among what stands between the block before and the sub-item; if there is none, what follows the last alternative (D) of the
+    block before, which then loses it. Without either there is no parent.
+    """
+    order, family = Window.partitionBy(key).orderBy("ordem"), Window.partitionBy(key, "main")
+    child = F.col("sub").isNotNull()
+    orphan = child & ~F.bool_or(F.col("raw").isNotNull() & F.col("sub").isNull()).over(family) & (F.row_number().over(family.orderBy("ordem")) == 1)
+    paragraphs = F.filter(F.split(F.lag("gap").over(order), r"\n{2,}"), lambda p: (_bare(p) != "") & ~p.rlike(NO_CONTEXT))
+    told = found_blocks.withColumns({"_orphan": F.coalesce(orphan, F.lit(False)), "_gap": F.lag("gap").over(order), "_gap_line": F.lag("gap_line").over(order), "_free": F.get(paragraphs, F.size(paragraphs) - 1)})
+    parted = r"(?s)^(.*\(D\)[^\n]*)(.*)$"
+    after = F.regexp_extract("text", parted, 2)
+    told = told.withColumn("_tail", F.when((_bare(after) != "") & ~_bare(after).rlike(r"^(?:\$\$|#|!\[|\()"), after))
+    lent = F.coalesce(F.lead(F.col("_orphan") & F.col("_free").isNull()).over(order), F.lit(False)) & F.col("_tail").isNotNull()
+    told = told.withColumn("_lent", lent)
+    told = told.withColumns({"_theirs": F.lag(F.when(F.col("_lent"), F.struct("_tail", "grupo", "parte", (F.col("line") + _breaks(F.regexp_extract("text", parted, 1))).alias("line")))).over(order), "text": F.when(F.col("_lent"), F.regexp_extract("text", parted, 1)).otherwise(F.col("text"))})
+    free_line = F.col("_gap_line") + _breaks(F.expr("left(_gap, cast(length(_gap) - locate(reverse(_free), reverse(_gap)) - length(_free) + 1 as int))"))
+    null = F.lit(None).cast("int")
+    kinds = "struct<own:int,main:int,sub:int,grupo:string,parte:string,line:int,text:string,reset:boolean>"
+    row = lambda own, sub, grupo, parte, line, text, reset: F.struct(F.lit(own), F.col("main"), sub, grupo, parte, line.cast("int"), text, reset).cast(kinds)
+    parent = F.when(F.col("_orphan") & F.col("_free").isNotNull(), row(0, null, F.col("grupo"), F.col("parte"), free_line, F.col("_free"), F.lit(False)))
+    parent = parent.when(F.col("_orphan") & F.col("_theirs").isNotNull(), row(0, null, F.col("_theirs.grupo"), F.col("_theirs.parte"), F.col("_theirs.line"), F.col("_theirs._tail"), F.lit(False)))
+    itself = row(1, F.col("sub"), F.col("grupo"), F.col("parte"), F.col("line"), F.col("text"), F.col("reset"))
+    return told.filter("ordem > 0").select(key, "ordem", F.inline(F.array_compact(F.array(parent, itself))))
+
+
+def with_inner(specs: DataFrame, key: str) -> DataFrame:
+    """with_parents' blocks cut before sub-items of their own number that stand inside them, before a verb that sets a task; piece counts them."""
+    pattern = F.concat(F.lit(r"(\s|[*★])("), F.col("main").cast("string"), F.lit(rf"\.\d{{1,2}}\.)(?=\s+(?:{INLINE_VERBS})\b)"))
+    pieces = specs.select(key, "ordem", "own", "main", "sub", "grupo", "parte", "line", "reset", F.posexplode(F.split(F.regexp_replace("text", pattern, F.lit(f"$1{CUT}$2")), CUT)).alias("piece", "text"))
+    before = F.coalesce(F.sum(_breaks(F.col("text"))).over(Window.partitionBy(key, "ordem", "own").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    label = F.regexp_extract("text", r"^\d+\.(\d{1,2})\.", 1)
+    return pieces.withColumns({"line": (F.col("line") + before).cast("int"), "sub": F.when(F.col("piece") > 0, label.cast("int")).otherwise(F.col("sub"))})
+
+
+def _cuts(specs: DataFrame, by: list[str]) -> DataFrame:
+    """(by, at): character offsets before which a block's text opens further items, the strongest sign at each place, as many as numbers are free. specs: by, text and free (null: any number)."""
+    opened = specs.filter(F.contains("text", F.lit("\n\n"))).select(*by, F.inline(F.filter(implicit_openings(F.col("text")), lambda o: o["opens"]))).select(*by, "at", "score")
+    order = Window.partitionBy(*by).orderBy("pos")
+    split = specs.filter(F.contains("text", F.lit("(D)")) | F.col("text").rlike(f"(?m){OPENING_LINE}")).select(*by, F.posexplode(F.split("text", "\n")).alias("pos", "l"))
+    placed = split.withColumns({"_at": F.coalesce(F.sum(F.length("l") + 1).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "_before": F.last(F.when(F.trim("l") != "", F.col("l")), True).over(order.rowsBetween(Window.unboundedPreceding, -1))})
+    closed = F.col("_before").rlike(r"(?:[.?!\])]|\$\$)\s*$")
+    explicit = placed.filter((F.col("_at") > 0) & F.col("l").rlike(OPENING_LINE) & closed).select(*by, F.col("_at").alias("at"), F.lit(4).alias("score"))
+    last = F.instr("l", "(D)")
+    beside = F.expr("substring(l, instr(l, '(D)') + 3)")
+    seen = placed.withColumns({"_d": last, "_after": F.max(last > 0).over(order.rowsBetween(Window.unboundedPreceding, -1))})
+    tails = seen.select(*by, F.inline(F.array_compact(F.array(
+        F.when(F.col("_after"), F.struct((F.col("_at") - 1).alias("base"), F.concat(F.lit("\n"), "l").alias("tail"))),
+        F.when(F.col("_d") > 0, F.struct((F.col("_at") + F.col("_d") + 2).alias("base"), beside.alias("tail"))),
+    ))))
+    tasked = tails.withColumn("_task", F.max(F.col("tail").rlike(TASK)).over(Window.partitionBy(*by)))
+    choice = tasked.withColumn("_i", F.regexp_instr("tail", F.lit(AFTER_CHOICE))).filter("_i > 0")
+    choice = choice.select(*by, (F.col("base") + F.col("_i") - 1 + F.length(F.regexp_extract("tail", AFTER_CHOICE, 1))).alias("at"), F.when(F.col("_task"), 5).otherwise(4).alias("score"))
+    signs = opened.unionByName(explicit).unionByName(choice).groupBy(*by, F.col("at").cast("int").alias("at")).agg(F.max("score").alias("score"))
+    ranked = signs.withColumn("_rank", F.row_number().over(Window.partitionBy(*by).orderBy("at"))).join(specs.select(*by, "free"), by)
+    return ranked.filter(F.col("free").isNull() | (F.col("_rank") <= F.col("free"))).select(*by, "at", "score")
+
+
+def numbers_free(specs: DataFrame, key: str) -> DataFrame:
+    """with_inner's blocks with free: how many main numbers there are between a block's own and that of the next block of a main item; null after the last."""
+    order = Window.partitionBy(key).orderBy("ordem", "own", "piece")
+    following = F.first(F.when(F.col("sub").isNull(), F.col("main")), True).over(order.rowsBetween(1, Window.unboundedFollowing))
+    return specs.withColumn("_next", following).withColumn("free", F.when(F.col("_next").isNotNull(), F.greatest(F.lit(0), F.col("_next") - F.col("main") - 1))).drop("_next")
+
+
+def with_openings(known: DataFrame, key: str) -> DataFrame:
+    """numbers_free's blocks cut where an item begins without a number: pieces after the first take the numbers that are free before the next main number, and are marked implicit with their score."""
+    by = [key, "ordem", "own", "piece"]
+    cuts = _cuts(known.filter("free IS NULL OR free > 0").select(*by, "text", "free"), by).groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("at", "score"))).alias("cuts"))
+    held = known.join(cuts, by, "left").withColumn("_text", F.col("text"))
+    start = F.struct(F.lit(0).alias("at"), F.lit(None).cast("int").alias("score"))
+    ends = F.concat(F.transform(F.coalesce("cuts", F.array().cast("array<struct<at:int,score:int>>")), lambda c: c["at"]), F.array(F.length("text")))
+    starts = F.concat(F.array(start), F.coalesce("cuts", F.array().cast("array<struct<at:int,score:int>>")))
+    each = held.select(*by, "main", "sub", "grupo", "parte", "line", "reset", "_text", F.posexplode(F.arrays_zip(starts.alias("s"), ends.alias("e"))).alias("part", "_p"))
+    text = F.expr("substring(_text, _p.s.at + 1, _p.e - _p.s.at)")
+    later = F.col("part") > 0
+    lead = _breaks(F.regexp_extract(text, r"^\s*", 0)) + _breaks(F.expr("left(_text, _p.s.at)"))
+    clean = _bare(F.regexp_replace(F.regexp_replace(_bare(text), r"^\*+(?=[A-ZÁÉÍÓÚÀÂÃÇO])", ""), r"\s*\\\s*$", ""))
+    out = each.select(
+        *by, "part", (F.col("main") + F.col("part")).alias("main"), F.when(~later, F.col("sub")).alias("sub"), "grupo", "parte", (F.col("line") + lead).cast("int").alias("line_start"),
+        (F.col("line") + lead + _breaks(_bare(text))).cast("int").alias("line_end"), (F.col("reset") | later).alias("reset"), later.alias("implicit"), F.col("_p.s.score").alias("score"), clean.alias("markdown"),
     )
-    whole = F.coalesce("_last", F.lit(0)) + 1
-    third = added.select(
-        key, whole.cast("int").alias("ordem"), F.lit("III-1").alias("item_id"), F.lit(1).alias("numero"), F.lit(None).cast("int").alias("subitem"), F.lit("III").alias("grupo"), F.lit(None).cast("string").alias("parte"), F.lit(None).cast("string").alias("pool"), "line_start", "line_end",
-        F.lit(False).alias("suspected_reset"), F.lit("essay").alias("tipo"), F.lit(False).alias("optional"), I.images(F.col("markdown")).alias("images"), "markdown",
+    return out.filter("markdown <> ''")
+
+
+def segments(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, ordem, item_id, numero, subitem, grupo, parte, pool, line_start, line_end, suspected_reset, tipo, optional, images, markdown, implicit, score) of each item.
+
+    An item ends before the next one, or at the next heading of a group, a part or the scoring table. A document without item headings is one item. Main
+    numbers that don't ascend are renumbered, then made to start at 1 in each group; an item with sub-items is a context stem, and if it names a figure but has no
+    image, it takes its sub-items' images. Optional items of a group belong to its pool. A group III without items is one essay, III-1, after all others.
+
+    Lines are those of the normalised text, see `lines`. Rows without a key are left out; rows that share one are a document. No rows give no rows. Columns other than text and key are not read.
+    """
+    read = docs.select(key, text)
+    found_blocks = blocks(lines(read, text, key), key)
+    headed = stored(found_blocks.withColumn("_any", F.max("ordem").over(Window.partitionBy(key)) > 0), "blocks")
+    specs = with_inner(with_parents(canonical_blocks(headed.filter("_any").drop("_any"), key), key), key)
+    pieces = with_openings(stored(numbers_free(specs, key), "specs"), key)
+    whole = headed.filter("NOT _any").select(key, _bare(F.col("gap")).alias("markdown"), (F.col("gap_line") + _breaks(F.regexp_extract("gap", r"^\s*", 0))).cast("int").alias("line_start"))
+    whole = whole.withColumns({"line_end": (F.col("line_start") + _breaks(F.col("markdown"))).cast("int"), "main": F.lit(1), "ordem": F.lit(1).cast("long"), "reset": F.lit(False), "implicit": F.lit(False)})
+    each = pieces.unionByName(whole, allowMissingColumns=True)
+    order = Window.partitionBy(key).orderBy("ordem", "own", "piece", "part")
+    family = Window.partitionBy(key, "main")
+    child = F.col("sub").isNotNull()
+    named = each.withColumns({"_ordem": F.row_number().over(order), "_children": F.count("sub").over(family)})
+    least = F.min(F.when(F.col("sub").isNull(), F.col("main"))).over(Window.partitionBy(key, "grupo"))
+    numero = F.when(F.col("grupo").isNull(), F.col("main")).otherwise(F.col("main") - F.coalesce(least, F.lit(1)) + 1).cast("int")
+    tree = named.withColumns({"numero": numero, "_stem": ~child & (F.col("_children") > 0), "images": I.images(F.col("markdown")), "optional": I.optional_marker(F.substring_index("markdown", "\n", 1))})
+    siblings = F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.when(child, F.struct("_ordem", "images"))).over(family)), lambda x: x["images"])))
+    lacks = F.col("_stem") & (F.size("images") == 0) & F.col("markdown").rlike(r"(?iu)\bFigura\b")
+    moved = tree.withColumns({"_lacks": lacks, "_takes": F.bool_or(lacks).over(family), "_theirs": siblings})
+    shown = F.when(F.col("_lacks"), F.col("_theirs")).when(F.col("_takes") & child, F.array().cast("array<string>")).otherwise(F.col("images"))
+    item_id = F.concat_ws("-", "grupo", "parte", F.concat_ws(".", F.col("numero").cast("string"), F.col("sub").cast("string")))
+    items = stored(moved.select(
+        key, F.col("_ordem").alias("ordem"), item_id.alias("item_id"), "numero", F.col("sub").alias("subitem"), "grupo", "parte", F.when(F.col("optional"), F.concat_ws("-", "grupo", F.lit("opt"))).alias("pool"), "line_start", "line_end", F.col("reset").alias("suspected_reset"),
+        F.when(F.col("_stem"), "context_stem").otherwise(I.item_type(F.col("markdown"))).alias("tipo"), "optional", shown.alias("images"), "markdown", "implicit", "score",
+    ), "items")
+    last = items.groupBy(key).agg(F.max("ordem").alias("_last"))
+    third = essay(lines(read.filter(F.col(text).rlike(r"(?i)grupo\s+III\b")), text, key), key).join(last, key, "left").select(
+        key, (F.coalesce("_last", F.lit(0)) + 1).cast("int").alias("ordem"), F.lit("III-1").alias("item_id"), F.lit(1).alias("numero"), F.lit("III").alias("grupo"), "line_start", "line_end",
+        F.lit(False).alias("suspected_reset"), F.lit("essay").alias("tipo"), F.lit(False).alias("optional"), I.images(F.col("markdown")).alias("images"), "markdown", F.lit(False).alias("implicit"),
     )
-    return items.unionByName(third)
+    return items.unionByName(third, allowMissingColumns=True)
 
 
 #: How a new item begins, how one goes on, what opens with a picture, what asks for a completion, and tasks that end an item.
@@ -113,12 +249,11 @@ OPENING_SCORE = 3
 
 
 def implicit_openings(block: Column) -> Column:
-    """array<struct<paragraph, score, opens>> of a block's paragraphs after the first: whether each begins an item of its own.
+    """array<struct<paragraph, at, score, opens>> of a block's paragraphs after the first: where each begins, and whether it begins an item of its own.
 
     Most of a score is of two neighbours; but a first picture, or a task done, is looked for in all that was gathered since the last opening. Two flags carry that
-    from paragraph to paragraph, so nothing is read twice.
+    from paragraph to paragraph, so nothing is read twice. Blank paragraphs count for places alone.
     """
-    paragraphs = F.filter(F.transform(F.split(block, r"\n\n+"), lambda p: F.regexp_replace(p, r"^\s+|\s+$", "")), lambda p: p != "")
     last = lambda p: F.trim(F.regexp_extract(p, r"([^\n]*)\z", 1))
     first = lambda p: F.trim(F.regexp_extract(p, r"\A([^\n]*)", 1))
     worth = lambda test, n: F.when(test, n).otherwise(0)
@@ -133,14 +268,20 @@ def implicit_openings(block: Column) -> Column:
     image = lambda p: p.rlike(I.IMAGE)
     task = lambda p: F.contains(F.lower(p), F.lit("determine o valor de")) | F.contains(F.lower(p), F.lit("mostre que"))
     turn = lambda p: F.contains(F.lower(p), F.lit("o gráfico da figura")) | F.contains(F.lower(p), F.lit("para certos valores reais"))
-    head, rest = F.get(paragraphs, F.lit(0)), F.slice(paragraphs, F.lit(2), F.greatest(F.size(paragraphs) - 1, F.lit(0)))
-    pairs = F.zip_with(F.slice(paragraphs, F.lit(1), F.greatest(F.size(paragraphs) - 1, F.lit(0))), rest, lambda b, p: F.struct(p.alias("p"), local(b, p).alias("local"), image(p).alias("image"), task(p).alias("task"), turn(p).alias("turn")))
-    start = F.struct(image(head).alias("image"), task(head).alias("task"), F.array().cast("array<struct<paragraph:string,score:int,opens:boolean>>").alias("out"))
+    placed = "array<struct<p:string,at:int>>"
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast(placed).alias("out"))
+    put = lambda acc, x: F.struct((acc["at"] + F.length(x) + 2).alias("at"), F.when(_bare(x) == "", acc["out"]).otherwise(F.array_append(acc["out"], F.struct(_bare(x).alias("p"), acc["at"].alias("at")))).alias("out"))
+    parts = F.aggregate(F.split(block, r"\n\n"), empty, put, lambda acc: acc["out"])
+    # Each paragraph beside the one before: all that needs no memory is worked out once.
+    pair = lambda b, x: F.struct(x["p"].alias("p"), x["at"].alias("at"), local(b["p"], x["p"]).alias("local"), image(x["p"]).alias("image"), task(x["p"]).alias("task"), turn(x["p"]).alias("turn"))
+    facts = F.filter(F.zip_with(parts, F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), pair), lambda x: x["p"].isNotNull())
+    head = F.get(parts, F.lit(0))["p"]
+    start = F.struct(F.coalesce(image(head), F.lit(False)).alias("image"), F.coalesce(task(head), F.lit(False)).alias("task"), F.array().cast("array<struct<paragraph:string,at:int,score:int,opens:boolean>>").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         score = (x["local"] + worth(x["image"] & ~acc["image"], 1) + worth(acc["task"] & x["turn"], 3)).cast("int")
         opens = score >= OPENING_SCORE
-        row = F.struct(x["p"].alias("paragraph"), score.alias("score"), opens.alias("opens"))
+        row = F.struct(x["p"].alias("paragraph"), x["at"].alias("at"), score.alias("score"), opens.alias("opens"))
         return F.struct((x["image"] | (acc["image"] & ~opens)).alias("image"), (x["task"] | (acc["task"] & ~opens)).alias("task"), F.array_append(acc["out"], row).alias("out"))
 
-    return F.when(F.size(paragraphs) > 1, F.aggregate(pairs, start, step, lambda acc: acc["out"])).otherwise(start["out"])
+    return F.aggregate(facts, start, step, lambda acc: acc["out"])

@@ -223,7 +223,24 @@ def html_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.get(found, F.lit(0)).alias("heading"), F.size(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))).cast("long").alias("n_links"))
 
 
-@query()
+_HEADING = r"^(?:\$\\(?:star|bigstar|ast)\$\s*|\$?\\pm\s*|\\[*]\s*|[*±•-]\s*|\*\*\s*)?(?:Quest[aã]o\s+)?(\d{1,3})(?:\.(\d{1,2}))?(?:\s*\.\s*(?:\*\*)?\s*\$?\s+|\s*\.\*\*\s+|[A-ZÁÉÍÓÚÀÂÃÇ])"
+
+
+@query(rf"""
+    WITH t AS (SELECT doc_id, string_split(regexp_replace(text, '\. ([A-Z])', '.' || chr(10) || '1. \1', 'g'), chr(10)) AS ls FROM documents WHERE trim(text) <> ''),
+        l AS (SELECT doc_id, unnest(ls) AS body, unnest(range(1, len(ls) + 1)) AS line FROM t),
+        h AS (SELECT *, TRY_CAST(regexp_extract(body || chr(10), '{_HEADING}', 1) AS INT) AS raw, TRY_CAST(regexp_extract(body || chr(10), '{_HEADING}', 2) AS INT) AS sub FROM l),
+        n AS (SELECT *, count(raw) OVER w AS k, count(*) FILTER (raw IS NOT NULL AND sub IS NULL) OVER w AS place FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY line)),
+        m AS (SELECT *, place + max(raw - place) OVER (PARTITION BY doc_id ORDER BY line) AS main FROM n),
+        b AS (
+            SELECT doc_id, k, max(raw) AS raw, max(sub) AS sub, max(main) AS main, min(line) AS line, string_agg(body, chr(10) ORDER BY line) AS md FROM m WHERE k > 0 GROUP BY doc_id, k
+            UNION ALL SELECT doc_id, 1, 1, NULL, 1, min(line), string_agg(body, chr(10) ORDER BY line) FROM m GROUP BY doc_id HAVING max(k) = 0),
+        c AS (SELECT *, regexp_replace(md, '^\s+|\s+$', '', 'g') AS t, lag(main) OVER (PARTITION BY doc_id ORDER BY k) AS before, count(sub) OVER (PARTITION BY doc_id, main) AS subs FROM b),
+        p AS (SELECT *, line + length(regexp_extract(md, '^\s*', 0)) - length(replace(regexp_extract(md, '^\s*', 0), chr(10), '')) AS first FROM c WHERE t <> '')
+    SELECT doc_id, CAST(k AS INT) AS ordem, concat_ws('.', main, sub) AS item_id, CAST(first AS INT) AS line_start, CAST(first + length(t) - length(replace(t, chr(10), '')) AS INT) AS line_end,
+        coalesce(CASE WHEN sub IS NULL THEN raw <= before ELSE raw <> main END, false) AS suspected_reset,
+        CASE WHEN sub IS NULL AND subs > 0 THEN 'context_stem' WHEN len(regexp_extract_all(t, '\([A-D]\)')) = 4 THEN 'multiple_choice' ELSE 'open_response' END AS tipo
+    FROM p""")
 def split_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose sentences are items of one number each, segmented and renumbered."""
     docs = _docs(spark, sf_dir).select("doc_id", F.regexp_replace("text", r"\. ([A-Z])", ".\n1. $1").alias("text"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_path(spark: SparkSession, what: str) -> str:
@@ -16,3 +16,10 @@ def shared_path(spark: SparkSession, what: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.gettempdir()}/itemforge-shared"
     return f"{found.rstrip('/')}/bank/{what}-{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame, what: str) -> DataFrame:
+    """rows written as a table in the shared folder and read back, for what several steps read; lineage ends there."""
+    path = shared_path(rows.sparkSession, what)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -55,9 +55,13 @@ def tokens(x: Column) -> Column:
     return F.filter(F.split(unaccent(F.lower(x)), "[^a-z0-9]+"), lambda t: t != "")
 
 
+#: Letters that words are made of.
+WORD_LETTERS = "a-záàâãéêíóôõúüçA-ZÁÀÂÃÉÊÍÓÔÕÚÜÇ"
+
+
 def long_words(x: Column) -> Column:
-    """Distinct runs of five or more letters a-z, folded."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(x), F.lit("[a-z]{5,}"), F.lit(0)))
+    """Distinct runs of five or more letters, accented ones included, in small letters."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(x, F.lit(f"[{WORD_LETTERS}]{{5,}}"), F.lit(0)), F.lower))
 
 
 def normal_tags(tags: Column) -> Column:

@@ -195,8 +195,8 @@ def criterion_rules() -> list[Rule]:
 
 
 def new_words() -> Column:
-    """Long words of a criterion's edited fields that neither its original nor a note of resolution has."""
-    edited = F.concat_ws(" ", "solucao", F.transform("passos", lambda s: s["descricao"]))
+    """Long words of a criterion's edited fields, other solutions included, that neither its original nor a note of resolution has."""
+    edited = F.concat_ws(" ", "solucao", F.transform("passos", lambda s: s["descricao"]), "resolucoes_alternativas")
     notes = F.concat_ws(" ", F.filter("observacoes", lambda o: F.startswith(o, F.lit("OCR-RESOLVED:")) | F.startswith(o, F.lit("OCR-FALSE-POSITIVE:"))))
     return F.array_except(F.array_except(T.long_words(edited), T.long_words(F.coalesce("texto_original", F.lit("")))), T.long_words(notes))
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -62,16 +64,20 @@ def _away(x: Column, at: str) -> Column:
 
 
 def numbered(rows: DataFrame, by: str, order: str, width: int, named: str = "k") -> DataFrame:
-    """rows with their number within `by` in the order of a number: counted by stretches of this width, whose sizes are summed first, so a group is many tasks."""
+    """rows with their number within `by` in the order of a number: counted by stretches of this width, whose sizes are summed first, so a group is many tasks.
+
+    Rows without a group are numbered as one; rows without an order come first, as a stretch of their own.
+    """
     cut = rows.withColumn("_stretch", F.floor(F.col(order) / width))
     sizes = cut.groupBy(by, "_stretch").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(W.partitionBy(by).orderBy("_stretch").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     own = F.row_number().over(W.partitionBy(by, "_stretch").orderBy(order))
-    return cut.join(sizes.select(by, "_stretch", before.alias("_before")), [by, "_stretch"]).withColumn(named, own + F.col("_before")).drop("_stretch", "_before")
+    starts = sizes.select(F.col(by).alias("_by"), F.col("_stretch").alias("_at"), before.alias("_before"))
+    return cut.withColumn("_own", own).join(starts, F.col(by).eqNullSafe(F.col("_by")) & F.col("_stretch").eqNullSafe(F.col("_at"))).withColumn(named, F.col("_own") + F.col("_before")).drop("_stretch", "_before", "_own", "_by", "_at")
 
 
 def positional_join(left: DataFrame, right: DataFrame, by: str, left_order: str, right_order: str, width: int) -> DataFrame:
-    """The k-th left row of each group beside the k-th right row; nulls where the right group is shorter."""
+    """The k-th left row of each group beside the k-th right row; nulls where the right group is shorter. Left rows without a group stay, beside nothing."""
     return numbered(left, by, left_order, width).join(numbered(right, by, right_order, width), [by, "k"], "left")
 
 
@@ -81,22 +87,32 @@ def differences(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return a.join(b, key, "left_anti").withColumn("side", F.lit("left_only")).unionByName(b.join(a, key, "left_anti").withColumn("side", F.lit("right_only")))
 
 
-def upsert(base: DataFrame, patch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """base with rows of patch inserted or, column by column of patch, overwritten, also by nulls; other columns of base stay."""
-    sent = [c for c in patch.columns if c not in keys]
-    side = patch.select(*keys, F.lit(True).alias("_sent"), *(F.col(c).alias(f"_new_{c}") for c in sent))
-    joined = base.join(side, list(keys), "full_outer")
-    return joined.select(*keys, *(F.when(F.col("_sent"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in sent else F.col(c) for c in base.columns if c not in keys))
+def upsert(base: DataFrame, patch: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
+    """base with rows of patch inserted or, column by column of patch, overwritten, also by nulls; other columns of base stay.
+
+    Of several rows of patch under one key the last by `order`, a column that isn't sent, counts; without an order such a key raises when rows are read. Keys may be null: nulls are equal here.
+    """
+    sent = [c for c in patch.columns if c not in keys and c != order]
+    whole = F.struct(*sent, F.lit(True).alias("_sent"))
+    again = F.raise_error(F.concat(F.lit("upsert: a key of the patch occurs twice: "), F.to_json(F.struct(*keys))))
+    one = F.max_by(whole, order) if order else F.when(F.count("*") > 1, again).otherwise(F.first(whole))
+    side = patch.groupBy(*keys).agg(one.alias("_new")).select(*(F.col(k).alias(f"_key_{k}") for k in keys), "_new")
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys))
+    joined = base.withColumn("_old", F.lit(True)).join(side, same, "full_outer")
+    return joined.select(*(F.when(F.col("_old"), F.col(k)).otherwise(F.col(f"_key_{k}")).alias(k) for k in keys), *(F.when(F.col("_new._sent"), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in sent else F.col(c) for c in base.columns if c not in keys))
 
 
 def get_or_create(dimension: DataFrame, rows: DataFrame, natural: Sequence[str], id_column: str) -> DataFrame:
-    """The dimension with new natural keys appended under deterministic ids, so a rerun creates none."""
-    new = rows.select(*natural).distinct().join(dimension, list(natural), "left_anti")
+    """The dimension with new natural keys appended under deterministic ids, so a rerun creates none. Nulls are values of a key like others."""
+    known = dimension.select(*(F.col(c).alias(f"_known_{c}") for c in natural))
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in natural))
+    new = rows.select(*natural).distinct().join(known, same, "left_anti")
     return dimension.select(id_column, *natural).unionByName(new.withColumn(id_column, stable_id(*natural)).select(id_column, *natural))
 
 
 def stable_id(*natural: str) -> Column:
-    return F.sha2(F.concat_ws("|", *natural), 256)
+    """An id from a natural key: a digest of its JSON, in which nulls, separators and the parts' borders show, so different keys have different ids."""
+    return F.sha2(F.to_json(F.struct(*(F.col(c).alias(f"k{n}") for n, c in enumerate(natural))), {"ignoreNullFields": "false"}), 256)
 
 
 def overlay_apply(base: DataFrame, patches: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:

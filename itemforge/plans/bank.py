@@ -164,13 +164,14 @@ CRITERION = {
     "solucao": "CASE k % 6 WHEN 0 THEN ' ' WHEN 1 THEN 'Mostra que a soma dos termos da progressao e igual ao valor pedido no enunciado, como se queria' WHEN 2 THEN 'palavra nova' ELSE 'resultado correto' END",
     "steps": "CASE k % 8 WHEN 0 THEN '' WHEN 1 THEN 'Mostra que a soma  dos termos da progressao e igual ao valor pedido no enunciado, como se queria;fim' WHEN 2 THEN 'N:nivel quatro' ELSE 'primeiro passo;resultado correto' END",
     "texto_original": "CASE WHEN k % 9 > 0 THEN 'resultado correto do primeiro passo; palavra' ELSE '' END", "cotacao_total": "k % 20",
+    "other": "CASE k % 11 WHEN 0 THEN 'equação resolvida' WHEN 1 THEN 'palavra;résultado correto' ELSE '' END",
 }
 _CRITERIA = f"c AS (SELECT k AS s_suppkey, {', '.join(f'{e} AS {n}' for n, e in CRITERION.items())} FROM (SELECT s_suppkey AS k FROM supplier UNION ALL SELECT 1000000 + c_custkey FROM customer))"
 _CRITERION_SQL = [
     ("C1-type", 0, "tipo = 'unknown'"), ("C1-unreviewed", 0, "k AND NOT coalesce(reviewed, false)"), ("C2-suspect", 0, "k AND note = 'OCR-SUSPECT: x'"), ("C3-answer", 0, "tipo = 'multiple_choice' AND upper(coalesce(resposta_correta, '')) NOT IN ('A', 'B', 'C', 'D')"),
     ("C4-single", 0, "many AND resposta_correta IS NOT NULL"), ("C4-none", 0, "many AND n_answers = 0"), ("C4-one", 0, "tipo = 'multi_select' AND n_answers = 1"),
     ("C5-solution", 0, "k AND tipo <> 'multiple_choice' AND trim(solucao) = '' AND steps NOT LIKE 'N:%'"), ("C5-steps-essay", 1, "tipo = 'essay' AND steps = ''"), ("C5-both", 0, "many AND steps = '' AND trim(solucao) = ''"), ("C5-steps", 0, "tipo = 'open_response' AND steps = ''"),
-    ("C6-words", 1, "k AND texto_original <> '' AND len(list_filter(regexp_extract_all(lower(solucao || ' ' || replace(steps, ';', ' ')), '[a-z]{5,}'), lambda w: NOT list_contains(regexp_extract_all(lower(texto_original || CASE WHEN note LIKE '%RESOLVED%' THEN ' palavra' ELSE '' END), '[a-z]{5,}'), w))) > 0"),
+    ("C6-words", 1, "k AND texto_original <> '' AND len(list_filter(regexp_extract_all(lower(solucao || ' ' || replace(steps, ';', ' ') || ' ' || replace(other, ';', ' ')), '[a-záàâãéêíóôõúüçA-ZÁÀÂÃÉÊÍÓÔÕÚÜÇ]{5,}'), lambda w: NOT list_contains(regexp_extract_all(lower(texto_original || CASE WHEN note LIKE '%RESOLVED%' THEN ' palavra' ELSE '' END), '[a-záàâãéêíóôõúüçA-ZÁÀÂÃÉÊÍÓÔÕÚÜÇ]{5,}'), w))) > 0"),
     ("C7-mirror", 0, r"tipo IN ('open_response', 'essay') AND length(trim(solucao)) >= 80 AND steps <> '' AND NOT contains(regexp_replace(lower(steps), '\s+', ' ', 'g'), lower(solucao))"),
 ]
 
@@ -181,7 +182,7 @@ def criteria(spark: SparkSession, sf_dir: str) -> DataFrame:
     level = lambda x: F.when(F.startswith(x, F.lit("N:")), "N4")
     step = lambda x: F.struct(F.when(level(x).isNull(), F.lit(5).cast("long")).alias("pontos"), F.regexp_replace(x, "^N:", "").alias("descricao"), level(x).alias("nivel"))
     answers = F.slice(F.array(F.lit("I"), F.lit("II")), F.lit(1), F.col("n_answers").cast("int"))
-    return rows.withColumns({"observacoes": _split("note"), "passos": F.transform(_split("steps"), step), "respostas_corretas": answers})
+    return rows.withColumns({"observacoes": _split("note"), "passos": F.transform(_split("steps"), step), "respostas_corretas": answers, "resolucoes_alternativas": _split("other")})
 
 
 @query(f"WITH {_CRITERIA}, x AS (SELECT *, tipo <> 'unknown' AS k, tipo IN ('multi_select', 'complete_table') AS many FROM c) " + judged_sql(_CRITERION_SQL, "s_suppkey", "x"))

@@ -285,7 +285,7 @@ def positional_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     WITH d AS (SELECT DISTINCT 'old-' || p_brand AS id, p_brand FROM part WHERE p_partkey < 10)
-    SELECT * FROM d UNION ALL SELECT DISTINCT sha256(p_brand), p_brand FROM part WHERE p_brand NOT IN (SELECT p_brand FROM d)""")
+    SELECT * FROM d UNION ALL SELECT DISTINCT sha256('{"k0":"' || p_brand || '"}'), p_brand FROM part WHERE p_brand NOT IN (SELECT p_brand FROM d)""")
 def get_or_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     known = part.filter("p_partkey < 10").select(F.concat(F.lit("old-"), "p_brand").alias("id"), "p_brand").distinct()

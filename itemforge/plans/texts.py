@@ -146,7 +146,7 @@ def ocr_lint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT doc_id, list_aggregate(list_slice(list_sort(list_filter(list_distinct(regexp_extract_all(lower(d.text), '[a-z]{5,}')), lambda x: NOT list_contains(regexp_extract_all(lower(b.text), '[a-z]{5,}'), x))), 1, 4), 'string_agg', ',') AS sample
+    SELECT doc_id, list_aggregate(list_slice(list_sort(list_filter(list_distinct(list_transform(regexp_extract_all(d.text, '[a-záàâãéêíóôõúüçA-ZÁÀÂÃÉÊÍÓÔÕÚÜÇ]{5,}'), lambda x: lower(x))), lambda x: NOT list_contains(list_transform(regexp_extract_all(b.text, '[a-záàâãéêíóôõúüçA-ZÁÀÂÃÉÊÍÓÔÕÚÜÇ]{5,}'), lambda y: lower(y)), x))), 1, 4), 'string_agg', ',') AS sample
     FROM documents d JOIN benchmark b ON doc_id % 40 = item_id""")
 def token_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first four long words of an edited text that its original lacks."""

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from itemforge.operators.headings import group_of, part_of
+from itemforge.functions.repairs import LOWER, MARGIN, UPPER, broken_margin
+from itemforge.operators.headings import GROUP_HEADING, group_of, part_of
 
 LONE_PART = r"^\s*\**\s*([A-C])\s*\**\s*$"
 
@@ -57,16 +58,16 @@ def without_stray_ones(lines: DataFrame, key: str) -> DataFrame:
     return marked.withColumn("line", F.when(stray, F.regexp_replace("line", r"^1\s+", "")).otherwise(F.col("line"))).select(key, "pos", "line")
 
 
-def restored_tens(lines: DataFrame, key: str) -> DataFrame:
-    """lines with a leading "0 " made the ten that the line numbers before and after it tell."""
+def restored_tens(lines: DataFrame, key: str, *zone: str) -> DataFrame:
+    """lines, in each zone by itself, with a leading "0 " made the ten that the line numbers before and after it tell."""
     number = _found(F.col("line"), r"^(\d{1,3})\s").cast("int")
     known = F.when((number % 5 == 0) & number.between(5, 99), number)
-    rows = W.partitionBy(key).orderBy("pos")
+    rows = W.partitionBy(key, *zone).orderBy("pos")
     marked = lines.withColumn("_n", known)
     marked = marked.withColumns({"_p": F.last("_n", True).over(rows.rowsBetween(W.unboundedPreceding, -1)), "_x": F.first("_n", True).over(rows.rowsBetween(1, W.unboundedFollowing))})
     guess = F.when(F.col("_x") - F.col("_p") == 10, F.col("_p") + 5).when(F.col("_p") % 10 == 5, F.col("_p") + 5).when(F.col("_x") % 10 == 5, F.col("_x") - 5)
     good = F.col("line").rlike(r"^0\s") & (guess > 0) & (guess % 10 == 0)
-    return marked.withColumn("line", F.when(good, F.concat(guess.cast("string"), F.regexp_replace("line", r"^0\s", " "))).otherwise(F.col("line"))).select(key, "pos", "line")
+    return marked.withColumn("line", F.when(good, F.concat(guess.cast("string"), F.regexp_replace("line", r"^0\s", " "))).otherwise(F.col("line"))).select(key, *zone, "pos", "line")
 
 
 def expected_numbers(candidates: DataFrame, by: str, order: str, value: str, at_start: str) -> DataFrame:
@@ -118,3 +119,46 @@ def group_contexts(docs: DataFrame, first_lines: DataFrame, text: str = "text",
     told = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"]), "\n")
     found = before.groupBy(key, "_section", "grupo", "parte").agg((F.min("pos") + 1).alias("line_start"), (F.max("pos") + 1).alias("line_end"), F.regexp_replace(told, r"^\s+|\s+$", "").alias("texto"))
     return found.filter(F.length("texto") > least).drop("_section")
+
+
+#: A group's first item; a line number with a point; a number between words.
+FIRST_ITEM = r"^1\.\s+[A-ZÁÀÂÃÉÊÍÓÔÕÚ(«]"
+DOTTED = rf"^({MARGIN})\.\s+(?=[{UPPER}{LOWER}«])"
+IN_PROSE = rf"(?<=\s)(\d{{1,2}})(?=\s+[{LOWER}{UPPER}«])"
+
+
+def prose_numbers(lines: DataFrame, key: str, *zone: str) -> DataFrame:
+    """lines (key, zone, pos, line) with a line break before each line number that stands among words, if it is the next that is expected in its zone.
+
+    The first multiple of five that stands at a line's start sets the count; see expected_numbers. Each line is cut at its numbers, with what the next line with text begins with behind it, the
+    numbers are judged as rows, and the pieces put together again.
+    """
+    order = W.partitionBy(key, *zone).orderBy("pos")
+    behind = F.first(F.when(F.trim("line") != "", F.substring(F.ltrim("line"), 1, 1)), True).over(order.rowsBetween(1, W.unboundedFollowing))
+    whole = F.concat(F.lit("\n"), "line", F.lit("\n"), F.coalesce("_behind", F.lit(" ")))
+    pieces = lines.withColumn("_behind", behind).select(key, *zone, "pos", F.posexplode(F.split(F.regexp_replace(whole, IN_PROSE, "\u0001$1"), "\u0001")).alias("_k", "_piece"))
+    before = F.lag("_piece").over(W.partitionBy(key, *zone, "pos").orderBy("_k"))
+    rows = pieces.withColumn("_start", (F.col("_k") == 1) & (F.trim(F.translate(before, "\n\t", "  ")) == "")).withColumn("_value", F.when(F.col("_k") > 0, F.regexp_extract("_piece", r"^(\d{1,2})", 1).try_cast("int")))
+    rows = rows.withColumn("_value", F.when((F.col("_value") % 5 == 0) & F.col("_value").between(5, 95), F.col("_value")))
+    rows = rows.withColumns({"_by": F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (key, *zone))), "_order": F.row_number().over(W.partitionBy(key, *zone).orderBy("pos", "_k"))})
+    taken = expected_numbers(rows.filter("_value IS NOT NULL").select("_by", "_order", "_value", "_start"), "_by", "_order", "_value", "_start").select("_by", "_order", "taken")
+    told = rows.join(taken, ["_by", "_order"], "left")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_k", F.when(F.col("taken") & ~F.col("_start"), F.concat(F.lit("\n"), "_piece")).otherwise(F.col("_piece")).alias("p")))), lambda x: x["p"]), "")
+    # Without the break before and the break and letter behind.
+    return told.groupBy(key, *zone, "pos").agg(text.alias("_t")).select(key, *zone, "pos", F.expr("substring(_t, 2, length(_t) - 3)").alias("line"))
+
+
+def preamble_numbers(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, text): line numbers of excerpts on lines of their own. Between a group's heading and its first item points behind them go, where there are two or more, broken tens are restored and numbers
+    among words get a line break; anywhere, a line with two or more of them after sentences is broken. A text without headings of groups changes by the last rule alone.
+    """
+    lines = _numbered(docs, text, key)
+    order = W.partitionBy(key).orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    grouped = lines.withColumn("zone", F.count_if(F.col("line").rlike(GROUP_HEADING)).over(order))
+    begun = F.count_if(F.col("line").rlike(FIRST_ITEM)).over(W.partitionBy(key, "zone").orderBy("pos").rowsBetween(W.unboundedPreceding, 0))
+    zoned = grouped.withColumn("_in", (F.col("zone") > 0) & (begun == 0))
+    dotted = zoned.filter("_in").withColumn("_dots", F.count_if(F.col("line").rlike(DOTTED)).over(W.partitionBy(key, "zone")))
+    bare = dotted.withColumn("line", F.when(F.col("_dots") >= 2, F.regexp_replace("line", DOTTED, "$1 ")).otherwise(F.col("line"))).select(key, "zone", "pos", "line")
+    done = prose_numbers(restored_tens(bare, key, "zone"), key, "zone")
+    every = done.select(key, "pos", "line").unionByName(zoned.filter("NOT _in").select(key, "pos", "line"))
+    return joined(every.withColumn("line", broken_margin(F.col("line"))), key)

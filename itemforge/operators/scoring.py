@@ -142,3 +142,38 @@ def answer_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     shown = F.when(~F.col("piped"), F.col("line")).when(good, F.concat(item, F.lit(". Chave: ("), letter, F.lit(") "), worth, F.lit(" pontos"))).when(F.col("at") == 1, F.lit(""))
     kept = runs.withColumn("shown", shown).filter("shown IS NOT NULL")
     return kept.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "shown"))), lambda x: x["shown"]), "\n").alias("text"))
+
+
+#: Fixed value: a heading of a criterion whose points stand in its text.
+INLINE_HEADER = r"^#{0,4}\s*(?:\*\*)?\s*(\d{1,2}(?:\.\d+)?)\.(?:\*\*)?\s+[A-ZÁÀÂÃÉÊÍÓÔÕÚÇ]"
+
+
+def covered(points: DataFrame, spans: DataFrame, by: str, at: str, low: str, high: str) -> DataFrame:
+    """points with covered: whether a span (low to high, both included) of the same `by` holds it. By one sorted union: the largest end of spans that began before, not by pairs."""
+    both = spans.select(by, F.col(low).alias("_at"), F.col(high).alias("_end"), F.lit(0).alias("_kind"), F.lit(None).cast("long").alias("_row")).unionByName(
+        points.select(by, F.col(at).alias("_at"), F.lit(None).cast(spans.schema[high].dataType).alias("_end"), F.lit(1).alias("_kind"), F.col("_row"))
+    )
+    reach = F.max("_end").over(W.partitionBy(by).orderBy("_at", "_kind").rowsBetween(W.unboundedPreceding, 0))
+    told = both.withColumn("covered", F.coalesce(reach >= F.col("_at"), F.lit(False))).filter("_kind = 1").select("_row", "covered")
+    return points.join(told, "_row").drop("_row")
+
+
+def expected_blocks(docs: DataFrame, blocks: DataFrame, expected: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, item_id, points, implicit, line_start, line_end, body, inline): criteria_blocks' rows, and those of expected items that no heading with points gave.
+
+    expected: key, item_id, points. An item is looked for by its id without the group, at headings `3.1. Texto` outside all blocks; its text goes to the next such heading.
+    Of several expected ids that differ in the group alone the last one's points count.
+    """
+    plain = F.regexp_replace("item_id", r"^[IVX]+-", "")
+    there = blocks.select(key, F.col("item_id").alias("plain")).distinct()
+    lacking = expected.withColumn("plain", plain).join(there, [key, "plain"], "left_anti").join(there.withColumnRenamed("plain", "item_id"), [key, "item_id"], "left_anti")
+    lacking = lacking.groupBy(key, "plain").agg(F.max_by("points", "item_id").cast("int").alias("points"))
+    lines = docs.join(lacking.select(key).distinct(), key, "left_semi").select(key, F.posexplode(F.split(text, "\n")).alias("pos", "line"))
+    rows = W.partitionBy(key).orderBy("pos")
+    opened = lines.withColumn("plain", _part(F.col("line"), INLINE_HEADER, 1)).withColumn("_n", F.count("plain").over(rows.rowsBetween(W.unboundedPreceding, 0))).filter("_n > 0")
+    told = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"]), "\n")
+    found = opened.groupBy(key, "_n").agg(F.max("plain").alias("plain"), (F.min("pos") + 1).alias("line_start"), (F.max("pos") + 1).alias("line_end"), F.regexp_replace(told, r"^\s+|\s+$", "").alias("body"))
+    wanted = found.join(lacking, [key, "plain"]).withColumn("_row", F.monotonically_increasing_id())
+    free = covered(wanted, blocks, key, "line_start", "line_start", "line_end").filter("NOT covered")
+    more = free.select(key, F.col("plain").alias("item_id"), "points", F.lit(False).alias("implicit"), "line_start", "line_end", "body", F.lit(True).alias("inline"))
+    return blocks.withColumn("inline", F.lit(False)).unionByName(more)

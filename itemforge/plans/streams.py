@@ -19,3 +19,10 @@ def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = overlays.events(spark, f"{sf_dir}/events.parquet").select("user_id", "event_type").dropDuplicates(["user_id", "event_type"])
     return overlays.run_available(stream, "append")
+
+
+@query("SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events GROUP BY user_id")
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last event of each user, merged batch by batch into a table of versions."""
+    events = overlays.events(spark, f"{sf_dir}/events.parquet").select("user_id", "event_id", "event_type", "value", F.col("event_id").alias("at"))
+    return overlays.run_upserts(events, ["user_id"], "at")

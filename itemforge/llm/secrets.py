@@ -9,6 +9,7 @@ mandatory trigrams scans every text.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -111,22 +112,42 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "do
     return met.filter("n = needed").groupBy(key).agg(F.bit_or("bit").alias("rules"))
 
 
+def _once(x: Column, use: Callable[[Column], Column]) -> Column:
+    """use(x), with x worked out once: a lambda's argument is a value, where a column would be copied to each place that names it."""
+    return F.get(F.transform(F.array(x), use), F.lit(0))
+
+
+def _blocks(x: Column) -> Column:
+    """An array in runs of about the square root of its length."""
+    width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(x))).cast("int"))
+    return F.when(F.size(x) > 0, F.transform(F.sequence(F.lit(1), F.size(x), width), lambda i: F.slice(x, i, width))).otherwise(F.array(F.slice(x, 1, 0)))
+
+
+def _scan(values: Column, op: Callable[[Column, Column], Column]) -> Column:
+    """For each of an array of ints what op makes of all before it, from 0 on. Appending copies an array, so it is done in runs: the work grows with n * sqrt(n)."""
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    step = lambda acc, v: F.struct(op(acc["at"], v).cast("int").alias("at"), F.array_append(acc["out"], acc["at"]).alias("out"))
+    runs = F.transform(_blocks(values), lambda run: F.aggregate(run, empty, step))
+    ahead = lambda done: F.aggregate(F.transform(done, lambda r: r["at"]), empty, step, lambda acc: acc["out"])
+    return _once(runs, lambda done: F.flatten(F.zip_with(done, ahead(done), lambda r, before: F.transform(r["out"], lambda v: op(before, v).cast("int")))))
+
+
 def _spans(text: Column, rule: Rule, order: int) -> Column:
     """array<struct<start, order, end>> of a rule's matches in code points. Text between matches and matches alternate, so lengths give places."""
     regex, group = F.lit(rule.regex), F.lit(rule.group)
-    gaps = F.transform(F.split(text, rule.regex, -1), lambda x: F.length(x))
-    whole = F.transform(F.regexp_extract_all(text, regex, F.lit(0)), lambda x: F.length(x))
-    value = F.transform(F.regexp_extract_all(text, regex, group), lambda x: F.length(x)) if rule.group else whole
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,order:int,end:int>>").alias("out"))
+    lengths = lambda x: F.transform(x, lambda v: F.length(v))
+    whole = lengths(F.regexp_extract_all(text, regex, F.lit(0)))
+    value = lengths(F.regexp_extract_all(text, regex, group)) if rule.group else F.array().cast("array<int>")
+    met = F.struct(lengths(F.split(text, rule.regex, -1)).alias("gaps"), whole.alias("whole"), value.alias("value"))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        end = start + x["whole"]
-        row = F.struct(start.alias("start"), F.lit(order).alias("order"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(x["value"] >= rule.at_least, F.array_append(acc["out"], row)).otherwise(acc["out"]).alias("out"))
+    def placed(m: Column) -> Column:
+        pairs = F.zip_with(F.slice(m["gaps"], F.lit(1), F.size(m["whole"])), m["whole"], lambda g, w: g + w)
+        each = F.arrays_zip(_scan(pairs, lambda a, b: a + b).alias("before"), F.slice(m["gaps"], F.lit(1), F.size(m["whole"])).alias("gap"), m["whole"].alias("whole"), (m["value"] if rule.group else m["whole"]).alias("value"))
+        long = F.filter(each, lambda x: x["value"] >= rule.at_least)
+        return F.transform(long, lambda x: F.struct((x["before"] + x["gap"]).alias("start"), F.lit(order).alias("order"), (x["before"] + x["gap"] + x["whole"]).alias("end")))
 
-    zipped = F.arrays_zip(F.slice(gaps, 1, F.size(whole)).alias("gap"), whole.alias("whole"), value.alias("value"))
-    return F.when(F.size(whole) > 0, F.aggregate(zipped, empty, step, lambda acc: acc["out"])).otherwise(empty["out"])
+    none = F.array().cast("array<struct<start:int,order:int,end:int>>")
+    return F.when(text.rlike(rule.regex), _once(met, placed)).otherwise(none)
 
 
 def _found(docs: DataFrame, rules: tuple[Rule, ...], text: str, key: str) -> DataFrame:
@@ -153,19 +174,32 @@ def scanned(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text"
     return _found(docs, rules, text, key).select(*(F.col("_row")[c].alias(c) for c in docs.columns if c != "secrets"), "secrets")
 
 
+def _without(text: Column, spans: Column, kinds: Column) -> Column:
+    """A text with each run of overlapping spans replaced by the name of its first. The text is cut in two steps, into stretches of many runs and these into pieces, so nothing is counted from its start for each span."""
+    ends = lambda s: F.transform(s, lambda x: x["end"])
+
+    def merged(s: Column) -> Column:
+        known = F.zip_with(s, _scan(ends(s), F.greatest), lambda x, before: F.struct(x["start"].alias("start"), x["order"].alias("order"), before.alias("before")))
+        first = F.filter(known, lambda x: x["start"] >= x["before"])
+        # A run ends where the farthest of its spans does: what the next run's first span saw before it.
+        until = lambda f: F.concat(F.transform(F.slice(f, F.lit(2), F.greatest(F.size(f) - 1, F.lit(0))), lambda x: x["before"]), F.array(F.array_max(ends(s))))
+        return _once(first, lambda f: F.zip_with(f, until(f), lambda x, end: F.struct(x["before"].alias("before"), x["start"].alias("start"), x["order"].alias("order"), end.alias("end"))))
+
+    def stretch(run: Column) -> Column:
+        begin = F.get(run, F.lit(0))["before"]
+        piece = F.substring(text, begin + 1, F.get(run, F.size(run) - 1)["start"] - begin)
+        told = lambda t: F.array_join(F.transform(run, lambda x: F.concat(F.substring(t, x["before"] - begin + 1, x["start"] - x["before"]), F.get(kinds, x["order"]))), "")
+        return _once(piece, told)
+
+    rest = F.substring(text, F.array_max(ends(spans)) + 1, F.length(text))
+    return F.when(F.size(spans) == 0, text).otherwise(F.concat(F.array_join(F.transform(_once(merged(spans), _blocks), stretch), ""), rest))
+
+
 def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", key: str = "doc_id") -> DataFrame:
     """docs with each secret in text replaced by its rule's name in brackets; overlapping spans give way to the first. A null text stays null."""
     kinds = F.array(*(F.lit(f"[{r.kind}]") for r in rules))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        piece = F.concat(F.substring("_text", acc["at"] + 1, x["start"] - acc["at"]), F.get(kinds, x["order"]))
-        later = F.struct(x["end"].alias("at"), F.array_append(acc["out"], piece).alias("out"))
-        return F.when(x["start"] >= acc["at"], later).otherwise(F.struct(F.greatest(acc["at"], x["end"]).alias("at"), acc["out"].alias("out")))
-
-    held = _found(docs, rules, text, key).select("_row", "secrets", F.col("_row")[text].alias("_text"))
-    rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring("_text", acc["at"] + 1, F.length("_text")))
-    clean = F.when(F.size("secrets") == 0, F.col("_text")).otherwise(F.aggregate("secrets", start, step, rest))
+    held = _found(docs, rules, text, key).select("_row", F.inline(F.array(F.struct("secrets", F.col("_row")[text].alias("_text")))))
+    clean = _without(F.col("_text"), F.col("secrets"), kinds)
     return held.select(*(clean.alias(c) if c == text else F.col("_row")[c].alias(c) for c in docs.columns))
 
 

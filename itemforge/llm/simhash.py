@@ -226,12 +226,19 @@ def _verified(pairs: DataFrame, nodes: DataFrame, sets: Callable[[DataFrame], Da
 
 def _index(nodes: DataFrame, keep: list[str], variants: bool = False) -> DataFrame:
     """keep and k: a row for each segment of each indexed fingerprint as it is and, for variants, with each one of its bits changed."""
+    bit = lambda at: F.call_function("shiftleft", F.lit(1).cast("long"), at)
     keys = []
     for t in range(TABLES):
         for s, (first, width) in enumerate(SEGMENTS):
             part = F.shiftrightunsigned(FIELDS[t], first).bitwiseAND(F.lit((1 << width) - 1)).bitwiseOR(F.lit(t << 40 | s << 32))
-            keys += [part, *(part.bitwiseXOR(F.lit(1 << at).cast("long")) for at in range(width))] if variants else [part]
-    return nodes.select(*keep, F.explode(F.array(*keys)).alias("k"))
+            changed = lambda at, part=part: part.bitwiseXOR(bit(at))
+            keys.append(F.concat(F.array(part), _each_bit(changed, width)) if variants else F.array(part))
+    return nodes.select(*keep, F.explode(F.flatten(F.array(*keys))).alias("k"))
+
+
+def _each_bit(of: Callable[[Column], Column], width: int) -> Column:
+    """An array of what `of` makes of each bit's number; a function over numbers, since hundreds of expressions would be hundreds of times the generated code."""
+    return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda at: of(at))
 
 
 def _joined_sketches(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:

@@ -403,12 +403,19 @@ def implicit_openings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT c_custkey, CASE WHEN c_custkey % 4 < 2 THEN 'I-1=;I-2=I-2.1,I-2.2' END AS tree, CASE WHEN c_custkey % 4 < 2 THEN CAST(round_even(c_custkey % 7 + 0.5, 0) AS INT) END AS points, CASE WHEN c_custkey % 4 < 2 THEN 2 END AS n FROM customer""")
+    WITH x AS (SELECT c_custkey, c_custkey % 6 AS form, c_nationkey AS p, 'II-' || (c_custkey % 4 + 1) AS two FROM customer)
+    SELECT c_custkey, CASE form WHEN 2 THEN 'I-1=;' || two || '=;III-1=' WHEN 4 THEN 'I-1=;I-2=;I-3=' WHEN 0 THEN 'I-1=;I-2=I-2.1,I-2.2' WHEN 1 THEN 'I-1=;I-2=I-2.1,I-2.2' END AS tree,
+        CAST(CASE WHEN form < 2 THEN round_even(p + 0.5, 0) + 7 WHEN form = 2 THEN 13 + 44 + p WHEN form = 4 THEN p + 2 * round_even((p + 20) / 2.0, 0) END AS BIGINT) AS points,
+        CASE WHEN form < 2 THEN 2 WHEN form IN (2, 4) THEN 3 END AS n, CASE form WHEN 1 THEN 'baixa' WHEN 0 THEN 'alta' WHEN 2 THEN 'alta' WHEN 4 THEN 'alta' END AS sure FROM x""")
 def manifest_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Manifests of older forms in the canonical one."""
-    k = F.col("c_custkey")
-    flat = F.concat(F.lit('{"I-1": '), (k % 7).cast("string"), F.lit('.5, "I-2.2": 3, "I-2.1": 4}'))
-    value = F.when(k % 4 == 0, flat).when(k % 4 == 1, F.concat(F.lit('{"cotacoes": '), flat, F.lit(', "confianca": "alta"}'))).when(k % 4 == 2, '{"I-1": {"tipo": "", "pontos": null}}').otherwise("[1]")
-    found = table(spark, sf_dir, "customer").select("c_custkey", files.migrated(value).alias("m"))
-    tree = F.array_join(F.transform(F.map_entries("m.estrutura"), lambda e: F.concat(e["key"], F.lit("="), F.array_join(e["value"], ","))), ";")
-    return found.select("c_custkey", tree.alias("tree"), F.col("m.cotacoes")["I-1"].alias("points"), F.col("m.n").alias("n"))
+    """Manifests of older forms in the canonical one: maps of points and of objects, pools, and what is no manifest."""
+    k, p = F.col("c_custkey"), F.col("c_nationkey").cast("string")
+    flat = F.concat(F.lit('{"I-1": '), p, F.lit('.5, "I-2.2": 3, "I-2.1": 4}'))
+    objects = F.concat(F.lit('{"I-1": {"tipo": ""}, "III-1": {"pontos": null}, "II-'), (k % 4 + 1).cast("string"), F.lit('": {"pontos": '), p, F.lit("}}"))
+    pool = F.concat(F.lit('{"I-1": '), p, F.lit(', "pool_opcional": {"pontos": '), (F.col("c_nationkey") + 20).cast("string"), F.lit(', "itens": ["I-1", "I-2", "I-3"], "escolher": 2}}'))
+    value = F.when(k % 6 == 0, flat).when(k % 6 == 1, F.concat(F.lit('{"cotacoes": '), flat, F.lit(', "confianca": "baixa"}'))).when(k % 6 == 2, objects).when(k % 6 == 3, "[1]").when(k % 6 == 4, pool).otherwise("x")
+    found = files.migrated_manifests(table(spark, sf_dir, "customer").select("c_custkey", value.alias("json")), "json")
+    tree = F.array_join(F.transform(F.array_sort(F.map_entries("m.estrutura")), lambda e: F.concat(e["key"], F.lit("="), F.array_join(e["value"], ","))), ";")
+    points = F.aggregate(F.map_values("m.cotacoes"), F.lit(0).cast("long"), lambda a, v: a + v)
+    return found.select("c_custkey", tree.alias("tree"), points.alias("points"), F.col("m.n").alias("n"), F.col("m.confianca").alias("sure"))
+

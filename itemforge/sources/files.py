@@ -107,21 +107,50 @@ def manifests(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     )
 
 
-def migrated(value: Column) -> Column:
-    """struct<cotacoes, estrutura, n> of a manifest's JSON in its canonical form or as a flat map of points; null for stubs and other forms.
+#: Points of an item whose manifest names it without any: those of an essay's group, and all others.
+STUB_ESSAY, STUB = 44, 13
+
+#: How a manifest's JSON becomes one: each step a column of SQL over those before it, as only SQL has casts from VARIANT to maps.
+_MIGRATION = (
+    ("_v", "try_parse_json(_json)"),
+    ("_object", "CASE WHEN schema_of_variant(_v) LIKE 'OBJECT%' THEN CAST(_v AS MAP<STRING, VARIANT>) END"),
+    ("_canonical", "coalesce(map_contains_key(_object, 'cotacoes'), false)"),
+    ("_said", "CASE WHEN _canonical THEN CAST(try_variant_get(_v, '$.cotacoes', 'map<string,variant>') AS MAP<STRING, VARIANT>) ELSE map_filter(_object, (k, x) -> k <> 'pool_opcional') END"),
+    ("_points", """map_filter(transform_values(_said, (k, x) -> CASE
+        WHEN schema_of_variant(x) RLIKE '^(BIGINT|DECIMAL|DOUBLE|FLOAT)' THEN CAST(bround(CAST(x AS DOUBLE), 0) AS INT)
+        WHEN _canonical THEN CAST(bround(try_variant_get(x, '$', 'double'), 0) AS INT)
+        WHEN schema_of_variant(x) LIKE 'OBJECT%' THEN coalesce(CAST(bround(CASE WHEN schema_of_variant(variant_get(x, '$.pontos')) RLIKE '^(BIGINT|DECIMAL|DOUBLE|FLOAT)' THEN try_variant_get(x, '$.pontos', 'double') END, 0) AS INT),
+            CASE WHEN k LIKE 'III%' THEN {essay} ELSE {stub} END) END), (k, p) -> p IS NOT NULL)"""),
+    ("_pool", "try_variant_get(_v, '$.pool_opcional', 'variant')"),
+    ("pools", """transform(CASE WHEN schema_of_variant(_pool) LIKE 'ARRAY%' THEN filter(CAST(_pool AS ARRAY<VARIANT>), e -> schema_of_variant(e) LIKE 'OBJECT%') WHEN schema_of_variant(_pool) LIKE 'OBJECT%' THEN array(_pool) ELSE array() END,
+        e -> named_struct('pontos', try_variant_get(e, '$.pontos', 'double'), 'itens', coalesce(try_variant_get(e, '$.itens', 'array<string>'), array()), 'escolher', coalesce(try_variant_get(e, '$.escolher', 'int'), 0)))"""),
+    ("_members", """map_from_entries(array_distinct(flatten(transform(pools, e -> transform(filter(e.itens, i -> NOT map_contains_key(_points, i)),
+        i -> struct(i, CASE WHEN e.pontos <> 0 AND e.escolher <> 0 THEN CAST(bround(e.pontos / e.escolher, 0) AS INT) ELSE {stub} END))))))"""),
+    ("cotacoes", "map_concat(_points, _members)"),
+    ("_ids", "array_sort(map_keys(cotacoes))"),
+    ("_subs", "filter(_ids, i -> contains(element_at(split(i, '-'), -1), '.'))"),
+    ("_tops", "array_sort(array_distinct(concat(filter(_ids, i -> NOT contains(element_at(split(i, '-'), -1), '.')), transform(_subs, i -> regexp_replace(i, '[.][^.]*$', '')))))"),
+    ("_built", "map_from_arrays(_tops, transform(_tops, t -> filter(_subs, i -> regexp_replace(i, '[.][^.]*$', '') = t)))"),
+    ("_given", "CASE WHEN _canonical THEN try_variant_get(_v, '$.estrutura', 'map<string,array<string>>') END"),
+    ("estrutura", "CASE WHEN size(_given) > 0 THEN map_concat(_given, map_filter(map_from_arrays(_tops, transform(_tops, t -> CAST(array() AS ARRAY<STRING>))), (k, x) -> NOT map_contains_key(_given, k) AND map_contains_key(cotacoes, k))) ELSE _built END"),
+    ("n", "size(map_filter(estrutura, (k, x) -> NOT contains(element_at(split(k, '-'), -1), '.')))"),
+    ("confianca", "CASE WHEN _canonical THEN coalesce(try_variant_get(_v, '$.confianca', 'string'), 'alta') ELSE 'alta' END"),
+)
+
+
+def migrated_manifests(rows: DataFrame, json: str) -> DataFrame:
+    """rows with m, a struct<cotacoes, estrutura, n, pools, confianca> of a manifest's JSON, whatever its form; null for what is no object or names no item.
 
-    Points are rounded half to even; an item with a point in its number hangs under the rest of its id, whether that has points or not.
+    Forms are told apart by their types, as VARIANT has them: `cotacoes` with or without a tree; a flat map of points; a map of objects with points; one of objects without, which get STUB points,
+    in group III STUB_ESSAY; and pools as one object or a list, whose members that have no points share the pool's. Points are rounded half to even. An item with a point in its number hangs under
+    the rest of its id, whether that has points or not; a tree that is given stays, with the main items it lacks. Other values are left out.
     """
-    flat = F.from_json(value, "map<string,double>")
-    flat = F.when((F.size(flat) > 0) & F.forall(F.map_values(flat), lambda v: v.isNotNull()), flat)
-    points = F.transform_values(F.coalesce(F.from_json(value, "cotacoes map<string,double>")["cotacoes"], flat), lambda _, v: F.bround(v, 0).cast("int"))
-    ids = F.array_sort(F.map_keys(points))
-    dotted = lambda x: F.contains(F.element_at(F.split(x, "-"), -1), F.lit("."))
-    parent = lambda x: F.regexp_replace(x, r"\.[^.]*$", "")
-    subs = F.filter(ids, dotted)
-    tops = F.array_sort(F.array_distinct(F.concat(F.filter(ids, lambda x: ~dotted(x)), F.transform(subs, parent))))
-    tree = F.map_from_arrays(tops, F.transform(tops, lambda t: F.filter(subs, lambda x: parent(x) == t)))
-    return F.when(points.isNotNull(), F.struct(points.alias("cotacoes"), tree.alias("estrutura"), F.size(tops).alias("n")))
+    # A row travels as one struct, so no name of its columns can meet one of a step.
+    now = rows.select(F.struct(*(F.col(f"`{c}`") for c in rows.columns)).alias("_row"), F.col(f"`{json}`").alias("_json"))
+    for name, sql in _MIGRATION:
+        now = now.withColumn(name, F.expr(sql.format(essay=STUB_ESSAY, stub=STUB)))
+    m = F.when(F.size("cotacoes") > 0, F.struct("cotacoes", "estrutura", "n", "pools", "confianca"))
+    return now.select(*(F.col("_row")[c].alias(c) for c in rows.columns), m.alias("m"))
 
 
 def canonical_manifests(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

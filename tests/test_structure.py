@@ -8,7 +8,7 @@ import pytest
 from itemforge.operators import joins as J
 from itemforge.operators import manifest as M
 from itemforge.operators import plane
-from itemforge.sources import pages
+from itemforge.sources import files, pages
 from itemforge.sources.versions import Versions, merged
 
 
@@ -138,3 +138,17 @@ def test_pages_are_read_in_ranges_with_a_short_last_one(spark, tmp_path):
     with pytest.raises(Exception, match="were promised"):
         pages.paged(spark, str(tmp_path), "id_item string", rows=2346).collect()
     assert pages.paged(spark, str(tmp_path), "id_item string", rows=0).count() == 0
+
+
+def test_older_manifests_by_the_types_of_their_values(spark):
+    texts = [
+        '{"I-1": 5.5, "I-2.2": 3, "I-2.1": 4}', '{"cotacoes": {"I-1": 6.5, "I-2": "7"}, "confianca": "baixa"}', '{"I-1": {"pontos": 12}, "III-1": {"tipo": ""}, "II-1": {}, "x": "no"}',
+        '{"I-1": 10, "pool_opcional": {"pontos": 30, "itens": ["I-2", "I-3"], "escolher": 2}}', '{"cotacoes": {"I-1": 1}, "estrutura": {"I-1": ["I-1.1"]}, "pool_opcional": [{"itens": ["I-4"], "escolher": 1}, 3]}', "[1]", "no", "{}", None,
+    ]
+    rows = files.migrated_manifests(spark.createDataFrame(list(enumerate(texts)), "_v int, pools string"), "pools").orderBy("_v").collect()
+    got = [r["m"] and (r["m"]["cotacoes"], r["m"]["estrutura"], r["m"]["n"], r["m"]["confianca"]) for r in rows]
+    assert got == [
+        ({"I-1": 6, "I-2.1": 4, "I-2.2": 3}, {"I-1": [], "I-2": ["I-2.1", "I-2.2"]}, 2, "alta"), ({"I-1": 6, "I-2": 7}, {"I-1": [], "I-2": []}, 2, "baixa"), ({"I-1": 12, "II-1": 13, "III-1": 44}, {"I-1": [], "II-1": [], "III-1": []}, 3, "alta"),
+        ({"I-1": 10, "I-2": 15, "I-3": 15}, {"I-1": [], "I-2": [], "I-3": []}, 3, "alta"), ({"I-1": 1, "I-4": 13}, {"I-1": ["I-1.1"], "I-4": []}, 2, "alta"), None, None, None, None,
+    ]
+    assert rows[3]["m"]["pools"][0]["itens"] == ["I-2", "I-3"] and rows[5]["pools"] == "[1]"

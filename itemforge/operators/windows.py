@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from itemforge.sources.shared import stored
+
 
 def previous(value: str, by: Sequence[str], order: Sequence[str]) -> Column:
     """The last non-null value before the row."""
@@ -69,3 +71,13 @@ def adjacent_distinct(rows: DataFrame, value: str, by: Sequence[str], order: Seq
 
 def retained(rows: DataFrame, by: Sequence[str], order: Sequence[Column], keep: int) -> DataFrame:
     return rows.withColumn("_rn", F.row_number().over(W.partitionBy(*by).orderBy(*order))).filter(F.col("_rn") <= keep).drop("_rn")
+
+
+def ranked(rows: DataFrame, order: Sequence[str], named: str = "n") -> DataFrame:
+    """rows with their number in the order of columns, from 1: ranges of the order are counted first, then each is numbered by itself, so no task holds all. Rows that are equal in all of them are numbered in any order."""
+    cut = stored(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
+    sizes = cut.groupBy("_part").agg(F.count("*").alias("_n"))
+    # A row a range.
+    before = F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    own = F.row_number().over(W.partitionBy("_part").orderBy(*order))
+    return cut.withColumn("_own", own).join(sizes.select("_part", before.alias("_before")), "_part").withColumn(named, (F.col("_own") + F.col("_before")).cast("long")).drop("_part", "_own", "_before")

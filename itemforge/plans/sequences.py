@@ -125,7 +125,7 @@ def natural_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids in natural order: runs of digits compare as numbers. Distinct ids alone are numbered."""
     key = F.array_join(F.transform(F.regexp_extract_all("brand", F.lit(r"\d+|\D+"), F.lit(0)), lambda x: F.when(x.rlike(r"^\d"), F.lpad(x, 8, "0")).otherwise(x)), "")
     ids = table(spark, sf_dir, "part").select(F.col("p_brand").alias("brand")).distinct()
-    return ids.select("brand", F.row_number().over(Window.orderBy(key)).cast("long").alias("n"))
+    return W.ranked(ids.withColumn("_key", key), ["_key", "brand"]).select("brand", "n")
 
 
 @query("SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 2 ELSE 9 END AS place FROM orders")

@@ -8,6 +8,7 @@ import pytest
 from itemforge.operators import joins as J
 from itemforge.operators import manifest as M
 from itemforge.operators import plane
+from itemforge.operators import windows as W
 from itemforge.sources import files, pages
 from itemforge.sources.versions import Versions, merged
 
@@ -152,3 +153,12 @@ def test_older_manifests_by_the_types_of_their_values(spark):
         ({"I-1": 10, "I-2": 15, "I-3": 15}, {"I-1": [], "I-2": [], "I-3": []}, 3, "alta"), ({"I-1": 1, "I-4": 13}, {"I-1": ["I-1.1"], "I-4": []}, 2, "alta"), None, None, None, None,
     ]
     assert rows[3]["m"]["pools"][0]["itens"] == ["I-2", "I-3"] and rows[5]["pools"] == "[1]"
+
+
+def test_ranks_over_ranges_equal_a_sort(spark):
+    rng = random.Random(2)
+    rows = [(k, rng.choice([None, "", "a", "b"]), rng.randrange(900)) for k in range(3000)]
+    df = spark.createDataFrame(rows, "k int, g string, at int").repartition(5)
+    got = W.ranked(df, ["g", "at", "k"]).orderBy("n").collect()
+    assert [r["k"] for r in got] == [r[0] for r in sorted(rows, key=lambda r: (r[1] is not None, r[1] or "", r[2], r[0]))]
+    assert [r["n"] for r in got] == list(range(1, 3001))

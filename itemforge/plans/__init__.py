@@ -1,4 +1,4 @@
 """Registered queries with their reference SQL."""
 
-from itemforge.plans import bank, merging, records, relational, repairs, sequences, streams, structure, texts
+from itemforge.plans import bank, merging, records, relational, repairs, sequences, streams, structure, texts, workspace
 from itemforge.plans.registry import ORACLES, QUERIES

@@ -256,19 +256,20 @@ def ranked_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "o_custkey").limit(50)
 
 
-@query("""
-    SELECT p_partkey, CASE WHEN regexp_matches(id, '^(?:([IVX]+)-)?(?:[A-C]-)?\\d+') THEN CASE regexp_extract(id, '^([IVX]+)-', 1) WHEN 'I' THEN 0 WHEN 'II' THEN 1 WHEN 'III' THEN 2 WHEN 'IV' THEN 3 WHEN 'V' THEN 4 ELSE 9 END ELSE -1 END AS g,
-        coalesce(TRY_CAST(regexp_extract(id, '^(?:[IVX]+-)?(?:[A-C]-)?(\\d+)', 1) AS INT), 0) AS main, coalesce(TRY_CAST(regexp_extract(id, '\\.(\\d+)$', 1) AS INT), 0) AS sub, round_even(round(p_retailprice, 2), 1) AS y
-    FROM (SELECT p_partkey, p_retailprice, CASE p_partkey % 5 WHEN 0 THEN 'II-A-' || p_size WHEN 1 THEN p_size || '.' || (p_partkey % 7) WHEN 2 THEN 'IV-' || p_size ELSE CASE WHEN p_partkey % 2 = 0 THEN 'x' ELSE 'I-' || p_size END END AS id FROM part)""")
+@query(r"""
+    SELECT p_partkey, CASE WHEN ok THEN CASE g WHEN 'I' THEN 0 WHEN 'II' THEN 1 WHEN 'III' THEN 2 ELSE -1 END ELSE -1 END AS g, coalesce(TRY_CAST(regexp_extract(id, '^(?:([IVX]+)-)?(\d+)(?:\.(\d+))?$', 2) AS INT), 0) AS main,
+        coalesce(TRY_CAST(regexp_extract(id, '^(?:([IVX]+)-)?(\d+)(?:\.(\d+))?$', 3) AS INT), 0) AS sub, round_even(round(p_retailprice, 2), 1) AS y
+    FROM (SELECT *, regexp_matches(id, '^(?:([IVX]+)-)?(\d+)(?:\.(\d+))?$') AS ok, regexp_extract(id, '^([IVX]+)-', 1) AS g
+        FROM (SELECT p_partkey, p_retailprice, CASE p_partkey % 5 WHEN 0 THEN 'II-A-' || p_size WHEN 1 THEN p_size || '.' || (p_partkey % 7) WHEN 2 THEN 'IV-' || p_size ELSE CASE WHEN p_partkey % 2 = 0 THEN 'x' ELSE 'III-' || p_size || '.' || p_partkey END END AS id FROM part))""")
 def manifest_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sort keys of a manifest's ids, (-1, 0, 0) for those that can't be read, and a coordinate rounded for reading order."""
-    from itemforge.operators.merge import roman_order
+    from itemforge.operators.workspace import manifest_key
 
     k, size = F.col("p_partkey"), F.col("p_size").cast("string")
-    item = F.when(k % 5 == 0, F.concat(F.lit("II-A-"), size)).when(k % 5 == 1, F.concat(size, F.lit("."), (k % 7).cast("string"))).when(k % 5 == 2, F.concat(F.lit("IV-"), size)).when(k % 2 == 0, "x").otherwise(F.concat(F.lit("I-"), size))
-    number = lambda pattern: F.coalesce(F.regexp_extract(item, pattern, 1).try_cast("int"), F.lit(0))
-    group = F.when(item.rlike(r"^(?:[IVX]+-)?(?:[A-C]-)?\d+"), roman_order(F.regexp_extract(item, "^([IVX]+)-", 1))).otherwise(-1)
-    return table(spark, sf_dir, "part").select("p_partkey", group.alias("g"), number(r"^(?:[IVX]+-)?(?:[A-C]-)?(\d+)").alias("main"), number(r"\.(\d+)$").alias("sub"), F.bround(F.round("p_retailprice", 2), 1).alias("y"))
+    third = F.concat(F.lit("III-"), size, F.lit("."), k.cast("string"))
+    item = F.when(k % 5 == 0, F.concat(F.lit("II-A-"), size)).when(k % 5 == 1, F.concat(size, F.lit("."), (k % 7).cast("string"))).when(k % 5 == 2, F.concat(F.lit("IV-"), size)).when(k % 2 == 0, "x").otherwise(third)
+    key = manifest_key(item)
+    return table(spark, sf_dir, "part").select("p_partkey", key["grupo"].alias("g"), key["main"].alias("main"), key["sub"].alias("sub"), F.bround(F.round("p_retailprice", 2), 1).alias("y"))
 
 
 @query("""

@@ -102,8 +102,12 @@ def exam_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT doc_id, CAST(floor(1000000 * (a + b) / (n + 100)) AS BIGINT) AS rank FROM f WHERE a > 0 AND b > 0 ORDER BY rank DESC, doc_id LIMIT 50""")
 def fts_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fifty best documents for a query of several words; stop words count on neither side, frequencies are measured against length."""
-    docs = table(spark, sf_dir, "documents").filter("text IS NOT NULL").select("doc_id", T.fts_tokens(F.col("text")).alias("toks"))
     wanted = T.fts_terms("the and of in")
+    folded = table(spark, sf_dir, "documents").filter("text IS NOT NULL").select("doc_id", T.unaccent(F.lower("text")).alias("folded"))
+    for word in wanted:  # what doesn't hold a word anywhere has no such token, and needn't be split
+        folded = folded.filter(F.contains("folded", F.lit(word)))
+    # A generator stands between, so a text is split once, not for each count.
+    docs = folded.select("doc_id", F.explode(F.array(T.fts_tokens(F.col("folded")))).alias("toks"))
     count = lambda w: F.size(F.filter("toks", lambda t: t == w))
     found = docs.select("doc_id", F.size("toks").alias("n"), F.array(*map(count, wanted)).alias("tf")).filter(F.forall("tf", lambda x: x > 0))
     rank = F.floor(1000000 * F.aggregate("tf", F.lit(0), lambda a, x: a + x) / (F.col("n") + 100))

@@ -79,8 +79,10 @@ def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Footnotes behind each document, and the length of what stands before them."""
     bare = F.regexp_replace("text", "[¹²³⁴⁵⁶⁷⁸⁹0-9]", "")
     noted = F.concat(bare, F.lit("\n\n"), (F.col("doc_id") % 9 + 1).cast("string"), F.lit(" calamistrar – tornar crespo\n² outra — coisa"))
-    found = F.array_join(F.transform(I.notes(noted), lambda n: F.concat(n["numero"], F.lit("="), n["texto"])), ",")
-    return _docs(spark, sf_dir).select("doc_id", found.alias("notes"), F.length(I.without_notes(noted)).cast("long").alias("n_body"))
+    found = F.array_join(F.transform(I.notes(F.col("t")), lambda n: F.concat(n["numero"], F.lit("="), n["texto"])), ",")
+    # A generator stands between, so the text is made once.
+    made = _docs(spark, sf_dir).select("doc_id", F.explode(F.array(noted)).alias("t"))
+    return made.select("doc_id", found.alias("notes"), F.length(I.without_notes(F.col("t"))).cast("long").alias("n_body"))
 
 
 @query(r"SELECT doc_id, sha256(regexp_replace(replace(replace(text, '###', ''), '$$$', ''), '\n{3,}', chr(10) || chr(10), 'g')) AS digest FROM documents")

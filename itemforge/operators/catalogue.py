@@ -210,3 +210,25 @@ def mirrored(tipo: Column, solucao: Column, passos: Column, cotacao: Column) ->
     same = F.trim(F.coalesce(passos[0]["descricao"], F.lit(""))) == bare
     out = F.when(F.size(passos) <= 0, F.array(fresh)).when(same, passos).otherwise(F.concat(F.array(first), F.slice(passos, F.lit(2), F.greatest(F.size(passos) - 1, F.lit(0)))))
     return F.when((tipo == "complete_table") & (bare != ""), out).otherwise(passos)
+
+
+def led_by_solution(tipo: Column, solucao: Column, passos: Column, cotacao: Column) -> Column:
+    """C8 for open answers and essays: steps whose first description begins with the solution; others unchanged. Applied twice it changes nothing more.
+
+    A solution that stands elsewhere in that description is taken out there, once, and put before it with a blank line between. Without steps there is one of all points, whole, 0 where unknown.
+    """
+    bare = lambda x: F.regexp_replace(F.coalesce(x, F.lit("")), r"(?U)^\s+|\s+$", "")
+    told, first = bare(solucao), passos[0]
+    own = bare(first["descricao"])
+    at = F.position(told, own)
+    rest = F.when(at > 0, bare(F.concat(F.substring(own, F.lit(1), at - 1), F.substring(own, at + F.length(told), F.length(own))))).otherwise(own)
+    led = first.withField("descricao", F.when(rest == "", told).otherwise(F.concat(told, F.lit("\n\n"), rest)))
+    fresh = F.struct(F.coalesce(cotacao, F.lit(0)).cast("long").alias("pontos"), told.alias("descricao"), F.lit("").alias("nivel"))
+    out = F.when(F.coalesce(F.size(passos), F.lit(0)) <= 0, F.array(fresh)).when(F.startswith(own, told), passos).otherwise(F.concat(F.array(led), F.slice(passos, F.lit(2), F.greatest(F.size(passos) - 1, F.lit(0)))))
+    return F.when(tipo.isin("open_response", "essay") & (told != ""), out).otherwise(passos)
+
+
+def drafted(status: Column, tipo: Column, solucao: Column, passos: Column) -> Column:
+    """The status of a criterion after led_by_solution: one that waited for review and had no steps is a draft once its solution is its step."""
+    told = tipo.isin("open_response", "essay") & (F.regexp_replace(F.coalesce(solucao, F.lit("")), r"(?U)\s+", "") != "") & (F.coalesce(F.size(passos), F.lit(0)) <= 0)
+    return F.when(told & (status == "pending_review"), "draft").otherwise(status)

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from itemforge.functions import items as I
+
 #: What the name of a file with criteria holds, in capitals.
 CRITERIA_NAMES = (r"(?:^|[-_])CC(?:[-_]|\.|$)", r"(?:^|[-_])CC[FP]\d", r"CRITERIOS?", r"CC[-_]?VD")
 #: Where the criteria of a file begin, what its general pages say, and where an exam begins.
@@ -16,6 +18,8 @@ EXAM_START = "GRUPO I"
 BLANK_BELOW, LEVELS, IMAGES = 100, 4, "imagens_extraidas/"
 #: How a note about a place that was read doubtfully begins.
 SUSPECT = "OCR-SUSPECT:"
+#: Fixed value: how many characters before and after a block its images are also looked for.
+NEARBY = 400
 
 
 def file_kind(name: Column) -> Column:
@@ -120,3 +124,27 @@ def criterion_texts(criteria: DataFrame, order: str, ws: str = "ws") -> DataFram
     doubts = F.coalesce(F.filter("observacoes", lambda o: F.startswith(o, F.lit(SUSPECT))), F.array().cast("array<string>"))
     one = criteria.groupBy(ws, "id_item").agg(F.min_by(F.struct(F.coalesce("texto_original", F.lit("")).alias("texto_original"), doubts.alias("suspects")), order).alias("_c"))
     return one.select(ws, "id_item", "_c.texto_original", "_c.suspects")
+
+
+def nearby_images(texts: DataFrame, spans: DataFrame, ws: str = "ws") -> DataFrame:
+    """(ws, id_item, imagens): a block's images and those NEARBY characters before and after it, each once, its own first, then those before.
+
+    texts: ws, text, a row for each workspace; spans: ws, id_item, first, last (offsets in characters, last exclusive). An image cut by a margin doesn't count. A null text has none, nor has a block without offsets.
+    The text is cut into pieces of NEARBY characters once, so that a margin reads two pieces and the work is linear however many blocks there are.
+    """
+    asked = spans.groupBy(ws).agg(F.collect_list(F.struct("id_item", "first", "last")).alias("_spans"))
+    pieces = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(f"(?s).{{1,{NEARBY}}}"), F.lit(0))
+    cut = texts.join(asked, ws).select(ws, "_spans", F.explode(F.array(pieces)).alias("_pieces"))
+
+    def between(a: Column, b: Column) -> Column:
+        """Characters a to b (exclusive) of the pieces."""
+        k = F.floor(a / NEARBY).cast("int")
+        some = F.array_join(F.slice("_pieces", k + 1, F.greatest(F.lit(0), F.ceil(b / NEARBY).cast("int") - k)), "")
+        return F.substring(some, (a - k * NEARBY + 1).cast("int"), F.greatest(F.lit(0), b - a).cast("int"))
+
+    def found(s: Column) -> Column:
+        before = between(F.greatest(F.lit(0), s["first"] - NEARBY), s["first"])
+        own, after = between(s["first"], s["last"]), between(s["last"], s["last"] + NEARBY)
+        return F.struct(s["id_item"].alias("id_item"), F.coalesce(F.array_distinct(F.concat(I.images(own), I.images(before), I.images(after))), F.array().cast("array<string>")).alias("imagens"))
+
+    return cut.select(ws, F.inline(F.transform("_spans", found)))

@@ -56,18 +56,31 @@ def merged(items: DataFrame, criteria: DataFrame, order: str) -> DataFrame:
     """items with merge (stem, missing, type, foreign or merged) and what their criterion says; only merged rows take it.
 
     criteria (id_item, tipo, resposta_correta, respostas_corretas, solucao): of those under one key the last by `order` counts. A choice keeps its own
-    answer where the criterion has none; answers of tables and multiple selections replace an answer of one letter.
+    answer where the criterion has none; answers of tables and multiple selections replace an answer of one letter. Where criteria have them, criterios_parciais
+    (an array of structs with descricao) and resolucoes_alternativas replace an item's, descriptions as the solution in the first version; descriptions that
+    hold another item's heading or mention make a criterion foreign as its solution does.
     """
-    fields = ["tipo", "resposta_correta", "respostas_corretas", "solucao"]
+    more = [c for c in ("criterios_parciais", "resolucoes_alternativas") if c in criteria.columns]
+    fields = ["tipo", "resposta_correta", "respostas_corretas", "solucao", *more]
     last = criteria.groupBy(F.lower(F.trim("id_item")).alias("_key")).agg(F.max_by(F.struct(*fields), order).alias("_c"))
     joined = J.fallback_join(items, last, merge_keys(F.col("id_item"), F.col("numero_questao")), "_key", ["_c"])
     c, kind, stem = F.col("_c"), F.col("tipo_item"), F.col("tipo_item") == STEM
-    state = F.when(stem, "stem").when(c.isNull(), "missing").when(c["tipo"] != kind, "type").when(foreign_heading(F.col("id_item"), F.coalesce(c["solucao"], F.lit(""))), "foreign").otherwise("merged")
+    foreign = foreign_heading(F.col("id_item"), F.coalesce(c["solucao"], F.lit("")))
+    taken_over = {}
+    if "criterios_parciais" in more:
+        steps = c["criterios_parciais"]
+        foreign = foreign | F.coalesce(F.exists(steps, lambda s: foreign_heading(F.col("id_item"), F.coalesce(s["descricao"], F.lit("")))), F.lit(False))
+        taken_over["criterios_parciais"] = F.transform(steps, lambda s: s.withField("descricao", first_version(F.coalesce(s["descricao"], F.lit("")), kind)))
+    if "resolucoes_alternativas" in more:
+        taken_over["resolucoes_alternativas"] = c["resolucoes_alternativas"]
+    state = F.when(stem, "stem").when(c.isNull(), "missing").when(c["tipo"] != kind, "type").when(foreign, "foreign").otherwise("merged")
     taken = state == "merged"
     many = kind.isin("multi_select", "complete_table")
     single = F.when(taken & (kind == "multiple_choice"), F.coalesce(F.nullif(c["resposta_correta"], F.lit("")), F.col("resposta_correta"))).when(taken & many, F.lit(None).cast("string")).otherwise(F.col("resposta_correta"))
     several = F.when(taken & many & (F.size(c["respostas_corretas"]) > 0), c["respostas_corretas"]).otherwise(F.col("respostas_corretas"))
-    return joined.withColumns({"merge": state, "resposta_correta": single, "respostas_corretas": several, "solucao": F.when(taken, first_version(c["solucao"], kind))}).drop("_c")
+    own = lambda name: F.col(name) if name in items.columns else F.lit(None)
+    rest = {name: F.when(taken, value).otherwise(own(name)) for name, value in taken_over.items()}
+    return joined.withColumns({"merge": state, "resposta_correta": single, "respostas_corretas": several, "solucao": F.when(taken, first_version(c["solucao"], kind)), **rest}).drop("_c")
 
 
 def without_criteria(items: DataFrame, criteria: DataFrame) -> DataFrame:
@@ -95,18 +108,19 @@ def context_keys(parents: Column, parent: Column, item_id: Column, main: Column,
     )
 
 
-def joint_contexts(items: DataFrame, stems: DataFrame) -> DataFrame:
-    """(combo, texto, imagens, pagina, n): a context for each combination of two parents or more, its stems' texts under their ids, images joined, the first known page.
+def joint_contexts(items: DataFrame, stems: DataFrame, by: Sequence[str] = (), lists: Sequence[str] = ("imagens",), first: Sequence[str] = ()) -> DataFrame:
+    """(by, combo, texto, lists, first, pagina, n): a context for each combination of two parents or more, its stems' texts under their ids, lists joined, the first stem's value of `first`, the first known page.
 
-    A combination that names a stem there isn't gives none. Only combinations, each once, meet the stems.
+    A combination that names a stem there isn't gives none. Only combinations, each once, meet the stems, those of the same `by`.
     """
-    combos = items.filter(F.size("parents") >= 2).select(F.array_sort("parents").alias("p")).distinct()
-    each = combos.select(F.array_join("p", "+").alias("combo"), F.size("p").alias("wanted"), F.posexplode("p").alias("pos", "id_item"))
-    met = each.join(stems, "id_item").groupBy("combo", "wanted").agg(F.array_sort(F.collect_list(F.struct("pos", "id_item", "texto", "imagens", "pagina"))).alias("s"))
+    combos = items.filter(F.size("parents") >= 2).select(*by, F.array_sort("parents").alias("p")).distinct()
+    each = combos.select(*by, F.array_join("p", "+").alias("combo"), F.size("p").alias("wanted"), F.posexplode("p").alias("pos", "id_item"))
+    met = each.join(stems, [*by, "id_item"]).groupBy(*by, "combo", "wanted").agg(F.array_sort(F.collect_list(F.struct("pos", "id_item", "texto", *lists, *first, "pagina"))).alias("s"))
     told = F.array_join(F.transform("s", lambda s: F.concat(F.lit("**["), s["id_item"], F.lit("]**\n\n"), F.coalesce(s["texto"], F.lit("")))), "\n\n---\n\n")
     page = F.get(F.filter("s", lambda s: F.coalesce(s["pagina"], F.lit(0)) != 0), F.lit(0))["pagina"]
+    joined = [F.flatten(F.filter(F.col(f"s.{c}"), lambda x: x.isNotNull())).alias(c) for c in lists]
     whole = met.filter(F.size("s") == F.col("wanted"))
-    return whole.select("combo", told.alias("texto"), F.flatten(F.transform("s", lambda s: F.coalesce(s["imagens"], F.array().cast("array<string>")))).alias("imagens"), page.alias("pagina"), F.size("s").alias("n"))
+    return whole.select(*by, "combo", told.alias("texto"), *joined, *(F.col("s")[0][c].alias(c) for c in first), page.alias("pagina"), F.size("s").alias("n"))
 
 
 def roman_order(group: Column) -> Column:

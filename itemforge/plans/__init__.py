@@ -1,4 +1,4 @@
 """Registered queries with their reference SQL."""
 
-from itemforge.plans import bank, layouts, merging, records, relational, repairs, sequences, streams, structure, texts, varied, workspace
+from itemforge.plans import bank, layouts, merging, records, relational, repairs, sequences, streams, structure, texts, uploads, varied, workspace
 from itemforge.plans.registry import ORACLES, QUERIES

@@ -11,6 +11,7 @@ from itemforge.functions import text as T
 from itemforge.operators import aggregates as A
 from itemforge.operators import joins as J
 from itemforge.operators import merge as M
+from itemforge.sources.shared import stored
 
 #: The columns of a question in the bank, apart from its three references; their types, and whether a null becomes empty.
 TEXTS = "id_item grupo enunciado solucao materia tema subtema descricao_breve fonte".split()
@@ -107,19 +108,24 @@ def question_rows(items: DataFrame, topics: DataFrame, contexts: DataFrame, orde
     return placed.join(topic, (F.col("materia") == F.col("_m")) & (leaf == F.col("_s")), "left").select(*QUESTION)
 
 
+def sound_rows(items: DataFrame, sources: DataFrame, by: str) -> tuple[DataFrame, DataFrame]:
+    """The sources (id, fonte) with those of items that the bank lacks, and the items of documents without a fault, with every field of a question and fonte_id, stored once."""
+    sound = question_fields(items).join(M.upload_faults(items, by).select(by).distinct(), by, "left_anti")
+    known = J.get_or_create(sources, sound, ["fonte"], "id")
+    return known, stored(sound.join(known.select(F.col("id").alias("fonte_id"), "fonte"), "fonte"), "upload")
+
+
 def uploaded(items: DataFrame, bank: dict[str, DataFrame], by: str, order: str, now: Column | None = None) -> dict[str, DataFrame]:
     """The bank's tables (fontes, topicos, contextos, questoes) after an upload of items (by, ids_contexto_pai, id_contexto_pai, numero_principal and fields of a question).
 
     Documents (`by`) with a fault that upload_faults finds stay out as a whole, their questions in the bank as they were. Questions are put in or overwritten under source, group and id;
     questoes has the columns of a question and created_at, updated_at: both are `now` for new rows, the second alone for others. A second upload changes nothing but updated_at.
-    order: a column whose values differ, by which the last of several rows under one key counts. items are read several times: pass a stored table.
+    order: a column whose values differ, by which the last of several rows under one key counts. Sound items, topics and contexts are tables in the shared folder, each computed once.
     """
     at = F.current_timestamp() if now is None else now
-    sound = question_fields(items).join(M.upload_faults(items, by).select(by).distinct(), by, "left_anti")
-    sources = J.get_or_create(bank["fontes"], sound, ["fonte"], "id")
-    rows = sound.join(sources.select(F.col("id").alias("fonte_id"), "fonte"), "fonte")
-    topics = with_topics(bank["topicos"], rows.filter(F.col("tipo_item") != M.STEM), order)
-    contexts = with_contexts(bank["contextos"], rows, order)
+    sources, rows = sound_rows(items, bank["fontes"], by)
+    topics = stored(with_topics(bank["topicos"], rows.filter(F.col("tipo_item") != M.STEM), order), "topicos")
+    contexts = stored(with_contexts(bank["contextos"], rows, order), "contextos")
     sent = question_rows(rows, topics, contexts, order).withColumn("updated_at", at)
     questions = J.upsert(bank["questoes"], sent, ["fonte_id", "grupo", "id_item"]).withColumn("created_at", F.coalesce("created_at", "updated_at"))
     return {"fontes": sources, "topicos": topics, "contextos": contexts, "questoes": questions}

@@ -52,9 +52,9 @@ def _bank(spark: SparkSession, items: DataFrame, part: DataFrame) -> dict[str, D
     return {"fontes": held.select(source.alias("id"), "fonte").distinct(), "topicos": topics, "contextos": contexts, "questoes": old}
 
 
-def _uploaded(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
     items = _items(spark, sf_dir)
-    return U.uploaded(items, _bank(spark, items, table(spark, sf_dir, "part")), "ws", "ordem", F.lit("2024-01-01").cast("timestamp"))
+    return items, _bank(spark, items, table(spark, sf_dir, "part"))
 
 
 _SLUG = r"trim(regexp_replace(strip_accents(lower(trim({0}))), '[^a-z0-9]+', '-', 'g'), '-')"
@@ -81,7 +81,7 @@ _UPLOAD = f"""{_DOCUMENTS}, s AS (SELECT *, string_split(pais, ';') AS ps FROM i
     UNION ALL SELECT fonte, grupo, id_item, NULL, NULL, NULL, NULL, NULL, 'velho', NULL, NULL, NULL, 2020, 2020 FROM o WHERE (fonte, grupo, id_item) NOT IN (SELECT (fonte, coalesce(grupo, ''), id_item) FROM q)""")
 def bank_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bank's questions after an upload of every sound document, with their topic and context; documents with a fault leave theirs as they were."""
-    bank = _uploaded(spark, sf_dir)
+    bank = U.uploaded(*_prepared(spark, sf_dir), "ws", "ordem", F.lit("2024-01-01").cast("timestamp"))
     sources = bank["fontes"].select(F.col("id").alias("fonte_id"), F.col("fonte").alias("_fonte"))
     topics, contexts = bank["topicos"].select(F.col("id").alias("topico_id"), F.col("slug").alias("topico")), bank["contextos"].select(F.col("id").alias("contexto_id"), F.col("id_item_original").alias("contexto"))
     rows = bank["questoes"].join(sources, "fonte_id").join(topics, "topico_id", "left").join(contexts, "contexto_id", "left")
@@ -93,7 +93,9 @@ def bank_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_UPLOAD} SELECT t.materia, t.slug, t.nome, t.nivel, t.pai, held FROM t")
 def bank_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bank's topics after an upload: a slug is one topic of a subject, whatever its level, and the bank's own stay."""
-    topics = _uploaded(spark, sf_dir)["topicos"]
+    items, bank = _prepared(spark, sf_dir)
+    rows = U.sound_rows(items, bank["fontes"], "ws")[1].filter(F.col("tipo_item") != M.STEM)
+    topics = U.with_topics(bank["topicos"], rows, "ordem")
     up = topics.select(F.col("id").alias("pai_id"), F.col("slug").alias("pai"))
     return topics.join(up, "pai_id", "left").select("materia", "slug", "nome", "nivel", "pai", F.startswith(F.col("id"), F.lit("tBrand")).alias("held"))
 
@@ -101,10 +103,11 @@ def bank_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_UPLOAD} SELECT fonte, chave, texto, img AS imagens, nota AS notas, coalesce(grupo, '') AS grupo, pagina FROM c")
 def bank_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bank's contexts after an upload: stems, and texts of several stems together, with their images and footnotes."""
-    bank = _uploaded(spark, sf_dir)
-    sources = bank["fontes"].select(F.col("id").alias("fonte_id"), "fonte")
+    items, bank = _prepared(spark, sf_dir)
+    known, rows = U.sound_rows(items, bank["fontes"], "ws")
+    sources = known.select(F.col("id").alias("fonte_id"), "fonte")
     told = lambda c, field: F.array_join(F.transform(c, lambda x: x[field]), ",")
-    return bank["contextos"].join(sources, "fonte_id").select("fonte", F.col("id_item_original").alias("chave"), "texto", told("imagens", "url").alias("imagens"), told("notas_rodape", "texto").alias("notas"), "grupo", F.col("pagina_origem").alias("pagina"))
+    return U.with_contexts(bank["contextos"], rows, "ordem").join(sources, "fonte_id").select("fonte", F.col("id_item_original").alias("chave"), "texto", told("imagens", "url").alias("imagens"), told("notas_rodape", "texto").alias("notas"), "grupo", F.col("pagina_origem").alias("pagina"))
 
 
 # Items and criteria whose steps vary: k is a key of part or customer.

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from itemforge.functions import items as I
+from itemforge.functions import repairs as P
 from itemforge.functions import text as T
+from itemforge.operators import scoring as S
 from itemforge.plans.registry import query, table
 
 
@@ -113,3 +115,77 @@ def ids_varied(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = _MARKED.replace("\\", "\\\\")
     rows = spark.sql(f"SELECT p_partkey, {_IDS} AS i, {marked} AS m FROM {{rows}}", rows=table(spark, sf_dir, "part"))
     return rows.select("p_partkey", T.item_number(F.col("i")).alias("number"), I.optional_marker(F.col("m")).alias("optional"))
+
+
+def _line_sql(text: str) -> str:
+    """Lines of each text with their place, trimmed, without blank ones."""
+    return f"l AS (SELECT doc_id, pos, trim(raw) AS line FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS raw, unnest(range(len(string_split(t, chr(10))))) AS pos FROM (SELECT doc_id, {text} AS t FROM documents)) WHERE trim(raw) <> '')"
+
+
+_SCORED = _texts(("GRUPO I", "GRUPO II", "Parte a", "1. 10 pontos", "# 3. 15  pontos", "2.1. 7 pontos", "grupo iii (50 pontos)", "2.2 1 ponto", "4. a 6. ...... 10 pontos", "7. a 8. 2 × 6 pontos", "x 5. 9 pontos", "", "PARTE B", "1. 8 pontos", "9. sem pontos", "Destes 3 itens, contribuem para a classificação final os 2 itens"), 12, " || chr(10) || ")
+_PLACED = rf"""{_line_sql(_SCORED)}, m AS (SELECT *, try_cast(nullif(regexp_extract(line, '^Destes \d+ itens.*os (\d+) itens', 1), '') AS INT) AS pool, upper(nullif(regexp_extract(line, '(?i)^grupo\s+([IV]+)', 1), '')) AS g, upper(nullif(regexp_extract(line, '(?i)^parte\s+([A-C])', 1), '')) AS p FROM l),
+    n AS (SELECT *, coalesce(last_value(g IGNORE NULLS) OVER w, '') AS grupo, count(g) OVER w AS groups FROM m WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+    q AS (SELECT *, coalesce(last_value(p IGNORE NULLS) OVER (PARTITION BY doc_id, groups ORDER BY pos), '') AS parte FROM n),
+    i AS (SELECT doc_id, pos, grupo, parte, regexp_extract(line, '^(?:# )?(\d+(?:\.\d+)?)\.?\s+\d+\s*ponto', 1) AS num, try_cast(regexp_extract(line, '^(?:# )?\d+(?:\.\d+)?\.?\s+(\d+)\s*ponto', 1) AS INT) AS points FROM q WHERE g IS NULL AND p IS NULL
+        UNION ALL SELECT doc_id, pos, grupo, parte, unnest(['4', '5', '6']), 3 FROM q WHERE starts_with(line, '4. a 6.') UNION ALL SELECT doc_id, pos, grupo, parte, unnest(['7', '8']), 6 FROM q WHERE starts_with(line, '7. a 8.')),
+    s AS (SELECT doc_id, concat_ws('-', nullif(grupo, ''), nullif(parte, ''), num) AS item_id, arg_max(points, pos) AS points, arg_max(grupo, pos) AS grupo FROM i WHERE num <> '' AND points IS NOT NULL GROUP BY ALL)"""
+
+
+@query(f"WITH {_PLACED} SELECT doc_id, item_id, points, CASE WHEN contains(item_id, '.') THEN regexp_replace(item_id, '\\.[0-9]+$', '') END AS parent, grupo FROM s")
+def scores_varied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of items from lines, ranges, groups and parts in changing order, the same item more than once."""
+    return S.scores(_made(spark, sf_dir, _SCORED), "t").drop("pos")
+
+
+@query(f"""
+    WITH {_PLACED}, a AS (SELECT doc_id, grupo, arg_max(pool, pos) AS escolher FROM q WHERE pool IS NOT NULL GROUP BY ALL), w AS (SELECT * FROM s WHERE NOT contains(item_id, '.'))
+    SELECT a.doc_id, a.grupo, escolher, string_agg(item_id, ',' ORDER BY item_id) AS itens FROM a JOIN w ON w.doc_id = a.doc_id AND (a.grupo = '' OR w.grupo = a.grupo) GROUP BY ALL""")
+def pools_varied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of which some count, for the group whose lines say so, or for all where none stands before."""
+    docs = _made(spark, sf_dir, _SCORED)
+    return S.pools(docs, S.scores(docs, "t"), "t").select("doc_id", "grupo", "escolher", F.array_join("itens", ",").alias("itens"))
+
+
+_BLOCKS = _texts(("## 2. 10 pontos", "3. 5 pontos", "7 pontos", "um passo", "5.1. 4 pontos", "9. . 8 pontos", "", "12 pontos ", "outro passo ", "6.  20 pontos", "a 4. 3 pontos"), 11, " || chr(10) || ")
+
+
+@query(rf"""
+    WITH l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, unnest(range(len(string_split(t, chr(10))))) AS pos FROM (SELECT doc_id, {_BLOCKS} AS t FROM documents)),
+        m AS (SELECT *, nullif(regexp_extract(line, '^(?:## )?(\d+(?:\.\d+)?)\.(?: \.)? +\d+ pontos', 1), '') AS id, try_cast(regexp_extract(line, '(\d+) pontos *$', 1) AS INT) AS points, regexp_matches(line, '^\d+ pontos *$') AS alone FROM l),
+        n AS (SELECT *, try_cast(string_split(id, '.')[1] AS INT) AS main FROM m),
+        b AS (SELECT *, last_value(main IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before, first_value(main IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS after FROM n),
+        g AS (SELECT *, CASE WHEN alone THEN CASE WHEN before IS NULL THEN CASE WHEN after > 1 THEN after - 1 END WHEN after >= before + 2 THEN before + 1 END END || '' AS guess FROM b),
+        u AS (SELECT g.*, CASE WHEN guess IS NOT NULL AND row_number() OVER (PARTITION BY doc_id, guess ORDER BY pos) = 1 AND NOT EXISTS (SELECT 1 FROM m o WHERE o.doc_id = g.doc_id AND o.id = g.guess) THEN guess END AS lone FROM g),
+        k AS (SELECT *, count(coalesce(id, lone)) OVER (PARTITION BY doc_id ORDER BY pos) AS block FROM u)
+    SELECT doc_id, max(coalesce(id, lone)) AS item_id, arg_min(points, pos) AS points, bool_or(lone IS NOT NULL) AS implicit, CAST(min(pos) + 1 AS INT) AS line_start, CAST(max(pos) + 1 AS INT) AS line_end,
+        regexp_replace(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (id IS NULL AND lone IS NULL), ''), '^\s+|\s+$', '', 'g') AS body FROM k WHERE block > 0 GROUP BY doc_id, block HAVING NOT implicit OR body <> ''""")
+def criteria_varied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Criteria cut at headings in changing order, with lines of points alone whose number the neighbours tell, or not."""
+    return S.criteria_blocks(_made(spark, sf_dir, _BLOCKS), "t")
+
+
+_TABLES = _texts(("| Item | Versão 1 | Pontuação |", "| 1. | (A) | 8 |", "| 2.1 | d | 10 pontos |", "| x | A | 1 |", "| 3. | E | 2 |", "texto", "", "| 4 | ( B ) | sem |", "|---|---|---|", "| ITEM | Versões | Cotação |"), 13, " || chr(10) || ", "coalesce(replace(text, chr(10), ' '), '')")
+
+
+@query(rf"""
+    WITH l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, unnest(range(len(string_split(t, chr(10))))) AS pos FROM (SELECT doc_id, {_TABLES} AS t FROM documents)),
+        m AS (SELECT *, starts_with(trim(line), '|') AND ends_with(trim(line), '|') AND length(trim(line)) > 1 AS piped FROM l), r AS (SELECT *, pos - row_number() OVER (PARTITION BY doc_id, piped ORDER BY pos) AS run FROM m),
+        h AS (SELECT *, row_number() OVER w AS nth, lower(first_value(line) OVER w) LIKE '| item%' AS headed, string_split(line, '|') AS c FROM r WINDOW w AS (PARTITION BY doc_id, piped, run ORDER BY pos)),
+        s AS (SELECT *, regexp_replace(trim(c[2]), '\.$', '') AS item, upper(trim(c[3], ' ()')) AS letter, regexp_extract(c[4], '\d+') AS worth FROM h),
+        x AS (SELECT doc_id, pos, CASE WHEN NOT piped THEN line WHEN nth = 1 THEN '' WHEN headed AND regexp_full_match(item, '\d+(\.\d+)?') AND letter IN ('A', 'B', 'C', 'D') AND worth <> '' THEN item || '. Chave: (' || letter || ') ' || worth || ' pontos' END AS shown FROM s)
+    SELECT doc_id, string_agg(shown, chr(10) ORDER BY pos) AS text FROM x WHERE shown IS NOT NULL GROUP BY doc_id""")
+def tables_varied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answer keys with and without a header, with rows that aren't answers, beside free lines."""
+    return S.answer_lines(_made(spark, sf_dir, _TABLES), "t")
+
+
+_SHORT = _texts(("I, III e IV", "só II", "", "V e VI", "I", "  ", "5 verso", "10 outro", "205 longe", "Leia o Poema", "15", "IV.", "7 ímpar", "III e III"), 7, " || chr(10) || ")
+
+
+@query(rf"""
+    WITH d AS (SELECT doc_id, list_filter(string_split({_SHORT}, chr(10)), lambda x: trim(x) <> '') AS ls FROM documents),
+        r AS (SELECT *, regexp_extract_all(array_to_string(ls[1:3], chr(10)), '\b(III|II|IV|I|V)\b', 1) AS f, len(list_filter(ls, lambda x: coalesce(try_cast(regexp_extract(x, '^(\d+)\s+\S', 1) AS INT), 1) % 5 = 0 AND try_cast(regexp_extract(x, '^(\d+)\s+\S', 1) AS INT) <= 200)) AS n FROM d)
+    SELECT doc_id, CASE WHEN len(list_distinct(f)) >= 2 THEN array_to_string(list_filter(f, lambda v, k: list_position(f, v) = k), ',') ELSE '' END AS romans, CASE WHEN n >= 2 THEN 'excerpt' WHEN len(list_filter(ls[1:3], lambda x: contains(lower(x), 'leia o poema'))) > 0 THEN 'poem' ELSE 'prose' END AS shown FROM r""")
+def contexts_varied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roman answers of the first lines, and how a context is shown, over lines in changing order."""
+    return _made(spark, sf_dir, _SHORT).select("doc_id", F.array_join(P.roman_answers(F.col("t")), ",").alias("romans"), P.line_kind(F.col("t")).alias("shown"))

@@ -189,3 +189,27 @@ _SHORT = _texts(("I, III e IV", "só II", "", "V e VI", "I", "  ", "5 verso", "1
 def contexts_varied(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Roman answers of the first lines, and how a context is shown, over lines in changing order."""
     return _made(spark, sf_dir, _SHORT).select("doc_id", F.array_join(P.roman_answers(F.col("t")), ",").alias("romans"), P.line_kind(F.col("t")).alias("shown"))
+
+
+_LEVELS = _texts(("Nível 4 (N4) 9 pontos", "nível N2 - 3 pontos", "Nivel 1 12 pontos cheios", "Nível N10 2 pontos", "texto do nível", "", "passo 3 pontos", "NÍVEL 3 4 pontos", "Nível n 5 sem", "nível 2 e nível 3: 7  ponto"), 9, " || chr(10) || ", "coalesce(replace(substr(text, 1, 400), chr(10), ' '), '')")
+_HEADING = r"[Nn][íi]vel\s*(?:[Nn]\s*)?\d\b[^\n]*?\d+\s*pont"
+
+
+@query(rf"""
+    WITH d AS (SELECT doc_id, {_LEVELS} AS t FROM documents), f AS (SELECT doc_id, unnest(regexp_extract_all(t, '{_HEADING}')) AS m, unnest((regexp_split_to_array(t, '{_HEADING}'))[2:]) AS a, unnest(range(len(regexp_extract_all(t, '{_HEADING}')))) AS k FROM d)
+    SELECT doc_id, CAST(k AS INT) AS k, 'N' || regexp_extract(m, '\d') AS nivel, CAST(regexp_extract(m, '(\d+)\s*pont$', 1) AS INT) AS pontos, substr(regexp_replace(string_split(a, chr(10) || chr(10))[1], '^\s+|\s+$', '', 'g'), 1, 300) AS descritor FROM f""")
+def levels_varied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Performance levels in changing order, near misses among them, and long descriptions cut."""
+    return _made(spark, sf_dir, _LEVELS).select("doc_id", F.posexplode(P.levels(F.col("t"))).alias("k", "v")).select("doc_id", "k", "v.*")
+
+
+_CHOICES = _texts(("(A) um", "(B)  dois  e meio", "(C)três (D) quatro", "(E) cinco", "texto (A", "(D) $x$", "(B) (A) vazio", "(a) minúscula", "fim"), 7, around="coalesce(substr(text, 1, 60), '')")
+
+
+@query(rf"""
+    WITH d AS (SELECT doc_id, replace(' ' || regexp_replace({_CHOICES}, '\s+', ' ', 'g'), '(B) (A)', '(B) [A]') AS t FROM documents), f AS (SELECT doc_id, regexp_extract_all(t, ' \(([A-D])\)', 1) AS letters, (regexp_split_to_array(t, ' \([A-D]\)'))[2:] AS texts FROM d)
+    SELECT doc_id, array_to_string(list_transform(letters, lambda v, k: v || '=' || trim(replace(texts[k], '[A]', '(A)'))), ';') AS alternativas FROM f""")
+def choices_varied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alternatives of texts in which letters repeat, miss or stand in another order, among other brackets."""
+    rows = _made(spark, sf_dir, _CHOICES).withColumn("t", F.regexp_replace("t", r"\s+", " "))
+    return rows.select("doc_id", F.array_join(F.transform(I.alternatives(F.col("t")), lambda a: F.concat(a["letra"], F.lit("="), a["texto"])), ";").alias("alternativas"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -116,11 +118,32 @@ def joint_contexts(items: DataFrame, stems: DataFrame, by: Sequence[str] = (), l
     combos = items.filter(F.size("parents") >= 2).select(*by, F.array_sort("parents").alias("p")).distinct()
     each = combos.select(*by, F.array_join("p", "+").alias("combo"), F.size("p").alias("wanted"), F.posexplode("p").alias("pos", "id_item"))
     met = each.join(stems, [*by, "id_item"]).groupBy(*by, "combo", "wanted").agg(F.array_sort(F.collect_list(F.struct("pos", "id_item", "texto", *lists, *first, "pagina"))).alias("s"))
+    return _told_together(met.filter(F.size("s") == F.col("wanted")), by, lists, first)
+
+
+def every_joint_context(items: DataFrame, stems: DataFrame, by: Sequence[str] = (), lists: Sequence[str] = ("imagens",), first: Sequence[str] = ()) -> DataFrame:
+    """As joint_contexts, for stems of which several have one id: a context for each way to choose one of each parent.
+
+    A parent is one join, whose rows are spread by group and id; the ways of a group are never gathered.
+    """
+    combos = items.filter(F.size("parents") >= 2).select(*by, F.array_sort("parents").alias("p")).distinct()
+    ways, most = combos, combos.agg(F.max(F.size("p"))).first()[0] or 2
+    stem = F.struct("id_item", "texto", *lists, *first, "pagina")
+    for k in range(most):
+        side = stems.select(*(F.col(c).alias(f"_{c}") for c in by), F.col("id_item").alias("_id"), stem.alias("_stem"))
+        same = reduce(and_, (F.col(c) == F.col(f"_{c}") for c in by), F.get("p", F.lit(k)) == F.col("_id"))
+        one = F.array("_stem")
+        met = ways.join(side, same, "left").filter((F.size("p") <= k) | F.col("_stem").isNotNull())
+        ways = met.select(*by, "p", (one if k == 0 else F.when(F.size("p") > k, F.concat("s", one)).otherwise(F.col("s"))).alias("s"))
+    return _told_together(ways.withColumn("combo", F.array_join("p", "+")), by, lists, first)
+
+
+def _told_together(rows: DataFrame, by: Sequence[str], lists: Sequence[str], first: Sequence[str]) -> DataFrame:
+    """Combinations (by, combo) with their stems s, in order, as contexts."""
     told = F.array_join(F.transform("s", lambda s: F.concat(F.lit("**["), s["id_item"], F.lit("]**\n\n"), F.coalesce(s["texto"], F.lit("")))), "\n\n---\n\n")
     page = F.get(F.filter("s", lambda s: F.coalesce(s["pagina"], F.lit(0)) != 0), F.lit(0))["pagina"]
     joined = [F.flatten(F.filter(F.col(f"s.{c}"), lambda x: x.isNotNull())).alias(c) for c in lists]
-    whole = met.filter(F.size("s") == F.col("wanted"))
-    return whole.select(*by, "combo", told.alias("texto"), *joined, *(F.col("s")[0][c].alias(c) for c in first), page.alias("pagina"), F.size("s").alias("n"))
+    return rows.select(*by, "combo", told.alias("texto"), *joined, *(F.col("s")[0][c].alias(c) for c in first), page.alias("pagina"), F.size("s").alias("n"))
 
 
 def roman_order(group: Column) -> Column:

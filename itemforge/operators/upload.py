@@ -72,14 +72,15 @@ def with_topics(topics: DataFrame, items: DataFrame, order: str) -> DataFrame:
     return topics.select(*TOPIC).unionByName(new.join(up, ["materia", "pai"], "left").select(*TOPIC))
 
 
-def contexts_named(items: DataFrame, order: str) -> DataFrame:
+def contexts_named(items: DataFrame, order: str | None) -> DataFrame:
     """(fonte_id, id_item_original, texto, imagens, grupo, pagina_origem, notas_rodape): a context for each stem, and for each combination of two stems or more that an item names.
 
-    Of several stems under one id the last by `order` counts. Combinations with a missing stem give none.
+    Of several stems under one id the last by `order` counts; without an order all do, and a combination has a context for each way to choose its stems. Combinations with a missing stem give none.
     """
-    stems = latest(items.filter(F.col("tipo_item") == M.STEM), ["fonte_id", "id_item"], order).select("fonte_id", "id_item", F.col("enunciado").alias("texto"), "imagens", "grupo", F.col("pagina_origem").alias("pagina"), footnotes(F.col("observacoes")).alias("notas_rodape"))
+    told = items.filter(F.col("tipo_item") == M.STEM)
+    stems = (latest(told, ["fonte_id", "id_item"], order) if order else told).select("fonte_id", "id_item", F.col("enunciado").alias("texto"), "imagens", "grupo", F.col("pagina_origem").alias("pagina"), footnotes(F.col("observacoes")).alias("notas_rodape"))
     asked = items.filter(F.col("tipo_item") != M.STEM).select("fonte_id", F.col("ids_contexto_pai").alias("parents"))
-    joint = M.joint_contexts(asked, stems, by=["fonte_id"], lists=["imagens", "notas_rodape"], first=["grupo"])
+    joint = (M.joint_contexts if order else M.every_joint_context)(asked, stems, by=["fonte_id"], lists=["imagens", "notas_rodape"], first=["grupo"])
     told = lambda rows, key: rows.select("fonte_id", F.col(key).alias("id_item_original"), "texto", "imagens", "grupo", F.col("pagina").alias("pagina_origem"), "notas_rodape")
     return told(stems, "id_item").unionByName(told(joint, "combo"))
 
@@ -91,6 +92,13 @@ def with_contexts(contexts: DataFrame, items: DataFrame, order: str) -> DataFram
     return done.withColumn("id", F.coalesce("id", J.stable_id("fonte_id", "id_item_original"))).select(*CONTEXT)
 
 
+def every_context(contexts: DataFrame, items: DataFrame) -> DataFrame:
+    """The bank's contexts that items don't name, and all that items do: documents of one source keep each their stem under an id that they share. The id of a new one is a digest of its row."""
+    keys, new = ["fonte_id", "id_item_original"], contexts_named(items, None)
+    kept = contexts.select(*CONTEXT).join(new.select(*keys).distinct(), keys, "left_anti")
+    return kept.select(*CONTEXT).unionByName(new.withColumn("id", J.stable_id(*(c for c in CONTEXT if c != "id"))).select(*CONTEXT))
+
+
 def question_rows(items: DataFrame, topics: DataFrame, contexts: DataFrame, order: str) -> DataFrame:
     """The questions among items as rows of the bank, with their topic (the subtheme's, else the theme's) and the first of their contexts that there is.
 
@@ -109,10 +117,14 @@ def question_rows(items: DataFrame, topics: DataFrame, contexts: DataFrame, orde
 
 
 def sound_rows(items: DataFrame, sources: DataFrame, by: str) -> tuple[DataFrame, DataFrame]:
-    """The sources (id, fonte) with those of items that the bank lacks, and the items of documents without a fault, with every field of a question and fonte_id, stored once."""
-    sound = question_fields(items).join(M.upload_faults(items, by).select(by).distinct(), by, "left_anti")
+    """The sources (id, fonte) with those of items that the bank lacks, and the items of documents without a fault, with every field of a question and fonte_id, stored once.
+
+    A source that the bank holds under several ids is uploaded under the smallest, so an item is one row. Items are dealt by document first: no task's share depends on how their files are cut.
+    """
+    dealt = items.repartition(by)
+    sound = question_fields(dealt).join(M.upload_faults(dealt, by).select(by).distinct(), by, "left_anti")
     known = J.get_or_create(sources, sound, ["fonte"], "id")
-    return known, stored(sound.join(known.select(F.col("id").alias("fonte_id"), "fonte"), "fonte"), "upload")
+    return known, stored(sound.join(known.groupBy("fonte").agg(F.min("id").alias("fonte_id")), "fonte"), "upload")
 
 
 def uploaded(items: DataFrame, bank: dict[str, DataFrame], by: str, order: str, now: Column | None = None) -> dict[str, DataFrame]:

@@ -1,11 +1,15 @@
 import datetime
 
+import duckdb
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from itemforge.operators import catalogue as C
 from itemforge.operators import layout as L
 from itemforge.operators import merge as M
 from itemforge.operators import upload as U
+from itemforge.plans import ORACLES, QUERIES
 
 LABEL = "Exame Nacional, Português, 1.ª Fase, 2024"
 ITEM = "ws string, ordem int, tipo_item string, id_item string, grupo string, fonte string, materia string, tema string, subtema string, enunciado string, ids_contexto_pai array<string>, id_contexto_pai string, numero_principal int, observacoes array<string>"
@@ -98,3 +102,25 @@ def test_values_of_documents_that_should_share_one(spark):
     assert {tuple(r) for r in U.source_values(rows, "ws").collect()} == {("a", "x", 2, "1,3"), ("a", "", 1, "2")}
     lists = spark.createDataFrame([(["a", "b"], ["b"]), (["a"], ["a", "c"]), (["a"], []), ([], [])], "h array<string>, q array<string>")
     assert [r[0] for r in lists.select(U.contains_all(F.col("h"), F.col("q"))).collect()] == [True, False, True, True]
+
+
+def repeated_parts(spark, sf_dir, tmp_path, times):
+    """The table of parts so often that several documents share a source (six hundred sources), under keys that go on."""
+    one = spark.read.parquet(f"{sf_dir}/part.parquet").limit(40).select("p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+    docs = [d + 600 * r for d in range(12) for r in range(times)]
+    numbered = one.withColumn("n", F.row_number().over(Window.orderBy("p_name", "p_type", "p_retailprice")) - 1)
+    numbered.withColumn("ws", F.explode(F.array(*map(F.lit, docs)))).withColumn("p_partkey", (F.col("ws") * 40 + F.col("n")).cast("long")).drop("ws", "n").write.parquet(f"{tmp_path}/part.parquet")
+    return str(tmp_path)
+
+
+def same_as_sql(spark, folder, name):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW part AS SELECT * FROM '{folder}/part.parquet/*.parquet'")
+    found = QUERIES[name](spark, folder)
+    wanted = con.sql(f"SELECT {', '.join(f'"{c}"' for c in found.columns)} FROM ({ORACLES[name]})").fetchall()
+    return sorted(map(repr, map(tuple, found.collect()))), sorted(map(repr, wanted))
+
+
+def test_contexts_of_several_documents_of_one_source_match_sql(spark, sf_dir, tmp_path):
+    found, wanted = same_as_sql(spark, repeated_parts(spark, sf_dir, tmp_path, 3), "bank_contexts")
+    assert len(found) > 12 * 3 * 5 and found == wanted

@@ -124,3 +124,11 @@ def same_as_sql(spark, folder, name):
 def test_contexts_of_several_documents_of_one_source_match_sql(spark, sf_dir, tmp_path):
     found, wanted = same_as_sql(spark, repeated_parts(spark, sf_dir, tmp_path, 3), "bank_contexts")
     assert len(found) > 12 * 3 * 5 and found == wanted
+
+
+def test_items_of_a_source_with_several_ids_are_one_row(spark):
+    rows = items(spark, ("context_stem", "I-1", "t", None, [], None), ("essay", "I-2", "Funções", "Derivadas", [], None))
+    held = spark.createDataFrame([("f2", LABEL), ("f1", LABEL), ("f3", LABEL)], "id string, fonte string")
+    known, sound = U.sound_rows(rows, held, "ws")
+    assert sorted(r["id"] for r in known.collect()) == ["f1", "f2", "f3"]
+    assert sorted((r["fonte_id"], r["id_item"]) for r in sound.collect()) == [("f1", "I-1"), ("f1", "I-2")]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from itemforge.functions import items as I
 from itemforge.functions import text as T
 from itemforge.operators import rules as R
+from itemforge.operators import vectors as V
 from itemforge.operators.segment import segments
 from itemforge.plans.registry import query, table
 
@@ -278,18 +279,6 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH q AS (SELECT vec_id AS asked, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id % 100 = 0), d AS (SELECT asked, v.vec_id, round(list_cosine_distance(CAST(v.embedding AS DOUBLE[]), e), 6) AS distance FROM q, embeddings v)
     SELECT asked, vec_id, distance FROM (SELECT *, row_number() OVER (PARTITION BY asked ORDER BY distance, vec_id) AS rn FROM d) WHERE rn <= 20""")
 def vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The twenty vectors nearest to each vector whose id is divisible by 100.
-
-    Queries meet all vectors in blocks of 500, each broadcast with that bound; a task keeps each query's best twenty before anything is shuffled.
-    """
+    """The twenty vectors nearest to each vector whose id is divisible by 100, exact, by products of blocks."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    asked = vectors.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("asked"), F.col("embedding").alias("q"))
-    blocks = -(-asked.count() // 500)
-    best = Window.partitionBy("asked").orderBy("distance", "vec_id")
-    found = None
-    for k in range(max(1, blocks)):
-        block = F.broadcast(asked.filter(F.pmod(F.floor(F.col("asked") / 100), F.lit(max(1, blocks))) == k))
-        near = vectors.join(block).select("asked", "vec_id", F.round(T.cosine_distance(F.col("embedding"), F.col("q")), 6).alias("distance"))
-        top = near.withColumn("rn", F.row_number().over(best)).filter("rn <= 20").drop("rn")
-        found = top if found is None else found.unionByName(top)
-    return found
+    return V.nearest(vectors, vectors.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("asked"), F.col("embedding").alias("q")), 20)

@@ -12,7 +12,8 @@ from itemforge.operators import normalise as N
 from itemforge.operators import rules as R
 from itemforge.operators import scoring as S
 from itemforge.operators import windows as W
-from itemforge.plans import QUERIES
+from itemforge.operators import vectors as V
+from itemforge.plans import ORACLES, QUERIES
 
 
 def values(spark, column, *texts):
@@ -155,3 +156,20 @@ def test_a_query_that_asks_every_hundredth_vector_matches_sql(spark, sf_dir):
     con = duckdb.connect()
     n = con.sql(f"SELECT count(*) FILTER (vec_id % 100 = 0) FROM '{sf_dir}/embeddings.parquet'").fetchall()[0][0]
     assert len(rows) == 20 * n
+
+
+def test_search_puts_vectors_that_are_missing_last_and_makes_no_pairs_of_rows(spark, tmp_path):
+    rows = [(k, None if k % 40 == 3 else [float(k % 7 - 3), 1.0 + k % 3, float(k % 5)]) for k in range(330)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = QUERIES["vector_search"](spark, str(tmp_path))
+    assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert sorted(map(tuple, found.collect())) == sorted(con.sql(ORACLES["vector_search"]).fetchall())
+
+
+def test_search_among_few_vectors_ranks_the_missing_by_id(spark):
+    rows = spark.createDataFrame([(0, [1.0, 0.0]), (1, None), (2, [0.0, 1.0]), (3, None)], "vec_id long, embedding array<float>")
+    found = V.nearest(rows, rows.selectExpr("vec_id AS asked", "embedding AS q").filter("asked < 2"), 3).collect()
+    assert sorted((r.asked, r.vec_id, r.distance) for r in found if r.asked == 0) == [(0, 0, 0.0), (0, 1, None), (0, 2, 1.0)]
+    assert sorted(r.vec_id for r in found if r.asked == 1) == [0, 1, 2]

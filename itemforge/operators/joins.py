@@ -82,9 +82,10 @@ def positional_join(left: DataFrame, right: DataFrame, by: str, left_order: str,
 
 
 def differences(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """(key, side): keys that only one side has."""
-    a, b = left.select(key).distinct(), right.select(key).distinct()
-    return a.join(b, key, "left_anti").withColumn("side", F.lit("left_only")).unionByName(b.join(a, key, "left_anti").withColumn("side", F.lit("right_only")))
+    """(key, side): keys that only one side has; a null key is one like others. Keys meet in one aggregation by hash, so nothing is sorted."""
+    both = left.select(key, F.lit(True).alias("_left")).unionByName(right.select(key, F.lit(False).alias("_left")))
+    sides = both.groupBy(key).agg(F.bool_or("_left").alias("_any"), F.bool_and("_left").alias("_all"))
+    return sides.filter(F.col("_any") == F.col("_all")).select(key, F.when(F.col("_all"), "left_only").otherwise("right_only").alias("side"))
 
 
 def upsert(base: DataFrame, patch: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:

@@ -45,3 +45,8 @@ def test_plans_stay_in_the_jvm_without_products(spark, sf_dir, name):
 
 def test_topk_needs_no_full_sort(spark, sf_dir):
     assert "TakeOrderedAndProject" in QUERIES["vector_topk"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_halves_are_compared_without_sorts(spark, sf_dir):
+    plan = QUERIES["renumber_gate"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Sort" not in plan

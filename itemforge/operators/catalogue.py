@@ -129,35 +129,31 @@ def with_document_checks(items: DataFrame, by: str = "ws") -> DataFrame:
     """items (by, id_item, tipo_item, ordem_item, numero_questao, numero_principal, subitem, span, enunciado) with what their document says of them.
 
     has_subitems, order_breaks, repeated_id, repeated_order, overlaps, main_gap and sub_gap (whether numbers are left out), missing_refs (sub-items that
-    an item names but that there aren't). One pass of windows by document; a gap shows in counts, so no range of numbers is laid out.
+    an item names but that there aren't). One pass of windows by document, in few sorts; a gap shows in counts, so no range of numbers is laid out.
     """
     c, stem = F.col, F.col("tipo_item") == STEM
     main, sub = F.coalesce("numero_principal", "numero_questao"), F.col("subitem").try_cast("int")
-    numbered = items.withColumns({"_main": main, "_sub": sub, "_ordem": F.coalesce(F.nullif(c("ordem_item"), F.lit(0)), "numero_questao")})
+    numbered = items.repartition(by).withColumns({"_main": main, "_sub": sub, "_ordem": F.coalesce(F.nullif(c("ordem_item"), F.lit(0)), "numero_questao")})
     doc, same = W.partitionBy(by), W.partitionBy(by, "_main")
+    up = same.orderBy(sub.asc_nulls_first())
     order = doc.orderBy("_ordem", "_main", F.coalesce("_sub", F.lit(0)))
     before = order.rowsBetween(W.unboundedPreceding, -1)
     tops = F.when(c("subitem").isNull() & ~stem, c("_main"))
-    checked = numbered.withColumns({
-        "has_subitems": F.count("subitem").over(same) > 0,
-        "order_breaks": F.coalesce(c("_ordem") != F.lag("_ordem").over(order) + 1, F.lit(False)),
-        "repeated_id": F.count("*").over(W.partitionBy(by, "id_item")) > 1,
-        "repeated_order": F.count("*").over(W.partitionBy(by, "_ordem")) > 1,
-        "overlaps": F.coalesce(c("span.line_start") < F.last("span.line_end", True).over(before), F.lit(False)),
-        "_first": F.dense_rank().over(W.partitionBy(by).orderBy(tops.asc_nulls_first())), "_none": F.max(tops.isNull().cast("int")).over(doc),
-        "_subs": F.dense_rank().over(same.orderBy(sub.asc_nulls_first())), "_nosub": F.max(sub.isNull().cast("int")).over(same),
-    })
-    # Different numbers are fewer than the way from the least to the largest.
-    counted = checked.withColumns({"_n": F.max(F.when(tops.isNotNull(), c("_first") - c("_none"))).over(doc), "_m": F.max(F.when(sub.isNotNull(), c("_subs") - c("_nosub"))).over(same)})
-    gap = counted.withColumns({
-        "main_gap": F.coalesce(tops.isNotNull() & (F.max(tops).over(doc) - F.min(tops).over(doc) + 1 > c("_n")), F.lit(False)),
-        "sub_gap": F.coalesce(F.max(sub).over(same) > c("_m"), F.lit(False)),
-    })
     named = F.regexp_extract_all(F.concat_ws(" ", "enunciado", "texto_original"), F.lit(r"\b(\d{1,3}\.\d{1,2})\."), F.lit(1))
     own = F.filter(F.array_distinct(named), lambda r: F.split(r, r"\.")[0].cast("int") == c("_main"))
-    there = F.collect_set("id_item").over(same)
-    missing = F.when(c("subitem").isNull() & ~stem, F.array_except(own, there)).otherwise(F.array().cast("array<string>"))
-    return gap.withColumn("missing_refs", missing).drop("_main", "_sub", "_ordem", "_first", "_none", "_subs", "_nosub", "_n", "_m")
+    # One sort by document, number and sub-item serves all windows up to gap: of equal numbers the first is marked, and marks are counted.
+    marked = numbered.withColumn("_own", F.when(tops.isNotNull(), own)).withColumns({
+        "_new_top": tops.isNotNull() & (F.count(tops).over(up.rowsBetween(W.unboundedPreceding, -1)) == 0), "_new_sub": sub.isNotNull() & ~F.lag(sub).over(up).eqNullSafe(sub),
+    })
+    counted = marked.withColumns({
+        "has_subitems": F.count("subitem").over(same) > 0, "sub_gap": F.coalesce(F.max(sub).over(same) > F.count_if(c("_new_sub")).over(same), F.lit(False)), "missing_refs": F.array_except("_own", F.collect_set("id_item").over(same)),
+    })
+    gap = counted.withColumn("main_gap", F.coalesce(tops.isNotNull() & (F.max(tops).over(doc) - F.min(tops).over(doc) + 1 > F.count_if(c("_new_top")).over(doc)), F.lit(False)))
+    checked = gap.withColumn("repeated_id", F.count("*").over(W.partitionBy(by, "id_item")) > 1).withColumns({
+        "order_breaks": F.coalesce(c("_ordem") != F.lag("_ordem").over(order) + 1, F.lit(False)), "overlaps": F.coalesce(c("span.line_start") < F.last("span.line_end", True).over(before), F.lit(False)),
+        "repeated_order": F.count("*").over(W.partitionBy(by, "_ordem")) > 1,
+    })
+    return checked.withColumn("missing_refs", F.coalesce("missing_refs", F.array().cast("array<string>"))).drop("_main", "_sub", "_ordem", "_own", "_new_top", "_new_sub")
 
 
 def document_rules() -> list[Rule]:

@@ -50,3 +50,8 @@ def test_topk_needs_no_full_sort(spark, sf_dir):
 def test_halves_are_compared_without_sorts(spark, sf_dir):
     plan = QUERIES["renumber_gate"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Sort" not in plan
+
+
+def test_checks_of_documents_share_a_shuffle_and_sorts(spark, sf_dir):
+    plan = QUERIES["document_checks"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") <= 3 and plan.count("Exchange") == 1

@@ -20,10 +20,10 @@ _ITEMS = """lineitem_items AS (
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").filter("l_linenumber <= 6").select("l_orderkey", "l_linenumber", "l_partkey")
     prefix = F.when(F.col("l_orderkey") % 4 == 0, "I-").otherwise("")
-    main = lines.select(F.col("l_orderkey").alias("ws"), F.concat(prefix, "l_linenumber").alias("id_item"), F.col("l_linenumber").alias("numero"), F.lit(None).cast("string").alias("subitem"), F.when(F.col("l_linenumber") % 3 == 0, "context_stem").otherwise("open_response").alias("tipo_item"))
-    each = lines.withColumn("s", F.explode(F.array(*map(F.lit, (1, 2, 3))))).filter("(l_linenumber + s) % 3 = 0 AND (l_partkey + s) % 5 > 0")
-    sub = each.select(F.col("l_orderkey").alias("ws"), F.concat(prefix, "l_linenumber", F.lit("."), "s").alias("id_item"), F.col("l_linenumber").alias("numero"), F.col("s").cast("string").alias("subitem"), F.lit("open_response").alias("tipo_item"))
-    return main.union(sub).distinct()
+    s = F.col("s")
+    each = lines.withColumn("s", F.explode(F.array(F.lit(0), *map(F.lit, (1, 2, 3))))).filter("s = 0 OR (l_linenumber + s) % 3 = 0 AND (l_partkey + s) % 5 > 0")
+    item = F.concat(prefix, "l_linenumber", F.when(s > 0, F.concat(F.lit("."), s)).otherwise(""))
+    return each.select(F.col("l_orderkey").alias("ws"), item.alias("id_item"), F.col("l_linenumber").alias("numero"), F.when(s > 0, s.cast("string")).alias("subitem"), F.when((s == 0) & (F.col("l_linenumber") % 3 == 0), "context_stem").otherwise("open_response").alias("tipo_item"))
 
 
 def _manifests(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,3 +55,8 @@ def test_halves_are_compared_without_sorts(spark, sf_dir):
 def test_checks_of_documents_share_a_shuffle_and_sorts(spark, sf_dir):
     plan = QUERIES["document_checks"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Sort [") <= 3 and plan.count("Exchange") == 1
+
+
+def test_items_meet_manifests_once(spark, sf_dir):
+    plan = QUERIES["manifest_cross_check"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 2 and plan.count("Join") == 1

@@ -60,3 +60,8 @@ def test_checks_of_documents_share_a_shuffle_and_sorts(spark, sf_dir):
 def test_items_meet_manifests_once(spark, sf_dir):
     plan = QUERIES["manifest_cross_check"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan parquet") == 2 and plan.count("Join") == 1
+
+
+@pytest.mark.parametrize("name", ["implicit_openings"])
+def test_rows_of_small_files_are_dealt_before_their_texts_are_read(spark, sf_dir, name):
+    assert "hashpartitioning(p_partkey" in QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()

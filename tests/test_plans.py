@@ -62,6 +62,6 @@ def test_items_meet_manifests_once(spark, sf_dir):
     assert plan.count("Scan parquet") == 2 and plan.count("Join") == 1
 
 
-@pytest.mark.parametrize("name", ["implicit_openings", "latex_repairs"])
+@pytest.mark.parametrize("name", ["implicit_openings", "latex_repairs", "micro_lint"])
 def test_rows_of_small_files_are_dealt_before_their_texts_are_read(spark, sf_dir, name):
     assert "hashpartitioning(p_partkey" in QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()

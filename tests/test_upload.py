@@ -132,3 +132,8 @@ def test_items_of_a_source_with_several_ids_are_one_row(spark):
     known, sound = U.sound_rows(rows, held, "ws")
     assert sorted(r["id"] for r in known.collect()) == ["f1", "f2", "f3"]
     assert sorted((r["fonte_id"], r["id_item"]) for r in sound.collect()) == [("f1", "I-1"), ("f1", "I-2")]
+
+
+def test_questions_of_a_source_with_several_ids_are_sent_once(spark, sf_dir, tmp_path):
+    sent = QUERIES["bank_questions"](spark, repeated_parts(spark, sf_dir, tmp_path, 3)).filter("updated = 2024")
+    assert sent.count() > 12 * 30 and sent.groupBy("fonte", "grupo", "id_item").count().filter("count > 1").isEmpty()

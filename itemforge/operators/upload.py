@@ -27,6 +27,8 @@ CONTEXT = ["id", "fonte_id", "id_item_original", "texto", "imagens", "grupo", "p
 #: How the note begins that holds an item's footnotes as JSON.
 FOOTNOTES = "notas_rodape:"
 NOTE = "array<struct<numero:string,texto:string>>"
+#: So many items, about, are sorted in one task.
+DEALT_ROWS = 50_000
 
 
 def footnotes(notes: Column) -> Column:
@@ -57,11 +59,13 @@ def latest(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
 def topics_named(items: DataFrame, order: str) -> DataFrame:
     """(materia, slug, nome, nivel, pai): the topics that items name, each once for a subject and slug, whatever its level.
 
-    The first item by `order` that names a slug gives its name, level and theme; an item's theme comes before its subtheme. Items without a theme, or with one without letters or digits, name none.
+    The first item by `order`, a number, that names a slug gives its name, level and theme; an item's theme comes before its subtheme. Items without a theme, or with one without letters or digits, name none.
+    Items that name the same words meet first, in an aggregation by hash, so slugs are made once for each and only what differs is sorted.
     """
+    named = items.groupBy("materia", "tema", "subtema").agg(F.min(order).alias("_at"))
     theme, sub, none = T.slug(F.col("tema")), T.slug(F.col("subtema")), F.lit(None).cast("string")
     topic = lambda slug, name, level, up: F.struct(slug.alias("slug"), F.col(name).alias("nome"), F.lit(level).alias("nivel"), up.alias("pai"))
-    each = items.filter(theme != "").select("materia", F.col(order).alias("_at"), F.explode(F.array_compact(F.array(topic(theme, "tema", 1, none), F.when(sub != "", topic(sub, "subtema", 2, theme))))).alias("t"))
+    each = named.filter(theme != "").select("materia", "_at", F.explode(F.array_compact(F.array(topic(theme, "tema", 1, none), F.when(sub != "", topic(sub, "subtema", 2, theme))))).alias("t"))
     return each.groupBy("materia", F.col("t.slug").alias("slug")).agg(F.min_by("t", F.struct("_at", "t.nivel", "t.nome")).alias("t")).select("materia", "slug", "t.nome", "t.nivel", "t.pai")
 
 
@@ -119,10 +123,11 @@ def question_rows(items: DataFrame, topics: DataFrame, contexts: DataFrame, orde
 def sound_rows(items: DataFrame, sources: DataFrame, by: str) -> tuple[DataFrame, DataFrame]:
     """The sources (id, fonte) with those of items that the bank lacks, and the items of documents without a fault, with every field of a question and fonte_id, stored once.
 
-    A source that the bank holds under several ids is uploaded under the smallest, so an item is one row. Items are dealt by document first: no task's share depends on how their files are cut.
+    A source that the bank holds under several ids is uploaded under the smallest, so an item is one row. Items are counted and dealt by document into parts of DEALT_ROWS first: no task's share
+    depends on how their files are cut, nor on how small their rows are when compressed. Documents with a fault are a table of their own.
     """
-    dealt = items.repartition(by)
-    sound = question_fields(dealt).join(M.upload_faults(dealt, by).select(by).distinct(), by, "left_anti")
+    dealt = items.repartition(items.count() // DEALT_ROWS + 1, by)
+    sound = question_fields(dealt).join(stored(M.upload_faults(dealt, by).select(by).distinct(), "faults"), by, "left_anti")
     known = J.get_or_create(sources, sound, ["fonte"], "id")
     return known, stored(sound.join(known.groupBy("fonte").agg(F.min("id").alias("fonte_id")), "fonte"), "upload")
 

@@ -56,6 +56,16 @@ def test_documents_with_faults_and_empty_tables_send_nothing(spark):
         assert [t.count() for t in done.values()] == [0, 0, 0, 0]
 
 
+def test_many_small_rows_are_dealt_to_tasks_by_their_number(spark):
+    """Rows that compress well are few bytes, by which adaptive plans would put them all in one task."""
+    one = items(spark, ("essay", "I-3", "Funções", "Derivadas", [], None)).drop("ws", "ordem")
+    many = spark.range(3 * U.DEALT_ROWS).select(F.floor(F.col("id") / 40).cast("string").alias("ws"), F.col("id").cast("int").alias("ordem")).crossJoin(F.broadcast(one))
+    known, sound = U.sound_rows(many, empty_bank(spark)["fontes"], "ws")
+    sizes = [r["n"] for r in sound.groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n")).collect()]
+    assert known.count() == 1 and sum(sizes) == 3 * U.DEALT_ROWS and max(sizes) < 2 * U.DEALT_ROWS
+    assert [(r["slug"], r["nome"], r["nivel"]) for r in U.topics_named(sound, "ordem").orderBy("slug").collect()] == [("derivadas", "Derivadas", 2), ("funcoes", "Funções", 1)]
+
+
 def test_footnotes_are_read_or_passed_over(spark):
     told = (["notas_rodape: [quebrado", 'notas_rodape: [{"numero":"2","texto":"b"}]'], ["notas_rodape: {}"], ["x"], [], None)
     rows = spark.createDataFrame([(n, t) for n, t in enumerate(told)], "k int, o array<string>")

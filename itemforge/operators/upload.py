@@ -124,11 +124,11 @@ def sound_rows(items: DataFrame, sources: DataFrame, by: str) -> tuple[DataFrame
     """The sources (id, fonte) with those of items that the bank lacks, and the items of documents without a fault, with every field of a question and fonte_id, stored once.
 
     A source that the bank holds under several ids is uploaded under the smallest, so an item is one row. Items are counted and dealt by document into parts of DEALT_ROWS first: no task's share
-    depends on how their files are cut, nor on how small their rows are when compressed. Documents with a fault are a table of their own.
+    depends on how their files are cut, nor on how small their rows are when compressed. Documents with a fault and sources are tables of their own, each computed once.
     """
     dealt = items.repartition(items.count() // DEALT_ROWS + 1, by)
     sound = question_fields(dealt).join(stored(M.upload_faults(dealt, by).select(by).distinct(), "faults"), by, "left_anti")
-    known = J.get_or_create(sources, sound, ["fonte"], "id")
+    known = stored(J.get_or_create(sources, sound, ["fonte"], "id"), "fontes")
     return known, stored(sound.join(known.groupBy("fonte").agg(F.min("id").alias("fonte_id")), "fonte"), "upload")
 
 
@@ -137,7 +137,7 @@ def uploaded(items: DataFrame, bank: dict[str, DataFrame], by: str, order: str,
 
     Documents (`by`) with a fault that upload_faults finds stay out as a whole, their questions in the bank as they were. Questions are put in or overwritten under source, group and id;
     questoes has the columns of a question and created_at, updated_at: both are `now` for new rows, the second alone for others. A second upload changes nothing but updated_at.
-    order: a column whose values differ, by which the last of several rows under one key counts. Sound items, topics and contexts are tables in the shared folder, each computed once.
+    order: a column whose values differ, by which the last of several rows under one key counts. Sources, sound items, topics and contexts are tables in the shared folder, each computed once.
     """
     at = F.current_timestamp() if now is None else now
     sources, rows = sound_rows(items, bank["fontes"], by)

@@ -66,6 +66,11 @@ def test_many_small_rows_are_dealt_to_tasks_by_their_number(spark):
     assert [(r["slug"], r["nome"], r["nivel"]) for r in U.topics_named(sound, "ordem").orderBy("slug").collect()] == [("derivadas", "Derivadas", 2), ("funcoes", "Funções", 1)]
 
 
+def test_sources_of_an_upload_are_read_not_worked_out_again(spark):
+    done = U.uploaded(items(spark, ("essay", "I-3", "Funções", "Derivadas", [], None)), empty_bank(spark), "ws", "ordem")
+    assert [r["fonte"] for r in done["fontes"].collect()] == [LABEL] and "Join" not in done["fontes"]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_footnotes_are_read_or_passed_over(spark):
     told = (["notas_rodape: [quebrado", 'notas_rodape: [{"numero":"2","texto":"b"}]'], ["notas_rodape: {}"], ["x"], [], None)
     rows = spark.createDataFrame([(n, t) for n, t in enumerate(told)], "k int, o array<string>")

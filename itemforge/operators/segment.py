@@ -7,6 +7,9 @@ item without any number is looked for by three kinds of signs, of which the stro
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,14 +28,21 @@ NO_CONTEXT = (
 )
 #: Lines that open an item by themselves; what opens one after the last alternative; verbs of a task.
 OPENING_LINE = r"^(?:O gr[aá]fico da Figura\s+\d+.*|Complete o texto seguinte,.*|Para certos valores reais.*|Na Figura\s+\d+, est[aá] representad[oa].*)$"
+#: One of these is in each such line.
+OPENING_WORDS = ("Figura", "Complete o texto seguinte,", "Para certos valores reais")
 AFTER_CHOICE = r"(?iu)(\s+[*•-]?\s*)((?:O|Uma|Um|Seja|Considere|Na Figura|A Figura|Admita que|Para certos valores|Para um certo número real)[^\n]{10,})"
 TASK = r"(?iu)\b(Escreva|Determine|Mostre|Resolva|Calcule|Averigue)\b"
 #: Stands where a text is cut.
 CUT = "\u0001"
 
 
+#: Line breaks of Unicode, before which a blank is one at the end as well.
+BREAKS = ("\u0085", "\u2028", "\u2029")
+
+
 def _bare(x: Column) -> Column:
-    return F.regexp_replace(x, r"^\s+|\s+$", "")
+    """A text without white space at both ends; only texts that end with a rare line break need the expression."""
+    return F.when(F.right(x, F.lit(1)).isin(*BREAKS), F.regexp_replace(x, r"^\s+|\s+$", "")).otherwise(F.trim(x, F.lit(" \t\n\x0b\f\r")))
 
 
 def _breaks(x: Column) -> Column:
@@ -40,17 +50,21 @@ def _breaks(x: Column) -> Column:
     return F.length(x) - F.length(F.replace(x, F.lit("\n"), F.lit("")))
 
 
+def _odd(x: Column) -> Column:
+    """Whether a text has anything that the rules on several lines could change: few have."""
+    return x.rlike(r"(?mu)^\s*\**\s*[A-C]\s*\**\s*$|^1\s+\S") | (F.contains(F.lower(x), F.lit("erva")) & x.rlike("(?iu)observa[çc]"))
+
+
 def lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, row, line, body, main, sub, grupo, parte, boundary): each line of the normalised text with its 1-based number, the labels of an item that it opens, and the group and part it stands in.
 
     Before, items that an escaped asterisk joins to the text before them get lines of their own, and lone letters of parts become headings, observations stand in brackets, and a stray
-    1 at a line's start goes. A new group closes the part before it. Null and empty texts have no lines.
+    1 at a line's start goes. A new group closes the part before it. Null and empty texts have no lines. Where docs have a column _odd, it tells which texts have what rules on several lines look for.
     """
     parted = F.regexp_replace(F.regexp_replace(F.col(text), r"\s+\\[*]\s+(\d{1,3}\.\d{1,2}\.)\s+", "\n\n$1 "), r"([^\n])\n(\\[*]\s+\d{1,3}\.)", "$1\n\n$2")
     parted = F.when(F.contains(text, F.lit("\\")), compact_arrays(parted)).otherwise(F.col(text))
-    # Few documents have anything that the rules on several lines could change.
-    odd = F.col(text).rlike(r"(?mu)^\s*\**\s*[A-C]\s*\**\s*$|^1\s+\S|(?i)observa[çc]")
-    some = docs.filter(F.col(key).isNotNull() & (F.length(_bare(F.col(text))) > 0))
+    odd = F.col("_odd") if "_odd" in docs.columns else _odd(F.col(text))
+    some = docs.filter(F.col(key).isNotNull() & F.col(text).rlike(r"\S"))
     raw = lambda those: those.select(key, F.posexplode(F.split(parted, "\n")).alias("pos", "line"))
     clean = raw(some.filter(~odd)).unionByName(without_stray_ones(bracketed_observations(promoted_parts(raw(some.filter(odd)), key), key), key))
     body = F.col("line")
@@ -62,7 +76,7 @@ def lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
     )
     grouped = marked.withColumns({"grupo": W.carried("_group", [key], ["row"]), "_groups": W.running_count(F.col("_group").isNotNull(), [key], ["row"])})
     parted = grouped.withColumn("parte", W.carried("_part", [key, "_groups"], ["row"]))
-    boundary = F.col("_group").isNotNull() | F.col("_part").isNotNull() | F.col("body").rlike(SCORING)
+    boundary = F.col("_group").isNotNull() | F.col("_part").isNotNull() | (F.startswith("body", F.lit("#")) & F.col("body").rlike(SCORING))
     return parted.select(key, "row", F.col("_line").alias("line"), "body", "main", "sub", "grupo", "parte", boundary.alias("boundary"))
 
 
@@ -121,13 +135,14 @@ def with_parents(found_blocks: DataFrame, key: str) -> DataFrame:
     order, family = Window.partitionBy(key).orderBy("ordem"), Window.partitionBy(key, "main")
     child = F.col("sub").isNotNull()
     orphan = child & ~F.bool_or(F.col("raw").isNotNull() & F.col("sub").isNull()).over(family) & (F.row_number().over(family.orderBy("ordem")) == 1)
-    paragraphs = F.filter(F.split(F.lag("gap").over(order), r"\n{2,}"), lambda p: (_bare(p) != "") & ~p.rlike(NO_CONTEXT))
-    told = found_blocks.withColumns({"_orphan": F.coalesce(orphan, F.lit(False)), "_gap": F.lag("gap").over(order), "_gap_line": F.lag("gap_line").over(order), "_free": F.get(paragraphs, F.size(paragraphs) - 1)})
+    # Paragraphs are read before orphans alone, tails before those that have none.
+    paragraphs = F.filter(F.split("_gap", r"\n{2,}"), lambda p: (_bare(p) != "") & ~p.rlike(NO_CONTEXT))
+    told = found_blocks.withColumn("_orphan", F.coalesce(orphan, F.lit(False))).withColumns({"_gap": F.lag("gap").over(order), "_gap_line": F.lag("gap_line").over(order)})
+    told = told.withColumn("_free", F.when(F.col("_orphan"), F.get(paragraphs, F.size(paragraphs) - 1)))
     parted = r"(?s)^(.*\(D\)[^\n]*)(.*)$"
-    after = F.regexp_extract("text", parted, 2)
-    told = told.withColumn("_tail", F.when((_bare(after) != "") & ~_bare(after).rlike(r"^(?:\$\$|#|!\[|\()"), after))
-    lent = F.coalesce(F.lead(F.col("_orphan") & F.col("_free").isNull()).over(order), F.lit(False)) & F.col("_tail").isNotNull()
-    told = told.withColumn("_lent", lent)
+    told = told.withColumn("_asked", F.coalesce(F.lead(F.col("_orphan") & F.col("_free").isNull()).over(order), F.lit(False)))
+    told = told.withColumn("_after", F.when(F.col("_asked"), F.regexp_extract("text", parted, 2)))
+    told = told.withColumn("_tail", F.when((_bare(F.col("_after")) != "") & ~_bare(F.col("_after")).rlike(r"^(?:\$\$|#|!\[|\()"), F.col("_after"))).withColumn("_lent", F.col("_tail").isNotNull())
     told = told.withColumns({"_theirs": F.lag(F.when(F.col("_lent"), F.struct("_tail", "grupo", "parte", (F.col("line") + _breaks(F.regexp_extract("text", parted, 1))).alias("line")))).over(order), "text": F.when(F.col("_lent"), F.regexp_extract("text", parted, 1)).otherwise(F.col("text"))})
     free_line = F.col("_gap_line") + _breaks(F.expr("left(_gap, cast(length(_gap) - locate(reverse(_free), reverse(_gap)) - length(_free) + 1 as int))"))
     null = F.lit(None).cast("int")
@@ -142,7 +157,10 @@ def with_parents(found_blocks: DataFrame, key: str) -> DataFrame:
 def with_inner(specs: DataFrame, key: str) -> DataFrame:
     """with_parents' blocks cut before sub-items of their own number that stand inside them, before a verb that sets a task; piece counts them."""
     pattern = F.concat(F.lit(r"(\s|[*★])("), F.col("main").cast("string"), F.lit(rf"\.\d{{1,2}}\.)(?=\s+(?:{INLINE_VERBS})\b)"))
-    pieces = specs.select(key, "ordem", "own", "main", "sub", "grupo", "parte", "line", "reset", F.posexplode(F.split(F.regexp_replace("text", pattern, F.lit(f"$1{CUT}$2")), CUT)).alias("piece", "text"))
+    # An expression that holds a row's number is made for each row, so one that doesn't looks first.
+    some = F.col("text").rlike(rf"\d\.\d{{1,2}}\.\s+(?:{INLINE_VERBS})\b")
+    cut = F.when(some, F.regexp_replace("text", pattern, F.lit(f"$1{CUT}$2"))).otherwise(F.col("text"))
+    pieces = specs.select(key, "ordem", "own", "main", "sub", "grupo", "parte", "line", "reset", F.posexplode(F.split(cut, CUT)).alias("piece", "text"))
     before = F.coalesce(F.sum(_breaks(F.col("text"))).over(Window.partitionBy(key, "ordem", "own").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     label = F.regexp_extract("text", r"^\d+\.(\d{1,2})\.", 1)
     return pieces.withColumns({"line": (F.col("line") + before).cast("int"), "sub": F.when(F.col("piece") > 0, label.cast("int")).otherwise(F.col("sub"))})
@@ -152,7 +170,8 @@ def _cuts(specs: DataFrame, by: list[str]) -> DataFrame:
     """(by, at): character offsets before which a block's text opens further items, the strongest sign at each place, as many as numbers are free. specs: by, text and free (null: any number)."""
     opened = specs.filter(F.contains("text", F.lit("\n\n"))).select(*by, F.inline(F.filter(implicit_openings(F.col("text")), lambda o: o["opens"]))).select(*by, "at", "score")
     order = Window.partitionBy(*by).orderBy("pos")
-    split = specs.filter(F.contains("text", F.lit("(D)")) | F.col("text").rlike(f"(?m){OPENING_LINE}")).select(*by, F.posexplode(F.split("text", "\n")).alias("pos", "l"))
+    told = reduce(or_, (F.contains("text", F.lit(x)) for x in OPENING_WORDS)) & F.col("text").rlike(f"(?m){OPENING_LINE}")
+    split = specs.filter(F.contains("text", F.lit("(D)")) | told).select(*by, F.posexplode(F.split("text", "\n")).alias("pos", "l"))
     placed = split.withColumns({"_at": F.coalesce(F.sum(F.length("l") + 1).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "_before": F.last(F.when(F.trim("l") != "", F.col("l")), True).over(order.rowsBetween(Window.unboundedPreceding, -1))})
     closed = F.col("_before").rlike(r"(?:[.?!\])]|\$\$)\s*$")
     explicit = placed.filter((F.col("_at") > 0) & F.col("l").rlike(OPENING_LINE) & closed).select(*by, F.col("_at").alias("at"), F.lit(4).alias("score"))
@@ -187,14 +206,18 @@ def with_openings(known: DataFrame, key: str) -> DataFrame:
     ends = F.concat(F.transform(F.coalesce("cuts", F.array().cast("array<struct<at:int,score:int>>")), lambda c: c["at"]), F.array(F.length("text")))
     starts = F.concat(F.array(start), F.coalesce("cuts", F.array().cast("array<struct<at:int,score:int>>")))
     each = held.select(*by, "main", "sub", "grupo", "parte", "line", "reset", "_text", F.posexplode(F.arrays_zip(starts.alias("s"), ends.alias("e"))).alias("part", "_p"))
-    text = F.expr("substring(_text, _p.s.at + 1, _p.e - _p.s.at)")
     later = F.col("part") > 0
-    lead = _breaks(F.regexp_extract(text, r"^\s*", 0)) + _breaks(F.expr("left(_text, _p.s.at)"))
-    clean = _bare(F.regexp_replace(F.regexp_replace(_bare(text), r"^\*+(?=[A-ZÁÉÍÓÚÀÂÃÇO])", ""), r"\s*\\\s*$", ""))
-    out = each.select(
-        *by, "part", (F.col("main") + F.col("part")).alias("main"), F.when(~later, F.col("sub")).alias("sub"), "grupo", "parte", (F.col("line") + lead).cast("int").alias("line_start"),
-        (F.col("line") + lead + _breaks(_bare(text))).cast("int").alias("line_end"), (F.col("reset") | later).alias("reset"), later.alias("implicit"), F.col("_p.s.score").alias("score"), clean.alias("markdown"),
+    whole = F.col("_p.s.at").eqNullSafe(0) & (F.col("_p.e") == F.length("_text"))
+    each = each.withColumn("_piece", F.when(whole, F.col("_text")).otherwise(F.expr("substring(_text, _p.s.at + 1, _p.e - _p.s.at)"))).withColumn("_clear", _bare(F.col("_piece")))
+    lead = _breaks(F.regexp_extract("_piece", r"^\s*", 0)) + F.when(later, _breaks(F.expr("left(_text, _p.s.at)"))).otherwise(0)
+    starred = F.when(F.startswith("_clear", F.lit("*")), F.regexp_replace("_clear", r"^\*+(?=[A-ZÁÉÍÓÚÀÂÃÇO])", "")).otherwise(F.col("_clear"))
+    clean = F.when(F.contains("_clear", F.lit("\\")), _bare(F.regexp_replace(starred, r"\s*\\\s*$", ""))).otherwise(starred)
+    # As values of a generator what was worked out isn't worked out again by the filter.
+    told = each.select(
+        *by, "part", (F.col("main") + F.col("part")).alias("main"), F.when(~later, F.col("sub")).alias("sub"), "grupo", "parte", (F.col("reset") | later).alias("reset"), later.alias("implicit"), F.col("_p.s.score").alias("score"),
+        F.inline(F.array(F.struct((F.col("line") + lead).cast("int").alias("line_start"), _breaks(F.col("_clear")).alias("_more"), clean.alias("markdown")))),
     )
+    out = told.withColumn("line_end", (F.col("line_start") + F.col("_more")).cast("int")).drop("_more")
     return out.filter("markdown <> ''")
 
 
@@ -207,7 +230,8 @@ def segments(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
 
     Lines are those of the normalised text, see `lines`. Rows without a key are left out; rows that share one are a document. No rows give no rows. Columns other than text and key are not read.
     """
-    read = docs.select(key, text)
+    # Expressions over whole texts are worked out once, as columns of a table.
+    read = stored(docs.select(key, text).withColumns({"_odd": _odd(F.col(text)), "_third": F.col(text).rlike(r"(?i)grupo\s+III\b")}), "texts")
     found_blocks = blocks(lines(read, text, key), key)
     headed = stored(found_blocks.withColumn("_any", F.max("ordem").over(Window.partitionBy(key)) > 0), "blocks")
     specs = with_inner(with_parents(canonical_blocks(headed.filter("_any").drop("_any"), key), key), key)
@@ -224,7 +248,7 @@ def segments(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     tree = named.withColumns({"numero": numero, "_stem": ~child & (F.col("_children") > 0), "images": I.images(F.col("markdown")), "optional": I.optional_marker(F.substring_index("markdown", "\n", 1))})
     siblings = F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.when(child, F.struct("_ordem", "images"))).over(family)), lambda x: x["images"])))
     lacks = F.col("_stem") & (F.size("images") == 0) & F.col("markdown").rlike(r"(?iu)\bFigura\b")
-    moved = tree.withColumns({"_lacks": lacks, "_takes": F.bool_or(lacks).over(family), "_theirs": siblings})
+    moved = tree.withColumns({"_lacks": lacks, "_takes": F.bool_or(lacks).over(family), "_theirs": F.when(lacks, siblings)})
     shown = F.when(F.col("_lacks"), F.col("_theirs")).when(F.col("_takes") & child, F.array().cast("array<string>")).otherwise(F.col("images"))
     item_id = F.concat_ws("-", "grupo", "parte", F.concat_ws(".", F.col("numero").cast("string"), F.col("sub").cast("string")))
     items = stored(moved.select(
@@ -232,7 +256,7 @@ def segments(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
         F.when(F.col("_stem"), "context_stem").otherwise(I.item_type(F.col("markdown"))).alias("tipo"), "optional", shown.alias("images"), "markdown", "implicit", "score",
     ), "items")
     last = items.groupBy(key).agg(F.max("ordem").alias("_last"))
-    third = essay(lines(read.filter(F.col(text).rlike(r"(?i)grupo\s+III\b")), text, key), key).join(last, key, "left").select(
+    third = essay(lines(read.filter("_third"), text, key), key).join(last, key, "left").select(
         key, (F.coalesce("_last", F.lit(0)) + 1).cast("int").alias("ordem"), F.lit("III-1").alias("item_id"), F.lit(1).alias("numero"), F.lit("III").alias("grupo"), "line_start", "line_end",
         F.lit(False).alias("suspected_reset"), F.lit("essay").alias("tipo"), F.lit(False).alias("optional"), I.images(F.col("markdown")).alias("images"), "markdown", F.lit(False).alias("implicit"),
     )

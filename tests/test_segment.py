@@ -213,3 +213,12 @@ def test_types_need_whole_words_and_read_arrays(spark):
     texts = ["Incomplete as afirmações", "Complete as afirmações", array, array.replace("Qual das", "Veja as"), "(A) a (B) b (C) c (D) d"]
     got = [r[0] for r in spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").orderBy("k").select(I.item_type(F.col("t"))).collect()]
     assert got == ["open_response", "complete_table", "multiple_choice", "open_response", "multiple_choice"]
+
+
+def test_texts_are_read_by_expressions_once_and_bare_as_by_the_expression(spark, sf_dir):
+    """A plan over what segments returns reads tables alone, and white space at ends goes as `^\\s+|\\s+$` takes it, before rare line breaks too."""
+    ends = [(f"{a}x y{b}",) for a in ("", " \n", "  ", " ") for b in ("", "\t\r\n", "  ", " \u0085", "\n ", " ", "   ")] + [("",), (" \n",), (" ",), (None,)]
+    rows = spark.createDataFrame(ends, "t string").select(S._bare(F.col("t")).alias("a"), F.regexp_replace("t", r"^\s+|\s+$", "").alias("b"))
+    assert all(r["a"] == r["b"] for r in rows.collect())
+    plan = S.segments(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "grupo\\s+III" not in plan

@@ -43,7 +43,7 @@ def item_number(x: Column) -> Column:
 
 def odd_dollars(x: Column) -> Column:
     """Whether the number of $ without a backslash before is odd."""
-    return F.pmod(F.regexp_count(x, F.lit(r"(?<!\\)\$")), F.lit(2)) == 1
+    return F.contains(x, F.lit("$")) & (F.pmod(F.regexp_count(x, F.lit(r"(?<!\\)\$")), F.lit(2)) == 1)
 
 
 def brace_mismatch(x: Column) -> Column:

@@ -67,7 +67,7 @@ def test_rows_of_small_files_are_dealt_before_their_texts_are_read(spark, sf_dir
     assert "hashpartitioning(p_partkey" in QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name, step", [("latex_repairs", r"frac\s*")])
+@pytest.mark.parametrize("name, step", [("latex_repairs", r"frac\s*"), ("micro_lint", "{3,}")])
 def test_repairs_inside_each_other_are_worked_out_once(spark, sf_dir, name, step):
     """A step that named the text before it twice doubled it, so an expression stood in the plan some hundred times."""
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()

@@ -46,6 +46,11 @@ def materialise(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """df, which a join then deals out and never sends whole through the driver. For tables of all documents, and for what explode or an Arrow function makes: Spark sizes that by the rows that went in, so what is many times as large counts as small."""
+    return df.hint("merge")
+
+
 def text_bytes(text: str = "text") -> Column:
     """A text column as UTF-8 bytes, null as empty."""
     return F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")

@@ -58,6 +58,22 @@ def test_links_of_random_fingerprints(spark):
     assert sorted(found) == wanted
 
 
+def sent_whole(plan):
+    """The generators and Arrow functions of a plan below a broadcast, without a shuffle between that would tell Spark their size."""
+    found, at, dealt = [], None, None
+    for line in plan.split("== Initial Plan ==")[0].splitlines():
+        depth = len(re.match(r"[\s:+-]*", line)[0])
+        at = None if at is not None and depth <= at else at
+        dealt = None if dealt is not None and depth <= dealt else dealt
+        if at is not None and dealt is None and re.search(r"\bGenerate |MapInArrow", line):
+            found.append(line.strip())
+        if at is None and "BroadcastExchange" in line:
+            at = depth
+        elif dealt is None and re.match(r"[\s:+-]*(Exchange|ShuffleQueryStage)", line):
+            dealt = depth
+    return found
+
+
 def test_a_chain_longer_than_a_round_is_one_component(spark):
     values = [(1 << (k * 4)) - 1 for k in range(16)]
     nodes = spark.createDataFrame(list(enumerate(values)), "node long, fp long")
@@ -117,3 +133,25 @@ def test_similar_groups_match_brute_force_around_the_threshold(make_docs):
     assert 10 < sum(near.values()) < 50
     found = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(make_docs(rows)).collect()}
     assert found == {k: k for k in range(60)} | {1000 + k: k if near[k] else 1000 + k for k in range(60)}
+
+
+def test_no_index_of_similar_groups_goes_through_the_driver(make_docs, monkeypatch):
+    rng = random.Random(4)
+    vocabulary = [f"word{k}" for k in range(3000)]
+    rows = []
+    for k in range(40):
+        words = [rng.choice(vocabulary) for _ in range(300)]
+        rows += [(k, " ".join(words)), (1000 + k, " ".join(["changed", *words[1:150], "changed", *words[151:]]))]
+    plans = []
+
+    def stored(df, what, store=simhash.materialise):
+        df.collect()
+        plans.append((what, df._jdf.queryExecution().executedPlan().toString()))
+        return store(df, what)
+
+    monkeypatch.setattr(simhash, "materialise", stored)
+    stored(simhash.similar_groups(make_docs(rows)), "groups")
+    assert {"nodes", "pairs", "sets", "asks", "links", "groups"} <= {what for what, _ in plans}
+    assert sum("Generate explode" in plan for _, plan in plans) > 3
+    assert [(what, x) for what, plan in plans for x in sent_whole(plan)] == []
+    assert "SortMergeJoin [s0" in dict(plans)["groups"].split("== Initial Plan ==")[0]

@@ -68,7 +68,7 @@ def variants(nodes: DataFrame) -> DataFrame:
     for s, (first, width) in enumerate(SEGMENTS):
         part = F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << width) - 1))
         keys += [F.struct(F.lit(s).alias("seg"), F.lit(at).alias("at"), part.bitwiseAND(F.lit(((1 << width) - 1) & ~(1 << at))).alias("rest")) for at in range(width)]
-    return nodes.select("node", "fp", F.explode(F.array(*keys)).alias("k")).select("k.seg", "k.at", "k.rest", "node", "fp")
+    return by_shuffle(nodes.select("node", "fp", F.explode(F.array(*keys)).alias("k")).select("k.seg", "k.at", "k.rest", "node", "fp"))
 
 
 def _segment(x: Column, s: int) -> Column:
@@ -112,7 +112,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_distance: int =
     nodes = fps.groupBy("fp").agg(F.min(key).alias("node"))
     found = components(links(nodes, max_distance), "a", "b")
     named = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return fps.join(named, "fp")
+    return by_shuffle(fps).join(named, "fp")
 
 
 #: Fingerprints of a sketch, of BITS one-bit minima each; the first TABLES of them are indexed. Two sets with Jaccard

@@ -3,6 +3,7 @@ import re
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from itemforge.llm import simhash
 
@@ -74,6 +75,12 @@ def sent_whole(plan):
     return found
 
 
+def test_links_are_found_by_shuffle(spark):
+    nodes = spark.range(100).select(F.col("id").alias("node"), F.xxhash64("id").alias("fp"))
+    plan = simhash.links(nodes)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_a_chain_longer_than_a_round_is_one_component(spark):
     values = [(1 << (k * 4)) - 1 for k in range(16)]
     nodes = spark.createDataFrame(list(enumerate(values)), "node long, fp long")
